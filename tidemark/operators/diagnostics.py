@@ -9,15 +9,18 @@ from pyspark.sql import functions as F
 from tidemark.config import SEED, TEST_CUTOFFS, parse_cutoffs
 from tidemark.functions.scalars import day_text, positive_hash, round_half_even
 from tidemark.operators import metrics
+from tidemark.operators.metrics import average_precision
 from tidemark.operators.models import fit, score
-from tidemark.operators.ranking import (average_precision, row_positions, score_curve,
-                                        union_all)
+from tidemark.operators.ranking import row_positions, score_curve, union_all
 
 POOLED = "holdout"
 
-# Primes larger than any plausible row count's factors, as multipliers.
-_MULTIPLIERS = [2147483647, 2147483629, 2147483587, 2147483579, 2147483563,
-                2147483549, 2147483543, 2147483497, 2147483489, 2147483477]
+# The ten largest primes below 900,000,000. Times a position below 10^10 they
+# stay inside a bigint.
+_MULTIPLIERS = [
+    899999963, 899999929, 899999921, 899999911, 899999813,
+    899999801, 899999797, 899999777, 899999759, 899999743,
+]
 
 
 def fit_all(models: dict, dev: DataFrame) -> dict[str, PipelineModel]:

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from tidemark.config import DEV_CUTOFFS, TEST_CUTOFFS, parse_cutoffs
 from tidemark.functions.scalars import day_text, timestamp
 from tidemark.operators import metrics
+from tidemark.operators.metrics import average_precision
 from tidemark.operators.models import fit, model_zoo, score
-from tidemark.operators.ranking import average_precision, score_curve, union_all
+from tidemark.operators.ranking import score_curve, union_all
 
 
 def _on_day_of(moments) -> Column:

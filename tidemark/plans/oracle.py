@@ -173,3 +173,377 @@ def rounded(expression: str, digits: int) -> str:
 
 def rounded_columns(names, digits: dict[str, int]) -> str:
     return ", ".join(f"{rounded(n, digits[n])} AS {n}" if n in digits else n for n in names)
+
+
+# ---------------------------------------------------------------------------------------------
+# Scores of two fixed rules, and their curves
+# ---------------------------------------------------------------------------------------------
+RULES = {"recency_baseline": "recency_days", "overdue_rule": "recency_vs_gap"}
+POOLED = "holdout"
+
+
+def _rule(column: str) -> str:
+    return f"1e0 / (1e0 + coalesce(CAST({column} AS DOUBLE), 999e0))"
+
+
+def _days(cutoffs) -> str:
+    return ", ".join(f"TIMESTAMP '{c}'" for c in cutoffs)
+
+
+_RULE_ROWS = " UNION ALL ".join(
+    f"SELECT '{model}' AS model, customer_id, cutoff, label, {_rule(column)} AS score FROM snap"
+    for model, column in RULES.items())
+SCORED = f"""{ORDER_SNAP},
+rule_rows AS ({_RULE_ROWS}),
+scored AS (SELECT * FROM rule_rows WHERE cutoff IN ({_days(ORDER_HOLDOUT)}))"""
+_SPLITS = f"""splits AS (
+  SELECT *, '{POOLED}' AS split FROM scored
+  UNION ALL SELECT *, strftime(cutoff, '%Y-%m-%d') AS split FROM scored)"""
+
+
+def ranked(source: str, keys: str, name: str = "ranked") -> str:
+    return f"""{name} AS (
+  SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY score DESC, cutoff, customer_id)
+      AS rank,
+    count(*) OVER (PARTITION BY {keys}) AS n_total,
+    sum(label) OVER (PARTITION BY {keys}) AS pos_total
+  FROM {source})"""
+
+
+def curve(source: str, keys: str, name: str = "curve") -> str:
+    return f"""{name}_counts AS (
+  SELECT {keys}, score, count(*) AS n, sum(label) AS pos FROM {source} GROUP BY ALL),
+{name} AS (
+  SELECT *, sum(n) OVER w AS n_through, sum(pos) OVER w AS pos_through,
+    sum(n) OVER (PARTITION BY {keys}) AS n_total, sum(pos) OVER (PARTITION BY {keys}) AS pos_total
+  FROM {name}_counts WINDOW w AS (PARTITION BY {keys} ORDER BY score DESC))"""
+
+
+_AP = ("coalesce(sum(pos * CAST(pos_through AS DOUBLE) / n_through) "
+       "/ nullif(CAST(max(pos_total) AS DOUBLE), 0), 0)")
+
+
+def average_precision(source: str, keys: str, name: str = "ap") -> str:
+    return f"""{curve(source, keys, name + "_curve")},
+{name} AS (SELECT {keys}, {_AP} AS pr_auc FROM {name}_curve GROUP BY {keys})"""
+
+
+def _top_n(share: str) -> str:
+    return f"greatest(1, CAST(round_even(n_total * CAST({share} AS DOUBLE), 0) AS BIGINT))"
+
+
+def evaluation(source: str, keys: str, name: str = "metrics") -> str:
+    """All twelve metrics per group as CTE ``name``, unrounded."""
+    auc_pairs = ("sum(CAST(pos AS DOUBLE) * ((n_total - pos_total) - (n_through - pos_through) "
+                 "+ (n - pos) / 2.0e0))")
+    return f"""{ranked(source, keys, name + "_ranked")},
+{average_precision(source, keys, name + "_ap")},
+{name}_auc AS (
+  SELECT {keys}, {auc_pairs}
+    / nullif(CAST(max(pos_total) AS DOUBLE) * max(n_total - pos_total), 0) AS roc_auc
+  FROM {name}_ap_curve GROUP BY {keys}),
+{name}_counts AS (
+  SELECT {keys}, count(*) AS n, sum(label) AS p, avg(label) AS base_rate,
+    count(*) FILTER (WHERE (score >= 0.5) = (label = 1)) AS correct,
+    count(*) FILTER (WHERE score >= 0.5) AS called,
+    count(*) FILTER (WHERE score >= 0.5 AND label = 1) AS tp,
+    avg((score - label) * (score - label)) AS brier,
+    sum(label) FILTER (WHERE rank <= {_top_n('0.2')}) AS hits,
+    max({_top_n('0.2')}) AS size
+  FROM {name}_ranked GROUP BY {keys}),
+{name} AS (
+  SELECT {keys}, base_rate, correct / n AS accuracy,
+    greatest(base_rate, 1 - base_rate) AS majority_accuracy,
+    coalesce(tp / nullif(called, 0), 0) AS precision, coalesce(tp / nullif(p, 0), 0) AS recall,
+    coalesce(2 * tp / nullif(called + p, 0), 0) AS f1, roc_auc, pr_auc,
+    hits / size AS precision_at_20, coalesce(hits / nullif(p, 0), 0) AS recall_at_20,
+    (hits / size) / nullif(base_rate, 0) AS lift_at_20, brier
+  FROM {name}_counts JOIN {name}_ap USING ({keys}) JOIN {name}_auc USING ({keys}))"""
+
+
+METRICS = ["base_rate", "accuracy", "majority_accuracy", "precision", "recall", "f1", "roc_auc",
+           "pr_auc", "precision_at_20", "recall_at_20", "lift_at_20", "brier"]
+HOLDOUT = f"{SCORED},\n{_SPLITS},\n{evaluation('splits', 'model, split', 'holdout')}"
+
+
+def _all_rounded(names, digits: int = 9) -> str:
+    return rounded_columns(names, dict.fromkeys(names, digits))
+
+
+# Folds of the development cutoffs, with the two rules.
+_FOLDS = " UNION ALL ".join(
+    f"SELECT {fold} AS fold, '{ORDER_DEV[i]}' AS valid_cutoff, * FROM rule_rows "
+    f"WHERE cutoff = TIMESTAMP '{ORDER_DEV[i]}'"
+    for fold, i in enumerate(range(3, len(ORDER_DEV)), start=1))
+_CV = f"""{ORDER_SNAP},
+rule_rows AS ({_RULE_ROWS}),
+fold_rows AS ({_FOLDS}),
+{evaluation('fold_rows', 'model, fold, valid_cutoff', 'scores')},
+cv AS (
+  SELECT *, (SELECT count(*) FROM snap WHERE cutoff < CAST(valid_cutoff AS TIMESTAMP)) AS n_train,
+    (SELECT count(*) FROM snap WHERE cutoff = CAST(valid_cutoff AS TIMESTAMP)) AS n_valid
+  FROM scores)"""
+
+# Digits to which float columns that depend on summation order are compared.
+ORDER_DIGITS = {"std_order_value": 3, "std_gap_days": 6, "gap_cv": 6, "avg_unit_price": 4}
+EVENT_DIGITS = {"std_order_value": 6, "std_gap_days": 6, "gap_cv": 6, "avg_unit_price": 8}
+
+
+def _block(name: str) -> str:
+    source = {"rfm": "rfm", "cadence": "cad JOIN rfm USING (cutoff, customer_id)",
+              "window": "win", "breadth": "brd",
+              "market": "rfm LEFT JOIN modal USING (cutoff, customer_id)"}[name]
+    sql = _feature_sql(HOME)
+    columns = ", ".join(
+        f"{rounded(sql[f], ORDER_DIGITS[f]) if f in ORDER_DIGITS else sql[f]} AS {f}"
+        for f in FEATURE_BLOCKS[name])
+    return (f"WITH {ORDER_TX}, {cutoff_values(ORDER_CUTOFFS)},\n{_blocks(HOME)}\n"
+            f"SELECT customer_id, cutoff, {columns} FROM {source}")
+
+
+def _snapshots(ctes: str, digits) -> str:
+    return (f"WITH {ctes}\nSELECT customer_id, {rounded_columns(FEATURES, digits)}, label, cutoff "
+            "FROM snap")
+
+
+def _shares(shares) -> str:
+    return ", ".join(f"(CAST({k} AS DOUBLE))" for k in shares)
+
+
+_SWEEP = f"""{SCORED},
+{ranked('scored', 'model')},
+sweep0 AS (
+  SELECT model, k, max({_top_n('k')}) AS contacted,
+    sum(label) FILTER (WHERE rank <= {_top_n('k')}) AS hits,
+    max(pos_total) AS pos_total, max(n_total) AS n_total
+  FROM ranked, (VALUES {_shares(CAPACITIES)}) AS v(k) GROUP BY model, k),
+sweep AS (
+  SELECT model, k, contacted, CAST(hits AS BIGINT) AS hits, hits / contacted AS precision,
+    hits * {INCREMENTAL_MARGIN}::DOUBLE AS revenue, contacted * {CONTACT_COST}::DOUBLE AS cost,
+    hits * {INCREMENTAL_MARGIN}::DOUBLE - contacted * {CONTACT_COST}::DOUBLE AS net,
+    (hits * {INCREMENTAL_MARGIN}::DOUBLE - contacted * {CONTACT_COST}::DOUBLE) / contacted
+      AS net_per_contact,
+    hits / pos_total AS recall, (hits / contacted) / (pos_total / n_total) AS lift
+  FROM sweep0)"""
+_MONEY = ["k", "precision", "revenue", "cost", "net", "net_per_contact"]
+
+_GAINS = f"""{SCORED},
+{ranked('scored', 'model')},
+g0 AS (
+  SELECT model, CAST((rank - 1) * 10 // n_total + 1 AS INTEGER) AS decile, count(*) AS customers,
+    CAST(sum(label) AS BIGINT) AS returned, max(pos_total) AS pos_total, max(n_total) AS n_total
+  FROM ranked GROUP BY 1, 2),
+g AS (
+  SELECT *, CAST(sum(returned) OVER w AS BIGINT) AS cumulative_returned,
+    sum(customers) OVER w AS cumulative_customers
+  FROM g0 WINDOW w AS (PARTITION BY model ORDER BY decile))"""
+
+_CALIBRATION = f"""{SCORED},
+edges AS (
+  SELECT model, unnest(quantile_cont(score, [{', '.join(f'{j / 10}' for j in range(1, 10))}]))
+    AS edge FROM scored GROUP BY model),
+binned AS (
+  SELECT s.*, (SELECT count(*) FROM edges e WHERE e.model = s.model AND e.edge < s.score) AS bin
+  FROM scored s),
+cal AS (
+  SELECT model, CAST(bin AS INTEGER) AS bin, avg(score) AS predicted, avg(label) AS observed
+  FROM binned GROUP BY ALL)"""
+
+IMPORTANCE_FEATURES = ["recency_days", "recency_vs_gap", "frequency"]
+
+
+def _importance(multipliers, repeats: int, seed: int) -> str:
+    """Every feature column carries the permuted value in its own copy; only the rule's column
+    matters for the score."""
+    hashed = "CAST('0x' || substr(md5({}), 1, 15) AS BIGINT)"
+    identity = hashed.format(f"'{seed}|' || customer_id || '|' || cutoff")
+    shift = hashed.format(f"'{seed}|' || feature || '|' || repeat")
+    features = ", ".join(f"('{f}')" for f in IMPORTANCE_FEATURES)
+    factors = ", ".join(f"({r}, {multipliers[r % len(multipliers)]})" for r in range(repeats))
+    return f"""{ORDER_SNAP},
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY {identity}, customer_id, cutoff) - 1 AS position,
+    count(*) OVER () AS n
+  FROM snap WHERE cutoff IN ({_days(ORDER_HOLDOUT)})),
+copies AS (
+  SELECT feature, repeat, label, recency_days,
+    (position * (factor % n) + ({shift}) % n) % n AS donor
+  FROM placed, (VALUES {features}) AS f(feature), (VALUES {factors}) AS r(repeat, factor)),
+shuffled AS (
+  SELECT feature, repeat, c.label,
+    1e0 / (1e0 + CASE WHEN feature = 'recency_days' THEN d.recency_days ELSE c.recency_days END)
+      AS score
+  FROM copies c JOIN placed d ON c.donor = d.position),
+{average_precision('shuffled', 'feature, repeat', 'moved')},
+plain AS (SELECT 'base' AS key, label, 1e0 / (1e0 + recency_days) AS score FROM placed),
+{average_precision('plain', 'key', 'base')}
+SELECT feature, {rounded('avg(base.pr_auc - moved.pr_auc)', 5)} AS pr_auc_drop,
+  {rounded('stddev_pop(base.pr_auc - moved.pr_auc)', 5)} AS std
+FROM moved, base GROUP BY feature"""
+
+
+def statements(multipliers, importance_repeats: int, seed: int, one_cutoff) -> dict[str, str]:
+    """Query name to SQL."""
+    tx_columns = ("customer_id, invoice_no, invoice_date, stock_code, quantity, unit_price, "
+                  "country, line_revenue")
+    fingerprint_text = " || '|' || ".join(
+        f"coalesce(CAST({c} AS VARCHAR), '\\N')"
+        for c in ("customer_id", "invoice_no", "stock_code", "quantity", "country"))
+    dev, test = _days(ORDER_DEV), _days(ORDER_HOLDOUT)
+    fold_roles = ", ".join(
+        f"({fold}, 'train', TIMESTAMP '{c}')" for fold, i in enumerate(range(3, 7), start=1)
+        for c in ORDER_DEV[:i])
+    fold_roles += ", " + ", ".join(
+        f"({fold}, 'valid', TIMESTAMP '{ORDER_DEV[i]}')"
+        for fold, i in enumerate(range(3, 7), start=1))
+    summary = {
+        "pr_auc_mean": "avg(pr_auc)", "pr_auc_std": "stddev_samp(pr_auc)",
+        "roc_auc_mean": "avg(roc_auc)", "lift_mean": "avg(lift_at_20)",
+        "lift_std": "stddev_samp(lift_at_20)", "precision_at_20": "avg(precision_at_20)",
+        "brier_mean": "avg(brier)", "accuracy_mean": "avg(accuracy)",
+        "majority_accuracy": "avg(majority_accuracy)"}
+    compared = ["pr_auc", "roc_auc", "precision_at_20", "lift_at_20", "brier"]
+    headline = " UNION ALL ".join(
+        f"SELECT '{m}' AS metric, {rounded('b.' + m, 9)} AS best, "
+        + (f"{rounded('r.' + m, 9)}" if m != "majority_accuracy" else "CAST(NULL AS DOUBLE)")
+        + " AS baseline, "
+        + (f"{rounded(f'b.{m} - r.{m}', 9)}" if m in compared else "CAST(NULL AS DOUBLE)")
+        + " AS difference FROM b, r"
+        for m in [*compared, "accuracy", "majority_accuracy"])
+    medians = " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, CAST(median(CAST({f} AS DOUBLE)) AS DOUBLE) AS median FROM dev"
+        for f in FEATURES)
+    tuning_rows = " UNION ALL ".join(
+        f"SELECT {i} AS config, {_rule(column)} AS score, label, cutoff FROM snap"
+        for i, column in enumerate(RULES.values()))
+    out = {
+        "rule_precision_at_20": f"""WITH {SCORED}, {ranked('scored', 'model')}
+SELECT model, count(*) FILTER (WHERE rank <= {_top_n('0.2')}) AS contacted,
+  CAST(sum(label) FILTER (WHERE rank <= {_top_n('0.2')}) AS BIGINT) AS hits,
+  {rounded(f"avg(label) FILTER (WHERE rank <= {_top_n('0.2')})", 9)} AS precision_at_20,
+  {rounded(f"avg(label) FILTER (WHERE rank <= {_top_n('0.2')}) / avg(label)", 9)} AS lift_at_20
+FROM ranked GROUP BY model""",
+        "transactions": f"WITH {ORDER_TX} SELECT {tx_columns} FROM tx",
+        "cleaned_transactions": f"WITH {DIRTY_TX} SELECT {tx_columns} FROM tx",
+        "raw_csv_round_trip": f"""WITH {DIRTY_TX}
+SELECT country, count(*) AS lines, CAST(sum(quantity) AS BIGINT) AS units,
+  count(*) FILTER (WHERE starts_with(invoice_no, 'C')) AS cancelled,
+  count(*) FILTER (WHERE padded_code <> trim(padded_code, chr(9) || ' ')) AS padded,
+  count(customer_id) AS known, min(invoice_date) AS first_date
+FROM twice GROUP BY country""",
+        "transaction_profile": f"""WITH {ORDER_TX}
+SELECT count(*) AS n_rows, count(DISTINCT customer_id) AS customers,
+  min(invoice_date) AS first_date, max(invoice_date) AS last_date FROM tx""",
+        "table_fingerprint": f"""WITH {ORDER_TX}
+SELECT count(*) AS n_rows, CAST(coalesce(sum(CAST('0x' || substr(md5({fingerprint_text}), 1, 8)
+  AS BIGINT)), 0) AS BIGINT) AS hash_sum FROM tx""",
+        "orders_at_cutoffs": f"""WITH {ORDER_TX}, {cutoff_values(ORDER_CUTOFFS)},
+{ORDER_LEVEL}
+SELECT * FROM ord""",
+        "straddling_orders_at_cutoffs":
+            f"""WITH {SESSION_TX}, {cutoff_values(EVENT_SETTINGS.cutoffs)},
+{ORDER_LEVEL}
+SELECT * FROM ord""",
+        **{f"{name}_block": _block(name) for name in FEATURE_BLOCKS},
+        "outcome_labels": f"WITH {ORDER_SNAP} SELECT customer_id, cutoff, label FROM snap",
+        "snapshots": _snapshots(ORDER_SNAP, ORDER_DIGITS),
+        "event_snapshots": _snapshots(snapshot_ctes(EVENT_TX, EVENT_SETTINGS), EVENT_DIGITS),
+        "straddling_snapshots": _snapshots(snapshot_ctes(SESSION_TX, EVENT_SETTINGS),
+                                           EVENT_DIGITS),
+        "one_cutoff_snapshot": _snapshots(snapshot_ctes(ORDER_TX, one_cutoff), ORDER_DIGITS),
+        "cutoff_history": f"""WITH {ORDER_TX}, {cutoff_values(ORDER_CUTOFFS)}
+SELECT cutoff, count(*) FILTER (WHERE invoice_date < cutoff) AS past_lines,
+  count(*) FILTER (WHERE invoice_date >= cutoff) AS later_lines
+FROM tx, cutoffs GROUP BY cutoff""",
+        "fold_sizes": f"""WITH {ORDER_SNAP}
+SELECT fold, role, count(DISTINCT cutoff) AS n_cutoffs, count(*) AS n_rows,
+  CAST(sum(label) AS BIGINT) AS returned
+FROM snap JOIN (VALUES {fold_roles}) AS f(fold, role, cutoff) USING (cutoff) GROUP BY fold, role""",
+        "temporal_split": f"""WITH {ORDER_SNAP}
+SELECT CASE WHEN cutoff IN ({test}) THEN 'holdout' ELSE 'development' END AS split, cutoff,
+  count(*) AS n_rows FROM snap WHERE cutoff IN ({dev}, {test}) GROUP BY ALL""",
+        "seasonality": f"""WITH {ORDER_SNAP}
+SELECT strftime(cutoff, '%Y-%m-%d') AS cutoff, count(*) AS customers,
+  CAST(sum(label) AS BIGINT) AS returned, {rounded('sum(label) / count(*) * 100', 1)} AS base_rate,
+  CASE WHEN cutoff IN ({test}) THEN 'holdout' ELSE 'development' END AS split
+FROM snap s GROUP BY s.cutoff""",
+        "rule_scores": f"""WITH {SCORED}
+SELECT model, customer_id, cutoff, label, {rounded('score', 12)} AS score FROM scored""",
+        "global_rank": f"""WITH {SCORED}, {ranked('scored', 'model')}
+SELECT model, customer_id, cutoff, label, rank FROM ranked""",
+        "top_share": f"""WITH {_SWEEP}
+SELECT model, k, contacted AS size, hits, {rounded('precision', 9)} AS precision_at,
+  {rounded('recall', 9)} AS recall_at, {rounded('lift', 9)} AS lift_at FROM sweep""",
+        "holdout_metrics":
+            f"WITH {HOLDOUT}\nSELECT model, split, {_all_rounded(METRICS)} FROM holdout",
+        "gains_table": f"""WITH {_GAINS}
+SELECT model, decile, customers, returned, {rounded('returned / customers', 3)} AS precision,
+  {rounded('(returned / customers) / (pos_total / n_total)', 3)} AS lift, cumulative_returned,
+  {rounded('cumulative_returned / pos_total', 3)} AS cumulative_recall,
+  {rounded('cumulative_returned / cumulative_customers', 3)} AS cumulative_precision FROM g""",
+        "expected_value": f"""WITH {_SWEEP}
+SELECT model, contacted, hits, {_all_rounded(_MONEY)} FROM sweep WHERE k = 0.2""",
+        "capacity_sweep": f"""WITH {_SWEEP}
+SELECT model, contacted, hits, {_all_rounded([*_MONEY, 'recall', 'lift'], 3)} FROM sweep""",
+        "money_report": f"""WITH {_SWEEP}
+SELECT model, k, '£' || format('{{:,}}', CAST(round_even(revenue, 0) AS BIGINT)) AS revenue,
+  '£' || format('{{:,}}', CAST(round_even(cost, 0) AS BIGINT)) AS cost,
+  '£' || format('{{:,}}', CAST(round_even(net, 0) AS BIGINT)) AS net FROM sweep""",
+        "calibration_table": f"""WITH {_CALIBRATION}
+SELECT model, bin, {_all_rounded(['predicted', 'observed'], 6)},
+  {rounded('predicted - observed', 6)} AS gap FROM cal""",
+        "pr_curve": f"""WITH {SCORED}, {curve('scored', 'model')}
+SELECT model, {rounded('score', 12)} AS threshold, {rounded('pos_through / n_through', 9)}
+  AS precision, {rounded('pos_through / pos_total', 9)} AS recall FROM curve
+UNION ALL SELECT DISTINCT model, NULL, 1e0, 0e0 FROM scored""",
+        "roc_curve": f"""WITH {SCORED}, {curve('scored', 'model')}
+SELECT model, {rounded('score', 12)} AS threshold,
+  {rounded('(n_through - pos_through) / (n_total - pos_total)', 9)} AS fpr,
+  {rounded('pos_through / pos_total', 9)} AS tpr FROM curve
+UNION ALL SELECT DISTINCT model, NULL, 0e0, 0e0 FROM scored""",
+        "stability": f"""WITH {HOLDOUT},
+means AS (SELECT model, split, avg(score) AS mean_predicted FROM splits GROUP BY ALL)
+SELECT model, split AS cutoff,
+  CAST(row_number() OVER (PARTITION BY model ORDER BY split) AS INTEGER) AS months_after_training,
+  {rounded('base_rate', 3)} AS base_rate, {rounded('pr_auc', 4)} AS pr_auc,
+  {rounded('lift_at_20', 3)} AS lift_at_20, {rounded('mean_predicted', 3)} AS mean_predicted
+FROM holdout JOIN means USING (model, split) WHERE split <> '{POOLED}'""",
+        "best_model": f"""WITH {HOLDOUT}
+SELECT arg_max(model, pr_auc) AS model, {rounded('max(pr_auc)', 9)} AS pr_auc
+FROM holdout WHERE split = '{POOLED}'""",
+        "headline": f"""WITH {HOLDOUT},
+b AS (SELECT * FROM holdout WHERE split = '{POOLED}' AND model = 'overdue_rule'),
+r AS (SELECT * FROM holdout WHERE split = '{POOLED}' AND model = 'recency_baseline')
+{headline}""",
+        "cross_validation": f"""WITH {_CV}
+SELECT model, CAST(fold AS INTEGER) AS fold, valid_cutoff, n_train, n_valid,
+  {_all_rounded(METRICS)} FROM cv""",
+        "cv_summary": f"""WITH {_CV}
+SELECT model, {', '.join(f'{rounded(sql, 4)} AS {name}' for name, sql in summary.items())}
+FROM cv GROUP BY model""",
+        "cv_fold_series": f"""WITH {_CV}
+SELECT model, valid_cutoff, {rounded('pr_auc', 9)} AS pr_auc FROM cv""",
+        "cv_accuracy": f"""WITH {_CV}
+SELECT model, {rounded('avg(accuracy)', 9)} AS accuracy,
+  {rounded('avg(majority_accuracy)', 9)} AS majority_accuracy FROM cv GROUP BY model""",
+        "tuning_summary": f"""WITH {ORDER_SNAP},
+candidate_rows AS ({tuning_rows}),
+valid_rows AS (SELECT * FROM candidate_rows WHERE cutoff IN ({_days(ORDER_DEV[3:])})),
+{average_precision('valid_rows', 'config, cutoff')}
+SELECT CAST(config AS INTEGER) AS config,
+  CASE config WHEN 0 THEN 'recency_days' ELSE 'recency_vs_gap' END AS column_name,
+  {rounded('avg(pr_auc)', 9)} AS pr_auc_mean, {rounded('stddev_pop(pr_auc)', 9)} AS pr_auc_std
+FROM ap GROUP BY config""",
+        "permutation_importance": "WITH " + _importance(multipliers, importance_repeats, seed),
+        "leakage_audit": f"""WITH {ORDER_SNAP},
+one AS (SELECT * FROM snap WHERE cutoff = TIMESTAMP '{ORDER_HOLDOUT[0]}')
+SELECT change, count(*) AS rows_compared, CAST(0 AS BIGINT) AS rows_moved,
+  CAST(sum(label) AS BIGINT) AS labels_before,
+  CAST(CASE change WHEN 'deleted' THEN 0 ELSE sum(label) END AS BIGINT) AS labels_after
+FROM one, (VALUES ('deleted'), ('inflated')) AS c(change) GROUP BY change""",
+        "feature_medians": f"""WITH {ORDER_SNAP},
+dev AS (SELECT * FROM snap WHERE cutoff IN ({dev})),
+m AS ({medians})
+SELECT feature, {rounded('median', 3)} AS median FROM m WHERE median IS NOT NULL""",
+    }
+    return out

@@ -57,7 +57,9 @@ def write_transactions(df: DataFrame, path: str) -> None:
 
 def write_report(df: DataFrame, path: str) -> None:
     """CSV sink with a header, for result tables."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    (df.write.mode("overwrite").option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path))
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
