@@ -12,6 +12,7 @@ from tidemark.operators import metrics
 from tidemark.operators.metrics import average_precision
 from tidemark.operators.models import fit, score
 from tidemark.operators.ranking import row_positions, score_curve, union_all
+from tidemark.session import materialise
 
 POOLED = "holdout"
 
@@ -25,7 +26,8 @@ _MULTIPLIERS = [
 
 def fit_all(models: dict, dev: DataFrame) -> dict[str, PipelineModel]:
     """Each model fitted once on all development rows."""
-    return {name: fit(model, dev) for name, model in models.items()}
+    medians: dict[str, float] = {}
+    return {name: fit(model, dev, medians) for name, model in models.items()}
 
 
 def score_all(fitted: dict[str, PipelineModel], rows: DataFrame) -> DataFrame:
@@ -48,7 +50,8 @@ def holdout_metrics(scored: DataFrame, pooled: str = POOLED) -> DataFrame:
 
 
 def evaluate_holdout(models: dict, dev: DataFrame, test: DataFrame) -> DataFrame:
-    return holdout_metrics(score_all(fit_all(models, dev), test))
+    # Scores are stored once: ranking reads them several times, and a forest is slow to apply.
+    return holdout_metrics(materialise(score_all(fit_all(models, dev), test)))
 
 
 def best_model(holdout: DataFrame, pooled: str = POOLED) -> DataFrame:
@@ -140,16 +143,6 @@ def shuffle_feature(rows: DataFrame, features: list[str], repeats: int, seed: in
     return mixed.drop("_donor", "_value")
 
 
-def permutation_scores(model: PipelineModel, test: DataFrame, features: list[str],
-                       n_repeats: int = 10, seed: int = SEED) -> DataFrame:
-    """Average precision of every (feature, repeat) copy: feature, repeat, pr_auc."""
-    used = list(dict.fromkeys([*features, "customer_id", "cutoff", "label"]))
-    rows = row_positions(test.select(*used), ["customer_id", "cutoff"], seed)
-    shuffled = shuffle_feature(rows, features, n_repeats, seed)
-    scored = score(model, shuffled).select("feature", "repeat", "label", "score")
-    return average_precision(score_curve(scored, ["feature", "repeat"]), ["feature", "repeat"])
-
-
 def permutation_table(model: PipelineModel, test: DataFrame, features: list[str],
                       n_repeats: int = 10, seed: int = SEED, features_per_job: int = 11,
                       digits: int = 5) -> DataFrame:

@@ -6,7 +6,7 @@ judged on ranking and calibration.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
@@ -38,16 +38,22 @@ class MedianImputer(Estimator):
     def output_columns(self) -> list[str]:
         return ([f"{f}_filled" for f in self.features] + [f"{f}_missing" for f in self.flags])
 
-    def _fit(self, dataset: DataFrame) -> Transformer:
+    def medians_of(self, dataset: DataFrame) -> dict[str, float]:
         # One row per feature reaches the driver.
-        medians = {r["feature"]: r["median"]
-                   for r in exact_medians(dataset, self.features).collect()}
-        filled = [f"coalesce(cast(`{f}` AS double), {float(medians.get(f) or 0.0)!r}D) "
-                  f"AS `{f}_filled`" for f in self.features]
+        found = {r["feature"]: r["median"]
+                 for r in exact_medians(dataset, self.features).collect()}
+        return {f: float(found.get(f) or 0.0) for f in self.features}
+
+    def filling_with(self, medians: dict[str, float]) -> Transformer:
+        filled = [f"coalesce(cast(`{f}` AS double), {medians[f]!r}D) AS `{f}_filled`"
+                  for f in self.features]
         flags = [f"CASE WHEN `{f}` IS NULL THEN 1D ELSE 0D END AS `{f}_missing`"
                  for f in self.flags]
         return SQLTransformer(statement=f"SELECT *, {', '.join(filled + flags)} FROM __THIS__")
 
+    def _fit(self, dataset: DataFrame) -> Transformer:
+        return self.filling_with(self.medians_of(dataset))
+
 
 class PenalisedLogisticRegression(Estimator):
     """L2 logistic regression with strength ``c`` on the summed loss, whatever the row count."""
@@ -164,8 +170,19 @@ def boosting_candidates(features: list[str], grid=tuple(BOOSTING_GRID),
     return {i: boosted_trees(features, sizes(p)) for i, p in enumerate(grid)}
 
 
-def fit(model: Estimator, train: DataFrame) -> PipelineModel:
-    return model.fit(train)
+def fit(model: Pipeline, train: DataFrame, medians: dict[str, float] | None = None
+        ) -> PipelineModel:
+    """Fit one model. ``medians`` remembers those of ``train`` between models fitted on it."""
+    if medians is None:
+        return model.fit(train)
+    stages = []
+    for stage in model.getStages():
+        if isinstance(stage, MedianImputer):
+            if not set(stage.features) <= set(medians):
+                medians.update(stage.medians_of(train))
+            stage = stage.filling_with(medians)
+        stages.append(stage)
+    return Pipeline(stages=stages).fit(train)
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -194,7 +211,3 @@ def model_features(model: PipelineModel) -> list[str]:
             return [c.removesuffix("_filled") for c in stage.getInputCols()
                     if c.endswith("_filled")]
     return []
-
-
-def size_names() -> list[str]:
-    return [f.name for f in fields(ModelSizes)]

@@ -22,6 +22,7 @@ there as any other.
 from __future__ import annotations
 
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -197,18 +198,34 @@ def buyers(transactions: DataFrame, cutoffs, horizon_days: int) -> DataFrame:
 # ---------------------------------------------------------------------------------------------
 # From facts to features
 # ---------------------------------------------------------------------------------------------
-def _facts(transactions: DataFrame, moments, horizon_days: int, windows) -> DataFrame:
+# Columns of the gathered facts; a kind of fact that is not asked for leaves its own NULL.
+_FACT_COLUMNS = {
+    "customer_id": "bigint", "country": "string", "valid_from": "int", "valid_to": "int",
+    "orders": "bigint", "new_orders": "bigint", "first_date": "timestamp_ntz",
+    "last_date": "timestamp_ntz", "value": "bigint", "max_value": "bigint", "spread": "double",
+    "items": "bigint", "products": "bigint", "new_products": "bigint", "country_lines": "bigint",
+    "lines": "bigint", "units": "bigint", "prices": "double", "bought": "int",
+}
+
+
+def _facts(transactions: DataFrame, moments, horizon_days: int | None, windows,
+           blocks=tuple(FEATURE_BLOCKS)) -> DataFrame:
+    """The facts that the feature blocks need, and those for the label if there is a horizon.
+    Order facts always come along: they decide which customers exist."""
     past = with_epoch(transactions, moments)
     last = len(moments)
-    bought = buyers(transactions, moments, horizon_days).select(
-        "customer_id", F.col("at").alias("valid_from"), (F.col("at") + 1).alias("valid_to"),
-        F.lit(1).alias("bought"))
-    tables = [_order_facts(transactions, moments, windows), _product_facts(past, last),
-              _line_facts(past, last), bought]
-    facts = tables[0]
-    for table in tables[1:]:
-        facts = facts.unionByName(table, allowMissingColumns=True)
-    return facts
+    tables = [_order_facts(transactions, moments, windows)]
+    if "breadth" in blocks:
+        tables.append(_product_facts(past, last))
+    if {"breadth", "market"} & set(blocks):
+        tables.append(_line_facts(past, last))
+    if horizon_days is not None:
+        tables.append(buyers(transactions, moments, horizon_days).select(
+            "customer_id", F.col("at").alias("valid_from"), (F.col("at") + 1).alias("valid_to"),
+            F.lit(1).alias("bought")))
+    return reduce(DataFrame.unionByName, [table.select(*[
+        (F.col(name) if name in table.columns else F.lit(None)).cast(kind).alias(name)
+        for name, kind in _FACT_COLUMNS.items()]) for table in tables])
 
 
 def _with_running_facts(facts: DataFrame, last: int, home_market: str) -> DataFrame:
@@ -351,11 +368,16 @@ def build_snapshots(transactions: DataFrame, settings: SnapshotSettings = Snapsh
     ``require_history`` checks first that every cutoff has past lines, and raises if not.
     """
     moments = settings.ordered_cutoffs()
-    last = len(moments)
     if require_history:
         check_history(transactions, moments)
     facts = _facts(transactions, moments, settings.horizon_days, WINDOW_DAYS)
-    gathered = _with_running_facts(facts, last, settings.home_market)
+    return _fold(facts, moments, settings.min_history_days, settings.home_market)
+
+
+def _fold(facts: DataFrame, moments, min_history_days: int, home_market: str) -> DataFrame:
+    """Gather facts by customer, fan them out to cutoffs, and fold them into features."""
+    last = len(moments)
+    gathered = _with_running_facts(facts, last, home_market)
     # Amounts of a replaced order state and replaced country totals end at ``holds_to``; the
     # dates and gaps of an order and the line sums hold on.
     until = F.when((F.col("new_orders") > 0) | F.col("country_lines").isNotNull(), F.lit(last)) \
@@ -367,7 +389,7 @@ def build_snapshots(transactions: DataFrame, settings: SnapshotSettings = Snapsh
         .groupBy("customer_id", "cutoff").agg(*_aggregates(WINDOW_DAYS))
         .filter(F.col("orders") > 0))
     return (_features(sums, WINDOW_DAYS)
-            .filter(F.col("tenure_days") >= settings.min_history_days))
+            .filter(F.col("tenure_days") >= min_history_days))
 
 
 def snapshot(transactions: DataFrame, cutoff, horizon_days: int = 30, min_history_days: int = 30,
@@ -382,8 +404,9 @@ def build_features(transactions: DataFrame, cutoffs, home_market: str = "United
                    blocks=tuple(FEATURE_BLOCKS)) -> DataFrame:
     """Feature blocks for every customer with past orders, without label or history filter."""
     names = [name for block in blocks for name in FEATURE_BLOCKS[block]]
-    settings = SnapshotSettings(tuple(cutoffs), 0, 0, home_market)
-    return build_snapshots(transactions, settings).select("customer_id", "cutoff", *names)
+    moments = parse_cutoffs(cutoffs)
+    facts = _facts(transactions, moments, None, WINDOW_DAYS, blocks)
+    return _fold(facts, moments, 0, home_market).select("customer_id", "cutoff", *names)
 
 
 def build_labels(transactions: DataFrame, customers: DataFrame, cutoffs,

@@ -13,6 +13,7 @@ from tidemark.operators import metrics
 from tidemark.operators.metrics import average_precision
 from tidemark.operators.models import fit, model_zoo, score
 from tidemark.operators.ranking import score_curve, union_all
+from tidemark.session import materialise
 
 
 def _on_day_of(moments) -> Column:
@@ -75,8 +76,9 @@ def fold_scores(snapshots: DataFrame, features: list[str], cutoffs=tuple(DEV_CUT
             continue
         train = snapshots.filter(_on_day_of(train_cuts))
         valid = snapshots.filter(_on_day_of([valid_cut]))
+        medians: dict[str, float] = {}
         for name, model in models.items():
-            parts.append(score(fit(model, train), valid).select(
+            parts.append(score(fit(model, train, medians), valid).select(
                 F.lit(name).alias("model"), F.lit(fold).alias("fold"),
                 day_text(timestamp(valid_cut)).alias("valid_cutoff"),
                 F.lit(n_train).cast("bigint").alias("n_train"),
@@ -91,7 +93,8 @@ def cross_validate(snapshots: DataFrame, features: list[str], cutoffs=tuple(DEV_
                    min_train: int = 3, models: dict | None = None) -> DataFrame:
     """Model x fold rows with sizes and the twelve metrics, evaluated in one job."""
     keys = ["model", "fold", "valid_cutoff", "n_train", "n_valid"]
-    return metrics.evaluate(fold_scores(snapshots, features, cutoffs, min_train, models), keys)
+    scored = materialise(fold_scores(snapshots, features, cutoffs, min_train, models))
+    return metrics.evaluate(scored, keys)
 
 
 def summarise_cv(cv: DataFrame, digits: int = 4, share: int = 20) -> DataFrame:

@@ -17,6 +17,7 @@ def local_session(cores: int = 8, app: str = "tidemark", **conf: str) -> SparkSe
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "12g"))
     )
     for key, value in conf.items():
@@ -41,12 +42,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the checkpoint folder and carry on from the written copy.
+    """Write ``df`` once to the shared folder and carry on from the written table.
 
-    Used where the same rows feed many later jobs (model fits); the copy lives in shared
-    storage, so a lost executor costs a re-read and never a recomputation.
+    Used where the same rows feed many later jobs. The copy lives in shared storage, so a lost
+    executor costs a re-read and never a recomputation.
     """
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
