@@ -14,9 +14,9 @@ customer buys:
 * line sums per (customer, country, epoch), which also give the modal country;
 * buyers per (customer, cutoff), for the label.
 
-Only those facts are gathered by customer, then fanned out to the cutoffs they count for and
-folded into features in the same place. A customer with a third of all lines costs the same
-there as any other.
+Only those facts are gathered by customer. In the same place they are merged by the range of
+cutoffs they count for, and only the merged rows are fanned out to the cutoffs. A customer with
+a third of all lines costs the same there as any other.
 """
 
 from __future__ import annotations
@@ -255,57 +255,81 @@ def _with_running_facts(facts: DataFrame, last: int, home_market: str) -> DataFr
         .otherwise(F.col("valid_to")).alias("holds_to"))
 
 
-def _aggregates(windows) -> list[Column]:
-    """Everything a (customer, cutoff) needs, in one pass over its facts."""
-    # Order states replaced by a later one keep their date and gap but no longer their amounts.
-    current = F.col("at") < F.col("holds_to")
-    single = F.col("value") / F.col("orders") - F.col("reference")
+# How the columns of spans combine: those of an order state or country total, which end when it
+# is replaced, and those that hold on.
+_STATE = {"orders": F.sum, "value": F.sum, "items": F.sum, "products": F.sum, "shift_1": F.sum,
+          "shift_2": F.sum, "max_value": F.max, "home_lines": F.max, "lines_before_home": F.max,
+          "lines_after_home": F.max}
+_LASTING = {"first_date": F.min, "last_date": F.max, "new_orders": F.sum, "gap_1": F.sum,
+            "gap_2": F.sum, "gap_min": F.min, "gap_max": F.max, "new_products": F.sum,
+            "units": F.sum, "prices": F.sum, "lines": F.sum, "bought": F.max}
 
-    def now(column: str) -> Column:
-        return F.when(current, F.col(column))
-
-    aggregates = [
-        F.sum(now("orders")).alias("orders"),
-        F.sum(now("value")).alias("value"),
-        F.max(now("max_value")).alias("max_value"),
-        F.sum(now("items")).alias("items"),
-        F.sum(now("products")).alias("products"),
-        F.sum(F.when(current, F.col("orders") * single)).alias("shift_1"),
-        F.sum(F.when(current, F.col("spread") + F.col("orders") * single * single))
-        .alias("shift_2"),
-        F.min("first_date").alias("first_date"),
-        F.max("last_date").alias("last_date"),
-        F.sum("new_orders").alias("all_orders"),
-        F.sum("gap").alias("gap_1"),
-        F.sum(F.col("gap") * F.col("gap")).alias("gap_2"),
-        # Further orders on the same day follow after zero days.
-        F.min(F.when(F.col("new_orders") > 1, F.lit(0).cast("bigint")).otherwise(F.col("gap")))
-        .alias("gap_min"),
-        F.max(F.greatest(F.col("gap"), F.when(F.col("new_orders") > 1, F.lit(0).cast("bigint"))))
-        .alias("gap_max"),
-        F.sum("new_products").alias("distinct_products"),
-        F.sum("units").alias("total_units"),
-        F.sum("prices").alias("prices"),
-        F.sum("lines").alias("lines"),
-        F.max(now("home_lines")).alias("home_lines"),
-        F.max(now("lines_before_home")).alias("lines_before_home"),
-        F.max(now("lines_after_home")).alias("lines_after_home"),
-        F.max("bought").alias("bought"),
-    ]
-    for days in windows:
-        inside = current & (F.col("first_date") >= F.col("cutoff") - F.make_dt_interval(F.lit(days)))
-        aggregates += [
-            F.coalesce(F.sum(F.when(inside, F.col("orders"))), F.lit(0).cast("bigint"))
-            .alias(f"orders_{days}"),
-            F.coalesce(F.sum(F.when(inside, F.col("value"))), F.lit(0).cast("bigint"))
-            .alias(f"value_{days}")]
-    return aggregates
+
+def _spans(gathered: DataFrame, moments, windows) -> DataFrame:
+    """Merge a customer's facts by the range of cutoffs they count for.
+
+    A fact gives one row for its whole range ``[starts, until)`` (its state columns only up to
+    ``holds_to``), and, if it is an order, one more for each cutoff whose trailing windows it
+    falls into. Old orders therefore cost one row, however many cutoffs follow.
+    """
+    last = len(moments)
+    starts, holds_to = F.col("valid_from"), F.col("holds_to")
+    in_windows = F.least(holds_to, F.coalesce(
+        count_reached("first_date", [m - timedelta(days=max(windows)) for m in moments]),
+        F.lit(0)))
+    until = F.when((F.col("new_orders") > 0) | F.col("country_lines").isNotNull(), F.lit(last)) \
+        .otherwise(holds_to)
+    single = F.col("value") / F.col("orders") - F.col("reference")
+    gap, zero = F.col("gap"), F.lit(0).cast("bigint")
+    # Further orders on the same day follow after zero days.
+    same_day = F.when(F.col("new_orders") > 1, zero)
+    whole_values = {
+        "shift_1": F.col("orders") * single,
+        "shift_2": F.col("spread") + F.col("orders") * single * single,
+        "gap_1": gap, "gap_2": gap * gap, "gap_min": F.coalesce(same_day, gap),
+        "gap_max": F.greatest(gap, same_day)}
+    rows = gathered.withColumn("at", F.explode(F.sequence(
+        starts - 1, F.greatest(starts, in_windows) - 1)))
+    whole = F.col("at") < starts
+    cutoff = _cutoff_at(F.greatest(F.col("at"), F.lit(0)), moments)
+
+    def inside(days: int, name: str) -> Column:
+        edge = cutoff - F.make_dt_interval(F.lit(days))
+        return F.when(~whole & (F.col("first_date") >= edge), F.col(name))
+
+    in_window = {f"{name}_{days}": inside(days, name)
+                 for days in windows for name in ("orders", "value")}
+    how = {**_STATE, **_LASTING}
+    return (
+        rows.groupBy(
+            "customer_id", F.when(whole, starts).otherwise(F.col("at")).alias("starts"),
+            F.when(whole, holds_to).otherwise(F.col("at") + 1).alias("holds_to"),
+            F.when(whole, until).otherwise(F.col("at") + 1).alias("until"))
+        .agg(*[combine(F.when(whole, whole_values.get(name, F.col(name)))).alias(name)
+               for name, combine in how.items()],
+             *[F.sum(column).alias(name) for name, column in in_window.items()]))
+
+
+def _at_cutoffs(spans: DataFrame, moments, windows) -> DataFrame:
+    """Fan the merged spans out to their cutoffs: one row per (customer, cutoff)."""
+    holds = F.col("at") < F.col("holds_to")
+    return (
+        spans
+        .withColumn("at", F.explode(F.sequence(F.col("starts"), F.col("until") - 1)))
+        .groupBy("customer_id", "at")
+        .agg(*[combine(F.when(holds, F.col(name))).alias(name)
+               for name, combine in _STATE.items()],
+             *[combine(name).alias(name) for name, combine in _LASTING.items()],
+             *[F.coalesce(F.sum(f"{name}_{days}"), F.lit(0).cast("bigint"))
+               .alias(f"{name}_{days}") for days in windows for name in ("orders", "value")])
+        .filter(F.col("orders") > 0)
+        .withColumn("cutoff", _cutoff_at(F.col("at"), moments)))
 
 
 def _features(sums: DataFrame, windows) -> DataFrame:
     n = F.col("orders").cast("double")
-    gaps = (F.col("all_orders") - 1).cast("double")
-    has_gap = F.col("all_orders") > 1
+    gaps = (F.col("new_orders") - 1).cast("double")
+    has_gap = F.col("new_orders") > 1
     g1 = F.coalesce(F.col("gap_1"), F.lit(0).cast("bigint")).cast("double")
     g2 = F.coalesce(F.col("gap_2"), F.lit(0).cast("bigint")).cast("double")
     order_spread = F.col("shift_2") - F.col("shift_1") * F.col("shift_1") / n
@@ -348,10 +372,11 @@ def _features(sums: DataFrame, windows) -> DataFrame:
         "order_momentum": share("orders_last_30d", "orders_last_90d"),
         "revenue_momentum": share("revenue_last_30d", "revenue_last_90d"),
         "orders_90d_vs_180d": share("orders_last_90d", "orders_last_180d"),
-        "distinct_products": F.coalesce(F.col("distinct_products"), F.lit(0).cast("bigint")),
+        "distinct_products": F.coalesce(F.col("new_products"), F.lit(0).cast("bigint")),
+        "total_units": F.col("units"),
         "avg_unit_price": F.try_divide(F.col("prices"), F.col("lines")),
         "products_per_order":
-            F.coalesce(F.col("distinct_products"), F.lit(0).cast("bigint"))
+            F.coalesce(F.col("new_products"), F.lit(0).cast("bigint"))
             / F.greatest(n, F.lit(1.0)),
         "is_export": F.lit(1) - F.col("is_uk"),
     }
@@ -376,18 +401,8 @@ def build_snapshots(transactions: DataFrame, settings: SnapshotSettings = Snapsh
 
 def _fold(facts: DataFrame, moments, min_history_days: int, home_market: str) -> DataFrame:
     """Gather facts by customer, fan them out to cutoffs, and fold them into features."""
-    last = len(moments)
-    gathered = _with_running_facts(facts, last, home_market)
-    # Amounts of a replaced order state and replaced country totals end at ``holds_to``; the
-    # dates and gaps of an order and the line sums hold on.
-    until = F.when((F.col("new_orders") > 0) | F.col("country_lines").isNotNull(), F.lit(last)) \
-        .otherwise(F.col("holds_to"))
-    sums = (
-        gathered
-        .withColumn("at", F.explode(F.sequence(F.col("valid_from"), until - 1)))
-        .withColumn("cutoff", _cutoff_at(F.col("at"), moments))
-        .groupBy("customer_id", "cutoff").agg(*_aggregates(WINDOW_DAYS))
-        .filter(F.col("orders") > 0))
+    gathered = _with_running_facts(facts, len(moments), home_market)
+    sums = _at_cutoffs(_spans(gathered, moments, WINDOW_DAYS), moments, WINDOW_DAYS)
     return (_features(sums, WINDOW_DAYS)
             .filter(F.col("tenure_days") >= min_history_days))
 
