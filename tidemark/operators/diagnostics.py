@@ -116,31 +116,32 @@ def stability(scored: DataFrame, keys=("model",)) -> DataFrame:
 def shuffle_feature(rows: DataFrame, features: list[str], repeats: int, seed: int) -> DataFrame:
     """All (feature, repeat) copies of ``rows``, each with that feature permuted.
 
-    ``rows`` carries ``position`` 0..n-1 in a random order and ``position_total``. Copy (f, r)
-    takes its value of f from position ``(a_r * position + b_fr) mod n``: a permutation, since
-    the prime a_r does not divide n. Values are found by an equi-join on (feature, position).
+    ``rows`` carries ``position`` 0..n-1 in a random order and ``position_total``. In copy (f, r)
+    the value of f at a position goes to position ``(a_r * position + b_fr) mod n``: a
+    permutation, since the prime a_r does not divide n. Only these values travel; the row they
+    arrive at is joined once and copied in place.
     """
     n = F.col("position_total")
     multiplier = F.element_at(
         F.array(*[F.lit(m).cast("bigint") for m in _MULTIPLIERS]),
         F.col("repeat") % len(_MULTIPLIERS) + 1)
     shift = positive_hash(F.lit(seed), "feature", "repeat")
-    donor = F.pmod(F.col("position") * F.pmod(multiplier, n) + F.pmod(shift, n), n)
-    copies = (
-        rows.withColumn("feature", F.explode(F.array(*[F.lit(f) for f in features])))
+    target = F.pmod(F.col("position") * F.pmod(multiplier, n) + F.pmod(shift, n), n)
+    values = F.inline(F.array(*[
+        F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("_value"))
+        for f in features]))
+    # One value per feature and repeat arrives at each position.
+    arrivals = (
+        rows.select("position", "position_total", values)
         .withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-        .withColumn("_donor", donor))
-    values = rows.select(
-        F.col("position").alias("_donor"),
-        F.inline(F.array(*[F.struct(F.lit(f).alias("feature"),
-                                    F.col(f).cast("double").alias("_value"))
-                           for f in features])))
+        .select(target.alias("position"), F.struct("feature", "repeat", "_value").alias("_in"))
+        .groupBy("position").agg(F.collect_list("_in").alias("_in")))
     types = dict(rows.dtypes)
-    mixed = copies.join(values, ["feature", "_donor"])
-    for f in features:
-        mixed = mixed.withColumn(
-            f, F.when(F.col("feature") == f, F.col("_value").cast(types[f])).otherwise(F.col(f)))
-    return mixed.drop("_donor", "_value")
+    copies = rows.join(arrivals, "position").select(*rows.columns, F.inline("_in"))
+    return copies.select(
+        *[F.when(F.col("feature") == c, F.col("_value").cast(types[c])).otherwise(F.col(c))
+          .alias(c) if c in features else F.col(c) for c in rows.columns],
+        "feature", "repeat")
 
 
 def permutation_table(model: PipelineModel, test: DataFrame, features: list[str],

@@ -183,15 +183,16 @@ def _line_facts(past: DataFrame, last: int) -> DataFrame:
 def buyers(transactions: DataFrame, cutoffs, horizon_days: int) -> DataFrame:
     """Distinct (customer, cutoff position) with a line in that cutoff's outcome window."""
     moments = parse_cutoffs(cutoffs)
-    horizon = timedelta(days=horizon_days)
-    date = F.col("invoice_date")
-    hits = F.array_compact(F.array(*[
-        F.when((date >= timestamp(m)) & (date < timestamp(m + horizon)), F.lit(i))
-        for i, m in enumerate(moments)]))
+    ends = [m + timedelta(days=horizon_days) for m in moments]
+    # The cutoffs at or before a line whose window has not ended follow one another.
+    first, past = count_reached("invoice_date", ends), count_reached("invoice_date", moments)
     return (
         transactions
-        .filter((date >= timestamp(moments[0])) & (date < timestamp(moments[-1] + horizon)))
-        .select("customer_id", F.explode(hits).alias("at"))
+        .filter((F.col("invoice_date") >= timestamp(moments[0]))
+                & (F.col("invoice_date") < timestamp(ends[-1])))
+        .select("customer_id", first.alias("first"), past.alias("past"))
+        .filter(F.col("first") < F.col("past"))
+        .select("customer_id", F.explode(F.sequence("first", F.col("past") - 1)).alias("at"))
         .distinct())
 
 

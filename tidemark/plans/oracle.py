@@ -365,15 +365,14 @@ placed AS (
   SELECT *, row_number() OVER (ORDER BY {identity}, customer_id, cutoff) - 1 AS position,
     count(*) OVER () AS n
   FROM snap WHERE cutoff IN ({_days(ORDER_HOLDOUT)})),
-copies AS (
-  SELECT feature, repeat, label, recency_days,
-    (position * (factor % n) + ({shift}) % n) % n AS donor
+sent AS (
+  SELECT feature, repeat, recency_days AS value,
+    (position * (factor % n) + ({shift}) % n) % n AS target
   FROM placed, (VALUES {features}) AS f(feature), (VALUES {factors}) AS r(repeat, factor)),
 shuffled AS (
-  SELECT feature, repeat, c.label,
-    1e0 / (1e0 + CASE WHEN feature = 'recency_days' THEN d.recency_days ELSE c.recency_days END)
-      AS score
-  FROM copies c JOIN placed d ON c.donor = d.position),
+  SELECT feature, repeat, label,
+    1e0 / (1e0 + CASE WHEN feature = 'recency_days' THEN value ELSE recency_days END) AS score
+  FROM sent JOIN placed ON target = position),
 {average_precision('shuffled', 'feature, repeat', 'moved')},
 plain AS (SELECT 'base' AS key, label, 1e0 / (1e0 + recency_days) AS score FROM placed),
 {average_precision('plain', 'key', 'base')}
