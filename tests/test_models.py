@@ -75,6 +75,19 @@ def test_penalty_follows_the_row_count(spark, snapshots):
     assert fitted.stages[-1].getRegParam() == pytest.approx(1 / 1000)
 
 
+def test_logistic_regression_reaches_its_optimum(spark, snapshots):
+    """At the optimum of C * sum(loss) + |w|^2 / 2 the weights equal C * sum((y - p) * x)."""
+    table = snapshots.withColumn("label", (D.F.col("recency_days") < 40).cast("int"))
+    fitted = M.fit(M.logistic_regression(FEATURES, M.ModelSizes(logistic_iterations=500)), table)
+    rows = fitted.transform(table).select("scaled", "label", "probability").collect()
+    x = np.array([r["scaled"].toArray() for r in rows])
+    residual = np.array([r["label"] - r["probability"][1] for r in rows])
+    weights = fitted.stages[-1].coefficients.toArray()
+    np.testing.assert_allclose(residual @ x, weights, rtol=1e-2, atol=1e-2)
+    assert abs(residual.sum()) < 1e-2
+    assert np.allclose(x.mean(axis=0), 0, atol=1e-9)
+
+
 def test_cross_validation(spark, snapshots):
     cv = V.cross_validate(snapshots, FEATURES, DEV_CUTOFFS[:5],
                           models=M.model_zoo(FEATURES, SMALL)).toPandas()

@@ -124,10 +124,17 @@ def _vector(features: list[str], flags: tuple[str, ...] = ()):
     return [imputer, VectorAssembler(inputCols=imputer.output_columns, outputCol="filled")]
 
 
-def logistic_regression(features: list[str], sizes: ModelSizes = ModelSizes()) -> Pipeline:
+def numeric_preparation(features: list[str]) -> Pipeline:
+    """Median filling, then mean 0 and deviation 1, as the vector ``scaled``; fitted on the
+    training rows only."""
     return Pipeline(stages=[
         *_vector(features),
-        StandardScaler(inputCol="filled", outputCol="scaled", withMean=True, withStd=True),
+        StandardScaler(inputCol="filled", outputCol="scaled", withMean=True, withStd=True)])
+
+
+def logistic_regression(features: list[str], sizes: ModelSizes = ModelSizes()) -> Pipeline:
+    return Pipeline(stages=[
+        *numeric_preparation(features).getStages(),
         PenalisedLogisticRegression("scaled", 1.0, sizes.logistic_iterations)])
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from zlib import crc32
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -171,6 +172,15 @@ def feature_medians(spark, sf_dir):
     return _rounded(ranking.exact_medians(dev, snap.FEATURES), 3)
 
 
+def standardised_features(spark, sf_dir):
+    dev, test = _dev_test(spark, sf_dir)
+    names = oracle.SCALED_FEATURES
+    scaled = models.numeric_preparation(names).fit(dev).transform(test)
+    values = vector_to_array("scaled")
+    return _rounded(scaled.select("customer_id", "cutoff",
+                                  *[values[i].alias(c) for i, c in enumerate(names)]), 7)
+
+
 # Queries around fitted models: rows only, since no SQL engine can fit them.
 def zoo_holdout(spark, sf_dir):
     dev, test = _dev_test(spark, sf_dir)
@@ -268,6 +278,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "permutation_importance": permutation_importance,
     "leakage_audit": leakage_audit,
     "feature_medians": feature_medians,
+    "standardised_features": standardised_features,
     "zoo_holdout": zoo_holdout,
     "zoo_cross_validation": zoo_cross_validation,
     "zoo_importance": zoo_importance,

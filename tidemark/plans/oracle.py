@@ -349,6 +349,7 @@ cal AS (
   SELECT model, CAST(bin AS INTEGER) AS bin, avg(score) AS predicted, avg(label) AS observed
   FROM binned GROUP BY ALL)"""
 
+SCALED_FEATURES = ["recency_days", "monetary", "mean_gap_days", "gap_cv", "distinct_products"]
 IMPORTANCE_FEATURES = ["recency_days", "recency_vs_gap", "frequency"]
 
 
@@ -540,6 +541,19 @@ SELECT change, count(*) AS rows_compared, CAST(0 AS BIGINT) AS rows_moved,
   CAST(sum(label) AS BIGINT) AS labels_before,
   CAST(CASE change WHEN 'deleted' THEN 0 ELSE sum(label) END AS BIGINT) AS labels_after
 FROM one, (VALUES ('deleted'), ('inflated')) AS c(change) GROUP BY change""",
+        "standardised_features": f"""WITH {ORDER_SNAP},
+med AS (SELECT {', '.join(f'median(CAST({f} AS DOUBLE)) AS {f}_m' for f in SCALED_FEATURES)}
+  FROM snap WHERE cutoff IN ({dev})),
+filled AS (
+  SELECT customer_id, cutoff,
+    {', '.join(f'coalesce(CAST({f} AS DOUBLE), {f}_m) AS {f}' for f in SCALED_FEATURES)}
+  FROM snap, med),
+fitted AS (
+  SELECT {', '.join(f'avg({f}) AS {f}_a, stddev_samp({f}) AS {f}_s' for f in SCALED_FEATURES)}
+  FROM filled WHERE cutoff IN ({dev}))
+SELECT customer_id, cutoff,
+  {', '.join(f"{rounded(f'({f} - {f}_a) / {f}_s', 7)} AS {f}" for f in SCALED_FEATURES)}
+FROM filled, fitted WHERE cutoff IN ({test})""",
         "feature_medians": f"""WITH {ORDER_SNAP},
 dev AS (SELECT * FROM snap WHERE cutoff IN ({dev})),
 m AS ({medians})
