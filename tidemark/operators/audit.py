@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.config import SnapshotSettings, parse_cutoffs
 from tidemark.functions.scalars import timestamp
 from tidemark.operators.snapshots import FEATURES, snapshot
+from tidemark.session import materialise
 
 CHANGES = ("deleted", "inflated")
 
@@ -42,7 +43,7 @@ def leakage_audit(transactions: DataFrame, cutoff, settings: SnapshotSettings,
         near = F.abs(a - b) <= F.lit(tolerance) * F.greatest(F.abs(a), F.abs(b), F.lit(1.0))
         return (a.isNull() & b.isNull()) | F.coalesce(near, F.lit(False))
 
-    original = snap(transactions).alias("a")
+    original = materialise(snap(transactions)).alias("a")
     results = []
     for change in changes:
         changed = snap(change_future(transactions, cutoff, change)).alias("b")

@@ -134,13 +134,13 @@ def hits_at(points: DataFrame, scored: DataFrame, keys: list[str], cuts: dict,
     moment, identifier = ties
     rows = scored.select(*keys, as_column(score).cast("double").alias("_score"),
                          as_column(label).cast("bigint").alias("_label"),
-                         F.col(moment), F.col(identifier))
+                         F.col(moment).alias("_moment"), F.col(identifier).alias("_id"))
     # At most one row per group and cut; how it is joined is decided from its measured size.
     split = (ends.filter(F.col("_take") < F.col("_run")).groupBy(*keys, "_score")
              .agg(F.collect_list(F.struct("cut", "_take")).alias("_ends")))
     runs = rows.join(split, [*keys, "_score"])
     from_run = (
-        _ranked_within(runs, [*keys, "_score"], ties)
+        _ranked_within(runs, [*keys, "_score"], ("_moment", "_id"))
         .select(*keys, "_one_before", "_label", F.inline("_ends"))
         .groupBy(*keys, "cut")
         .agg(F.sum(F.when(F.col("_one_before") < F.col("_take"), F.col("_label")))
