@@ -231,7 +231,7 @@ def _facts(transactions: DataFrame, moments, horizon_days: int | None, windows,
 
 def _with_running_facts(facts: DataFrame, last: int, home_market: str) -> DataFrame:
     """Gather a customer's facts and add what depends on the facts before: the gap to the
-    previous order, a reference value for the variance, and the lines per country so far."""
+    previous order, an anchor for the variance, and the lines per country so far."""
     facts = facts.repartition("customer_id")
     in_time = Window.partitionBy("customer_id", "country").orderBy(
         "valid_from", F.col("first_date").asc_nulls_last(), "valid_to")
@@ -239,7 +239,7 @@ def _with_running_facts(facts: DataFrame, last: int, home_market: str) -> DataFr
     so_far = in_time.rowsBetween(Window.unboundedPreceding, 0)
     is_country = F.col("country").isNotNull()
     previous = F.max("last_date").over(before)
-    reference = F.first(F.col("value") / F.col("orders"), ignorenulls=True).over(so_far)
+    anchor = F.first(F.col("value") / F.col("orders"), ignorenulls=True).over(so_far)
     # The modal country is the home market if no other country has more lines, and none whose
     # name sorts first has as many; so three counts decide it and no name has to travel on.
     home = F.lit(home_market)
@@ -249,7 +249,7 @@ def _with_running_facts(facts: DataFrame, last: int, home_market: str) -> DataFr
     return facts.select(
         *[c for c in facts.columns if c != "country"],
         F.when(F.col("new_orders") > 0, whole_days(previous, F.col("first_date"))).alias("gap"),
-        reference.alias("reference"),
+        anchor.alias("anchor"),
         *[F.when(side, F.sum("country_lines").over(so_far)).alias(name)
           for name, side in sides.items()],
         F.when(is_country, F.lead("valid_from", 1, last).over(in_time))
@@ -280,7 +280,7 @@ def _spans(gathered: DataFrame, moments, windows) -> DataFrame:
         F.lit(0)))
     until = F.when((F.col("new_orders") > 0) | F.col("country_lines").isNotNull(), F.lit(last)) \
         .otherwise(holds_to)
-    single = F.col("value") / F.col("orders") - F.col("reference")
+    single = F.col("value") / F.col("orders") - F.col("anchor")
     gap, zero = F.col("gap"), F.lit(0).cast("bigint")
     # Further orders on the same day follow after zero days.
     same_day = F.when(F.col("new_orders") > 1, zero)
