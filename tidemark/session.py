@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -27,13 +28,27 @@ def local_session(cores: int = 8, app: str = "tidemark", **conf: str) -> SparkSe
     return spark
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a local one only if it is unset."""
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    A session that runs in one process may leave it unset and gets one temporary folder of its
+    own per application. On a cluster an unset folder is an error: every executor would write to
+    its own disk, and later reads would miss rows without noticing.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None:
-        named = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    if named:
+        return named
+    master = spark.conf.get("spark.master", "")
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all "
+                         f"executors share; master is {master!r}")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="tidemark-")
+    return _LOCAL_DIRS[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
