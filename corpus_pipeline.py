@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, pii, quality_classifier
+from tidemark.llm import decontamination, mixing, pii, quality_classifier, similarity_join
 from tidemark.llm.common import read_documents, read_table
 from tidemark.session import materialise
 
@@ -15,6 +15,16 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality_classifier.accepted(docs, quality_classifier.train(docs, labels))
 
 
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by shared shingles of five words, the one with the smallest id."""
+    return similarity_join.one_of_each(docs, width=5, percent=80)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontamination.without_leaks(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Identifiers, plain and disguised, give way to their kind."""
     return pii.mask(docs)
@@ -27,6 +37,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality", keep_quality),
+    ("near_duplicates", one_of_each_group),
+    ("decontamination", drop_benchmark),
     ("personal_data", mask_personal_data),
     ("mixing", mix_sources),
 ]

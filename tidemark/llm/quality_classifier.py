@@ -31,9 +31,9 @@ TRAIN_ROWS = 4000
 KEEP_FROM = 0.7
 SEED = 20240501
 
-_KIND = np.full(256, 2, np.uint8)                 # symbols
-_KIND[[32, 9, 10, 11, 12, 13]] = 0                # white space
-_KIND[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = 1
+KIND = np.full(256, 2, np.uint8)                 # symbols
+KIND[[32, 9, 10, 11, 12, 13]] = 0                # white space
+KIND[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = 1
 
 
 def index_vectors(seed: int = SEED) -> np.ndarray:
@@ -48,7 +48,7 @@ def index_vectors(seed: int = SEED) -> np.ndarray:
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bucket of every run of letters and digits or of symbols, and each row's first token."""
-    kind = _KIND[data]
+    kind = KIND[data]
     edge = row_edges(len(data), offsets)
     differs = np.ones(len(data) + 1, bool)
     differs[1:-1] = (kind[1:] != kind[:-1]) | edge[1:]

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import (mixing, pii, quality_classifier, quality_rules,
-                          similarity_join, substring_dedup, token_counts, toxicity)
+from tidemark.llm import (decontamination, mixing, pii, quality_classifier, quality_rules,
+                          similarity_join, substring_dedup, suffix_dedup, token_counts, toxicity)
 from tidemark.llm.common import read_documents, read_table
 
 
@@ -34,6 +34,11 @@ def op5_similarity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity_join.similarity_components(read_documents(spark, sf_dir))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(read_documents(spark, sf_dir),
+                                      read_table(spark, sf_dir, "benchmark"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_documents(spark, sf_dir)
     model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
@@ -48,10 +53,15 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_digest(read_documents(spark, sf_dir))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_digest(read_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_personal_data, op2_quality_rules, op3_quality_classifier, op4_source_mixing,
-        op5_similarity_join, op7_toxicity, op8_token_counts, op9_substring_dedup)}
+        op5_similarity_join, op6_decontamination, op7_toxicity, op8_token_counts,
+        op9_substring_dedup, op10_suffix_dedup)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": quality_rules.ORACLE_SQL,
