@@ -128,12 +128,14 @@ def removals(docs: DataFrame) -> DataFrame:
     """id, th, text, starts of the windows to remove (``place``), and whether the row is a copy.
 
     Two streams over sorted rows replace grouping: neither a common anchor nor a common window
-    is ever gathered in memory. The texts are shuffled once, by id, and that shuffle serves both
-    the hashing of candidate windows and the result.
+    is ever gathered in memory. The texts are shuffled once, by id, and that shuffle serves the
+    anchors, the candidate windows and the result. Copies take no part before the result, so
+    they mark nothing in the text they are copies of.
     """
     rows = keyed(docs)
     reps = materialise(representatives(rows))
-    marks = (rows.select("id", "text").mapInArrow(anchors, "hash bigint, id bigint, place int")
+    firsts = rows.join(reps, ["id", "th"])
+    marks = (firsts.select("id", "text").mapInArrow(anchors, "hash bigint, id bigint, place int")
              .repartition("hash").sortWithinPartitions("hash")
              .mapInArrow(lambda it: shared_keys(it, ["hash"]),
                          "hash bigint, id bigint, place int")
