@@ -25,7 +25,7 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import NULL_ID
@@ -34,7 +34,8 @@ from tidemark.llm.textbytes import LOWER, grouped, mix, running, span_hash, word
 from tidemark.session import materialise
 
 SHINGLE, PERCENT = 4, 85
-POINT_BITS = 5
+#: The tree works on 2 ** 5 groups; what it leaves is bounded again on about n / 2 groups.
+TREE_BITS, MOST_BITS = 5, 14
 SEEDS = 8
 #: Rows of a bucket that one R-tree holds; larger buckets are searched block by block.
 BLOCK = 4096
@@ -125,20 +126,37 @@ def bucket_keys(shingles: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return np.concatenate(out)
 
 
+def point_of(shingles: np.ndarray) -> np.ndarray:
+    """Counts per group; about half as many groups as shingles, by the top bits of the hash."""
+    bits = min(max(TREE_BITS, len(shingles).bit_length() - 1), MOST_BITS)
+    return np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+
+
+def folded(point: np.ndarray, groups: int) -> np.ndarray:
+    """The point over fewer groups: neighbours in the order of the hash are added up."""
+    return point.reshape(groups, -1).sum(axis=1)
+
+
+def read_point(body: bytes) -> np.ndarray:
+    return np.frombuffer(body, "<u2").astype(np.int64)
+
+
 def sketches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """id, set size, two hashes of the set, and its point."""
     for batch in batches:
-        size, one, two, points = [], [], [], []
+        size, one, two, points, coarse = [], [], [], [], []
         for shingles in shingle_sets(batch.column("text"), width):
             size.append(len(shingles))
             one.append(int(mix(shingles).sum(dtype=np.uint64).view(np.int64)))
             two.append(int(mix(shingles ^ _STEP).sum(dtype=np.uint64).view(np.int64)))
-            points.append(np.bincount((shingles >> np.uint64(64 - POINT_BITS)).astype(np.int64),
-                                      minlength=1 << POINT_BITS).astype(np.int32))
+            point = point_of(shingles)
+            points.append(point.astype("<u2").tobytes())
+            coarse.append(folded(point, 1 << TREE_BITS).astype(np.int32))
         yield pa.RecordBatch.from_arrays(
             [batch.column("id"), pa.array(size, pa.int64()), pa.array(one, pa.int64()),
-             pa.array(two, pa.int64()), pa.array(points, pa.list_(pa.int32()))],
-            ["id", "n", "s1", "s2", "point"])
+             pa.array(two, pa.int64()), pa.array(coarse, pa.list_(pa.int32())),
+             pa.array(points, pa.binary())],
+            ["id", "n", "s1", "s2", "coarse", "point"])
 
 
 def dealt(batches: Iterator[pa.RecordBatch], width: int, percent: int
@@ -191,13 +209,13 @@ def bucket_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 # R-tree over group counts
 # ---------------------------------------------------------------------------------------------
 class CountTree:
-    """Packed R-tree: points sorted by size and coordinates, sixteen to a node, level by level."""
+    """Packed R-tree: points sorted by size and coordinates, sixty-four to a node, level by level."""
 
-    FANOUT = 16
+    FANOUT = 64
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray) -> None:
         spread_most = np.argsort(-points.var(axis=0))[:2] if len(points) else [0, 1]
-        tile = np.argsort(sizes, kind="stable").argsort() // (self.FANOUT ** 2)
+        tile = np.argsort(sizes, kind="stable").argsort() // (8 * self.FANOUT)
         self.order = np.lexsort((points[:, spread_most[1]], points[:, spread_most[0]], tile))
         self.levels = [(points[self.order], sizes[self.order], sizes[self.order])]
         while len(self.levels[-1][0]) > self.FANOUT:
@@ -228,42 +246,49 @@ def crossing_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[
     only; members fill the tree before the queries that are not members arrive.
     """
     names = ["id", "component", "n"]
-    where, members, tree = None, [], None
-
-    def ask(rows: list[tuple]) -> pa.RecordBatch | None:
-        nonlocal tree
-        if tree is None:
-            tree = (CountTree(np.array([m[3] for m in members]), np.array([m[2] for m in members])),
-                    np.array([m[0] for m in members]), np.array([m[1] for m in members]))
-        found, ids, comps = tree
-        left, right = [], []
-        for row_id, component, n, point in rows:
-            near = found.search(point, n, percent)
-            near = ids[near][comps[near] != component]
-            left.append(np.minimum(near, row_id))
-            right.append(np.maximum(near, row_id))
-        if not left:
-            return None
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], ["a", "b"])
+    where, rows = None, []
 
     def close() -> Iterator[pa.RecordBatch]:
-        asking = [m[:4] for m in members if m[4] == 1]
-        if asking and (out := ask(asking)) is not None:
-            yield out
+        """All pairs of the (key, block) whose rows are in."""
+        size = sum(r[4] < 2 for r in rows)             # members come first
+        asking = [k for k, r in enumerate(rows) if r[4] > 0]
+        if not size or not asking:
+            return
+        sizes, comps = np.array([r[2] for r in rows]), np.array([r[1] for r in rows])
+        coarse = np.array([folded(r[3], 1 << TREE_BITS) for r in rows])
+        if len(rows) <= CountTree.FANOUT:              # one leaf: all at once
+            overlap = np.minimum(coarse[:, None], coarse[None]).sum(axis=2)
+            near = (100 + percent) * overlap >= percent * (sizes[:, None] + sizes[None])
+            near &= comps[:, None] != comps[None]
+            near = np.triu(near)
+            found = {k: np.flatnonzero(near[k]) for k in np.flatnonzero(near.any(axis=1))}
+        else:
+            tree = CountTree(coarse[:size], sizes[:size])
+            found = {k: tree.search(coarse[k], sizes[k], percent) for k in asking}
+            found = {k: near[comps[near] != comps[k]] for k, near in found.items()}
+        found = {k: near for k, near in found.items() if len(near)}
+        if not found:
+            return
+        groups = min(len(r[3]) for r in rows)          # of one band, so alike for all
+        fine = np.array([folded(r[3], groups) for r in rows])
+        ids, pairs = np.array([r[0] for r in rows]), []
+        for k, near in found.items():
+            overlap = np.minimum(fine[near], fine[k]).sum(axis=1)
+            near = near[(100 + percent) * overlap >= percent * (sizes[k] + sizes[near])]
+            pairs.append(np.sort(np.stack([np.full(len(near), ids[k]), ids[near]]), axis=0))
+        pairs = np.unique(np.concatenate(pairs, axis=1), axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
     for batch in batches:
-        table = [batch.column(k).to_pylist() for k in ("key", "block", *names, "role")]
-        points = np.array(batch.column("point").to_pylist(), np.int64)
-        for k, (key, block, row_id, component, n, role) in enumerate(zip(*table)):
+        table = [batch.column(k).to_pylist() for k in ("key", "block", *names, "point", "role")]
+        for key, block, row_id, component, n, point, role in zip(*table):
             if (key, block) != where:
                 yield from close()
-                where, members, tree = (key, block), [], None
-            row = (row_id, component, n, points[k], role)
-            if role < 2:
-                members.append(row)
-            elif members and (out := ask([row[:4]])) is not None:
-                yield out
+                where, rows = (key, block), []
+            elif len(rows) >= 2 * BLOCK and role == 2:
+                yield from close()                     # queries in portions
+                rows = [r for r in rows if r[4] < 2]
+            rows.append((row_id, component, n, read_point(point), role))
     yield from close()
 
 
@@ -294,10 +319,10 @@ def pair_of(a: str, b: str) -> tuple:
     return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
 
-def bound_holds(percent: int):
-    """Whether sizes and points let two sets be linked."""
-    overlap = F.aggregate(F.zip_with("point_a", "point_b", lambda x, y: F.least(x, y)), F.lit(0).cast("bigint"),
-                          lambda total, x: total + x)
+def bound_holds(percent: int) -> Column:
+    """Whether sizes and coarse points let two sets be linked."""
+    overlap = F.aggregate(F.zip_with("coarse_a", "coarse_b", lambda x, y: F.least(x, y)),
+                          F.lit(0).cast("bigint"), lambda total, x: total + x)
     return (100 + percent) * overlap >= percent * (F.col("n_a") + F.col("n_b"))
 
 
@@ -316,15 +341,16 @@ def similarity_components(docs: DataFrame, width: int = SHINGLE, percent: int =
                        F.coalesce("text", F.lit("")).alias("text"))
     nodes = materialise(rows.mapInArrow(
         lambda it: sketches(it, width),
-        "id bigint, n bigint, s1 bigint, s2 bigint, point array<int>"))
+        "id bigint, n bigint, s1 bigint, s2 bigint, coarse array<int>, point binary"))
     classes = materialise(nodes.where("n > 0").groupBy("s1", "s2").agg(
-        F.min("id").alias("rep"), F.first("n").alias("n"), F.first("point").alias("point")))
+        F.min("id").alias("rep"), F.first("n").alias("n"), F.first("coarse").alias("coarse"),
+        F.first("point").alias("point")))
     members = materialise(
         rows.select("text").mapInArrow(lambda it: dealt(it, width, percent),
                                        "key bigint, s1 bigint")
         .repartition("key").sortWithinPartitions("key", "s1")
         .mapInArrow(bucket_members, "key bigint, pivot bigint, s1 bigint"))
-    short = classes.select("s1", F.col("rep").alias("id"), "n", "point")
+    short = classes.select("s1", F.col("rep").alias("id"), "n", "coarse")
 
     # Classes in shared buckets, and the texts that comparisons need.
     met = members.select("s1").distinct()
@@ -332,18 +358,18 @@ def similarity_components(docs: DataFrame, width: int = SHINGLE, percent: int =
 
     def named(side: str, key: str) -> DataFrame:
         return short.select(F.col("s1").alias(key), F.col("id").alias(side),
-                            F.col("n").alias(f"n_{side}"), F.col("point").alias(f"point_{side}"))
+                            F.col("n").alias(f"n_{side}"), F.col("coarse").alias(f"coarse_{side}"))
 
     tried = materialise(
         members.where("s1 <> pivot").select("pivot", "s1").distinct()
         .join(named("a", "pivot"), "pivot").join(named("b", "s1"), "s1")
-        .where(bound_holds(percent)).where("a <> b").select(*pair_of("a", "b")).distinct())
+        .where("a <> b").where(bound_holds(percent)).select(*pair_of("a", "b")).distinct())
     links = materialise(verified(tried, texts, width, percent))
     comps = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
     # Buckets with several components.
     placed = (members.join(short, "s1").join(comps.withColumnRenamed("node", "id"), "id", "left")
-              .select("key", "id", F.coalesce("component", "id").alias("component"), "n", "point"))
+              .select("key", "id", F.coalesce("component", "id").alias("component")))
     open_keys = (placed.groupBy("key").agg(F.min("component").alias("x"),
                                            F.max("component").alias("y"),
                                            F.count("*").alias("rows")).where("x <> y"))
@@ -353,14 +379,15 @@ def similarity_components(docs: DataFrame, width: int = SHINGLE, percent: int =
             .agg(F.max_by("component", "c").alias("main")))
     blocks = F.ceil(F.col("rows") / BLOCK).cast("int")
     dealt_blocks = F.pmod(F.xxhash64("id"), blocks.cast("bigint")).cast("int")
-    columns = ("key", "block", "role", "id", "component", "n", "point")
+    columns = ("key", "block", "role", "id", "component")
+    points = classes.select(F.col("rep").alias("id"), "n", "point")
     small_rows = (placed.where(F.col("rows") <= BLOCK).withColumn("block", F.lit(0))
                   .withColumn("role", F.lit(1)).select(*columns))
     big_members = big.withColumn("block", dealt_blocks).withColumn("role", F.lit(0)).select(*columns)
     big_queries = (big.join(main, "key").where("component <> main")
                    .withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
                    .withColumn("role", F.lit(2)).select(*columns))
-    across = (small_rows.unionByName(big_members).unionByName(big_queries)
+    across = (small_rows.unionByName(big_members).unionByName(big_queries).join(points, "id")
               .repartition("key", "block").sortWithinPartitions("key", "block", "role")
               .mapInArrow(lambda it: crossing_pairs(it, percent), "a bigint, b bigint")
               .distinct().join(tried, ["a", "b"], "left_anti"))
