@@ -206,6 +206,7 @@ class Index(NamedTuple):
     items: list[Item]
     vocabulary: Vocabulary
     fold: np.ndarray         # latent vector of one occurrence of each term
+    counts: np.ndarray       # whether that vector is not zero
     latent: np.ndarray       # items in the latent space, of length one
     least_norm: float        # below this no passage holds enough of any item
     span: int                # passages of PASSAGE words in a window
@@ -214,8 +215,7 @@ class Index(NamedTuple):
               ) -> Iterator[tuple[int, int, float, float, bool]]:
         """Row, item place, cosine, covered share and answer of all leaks of a batch."""
         at = self.vocabulary.look_up(terms)
-        known = np.flatnonzero(at >= 0)
-        known = known[self.fold[at[known]].any(axis=1)]
+        known = np.flatnonzero(self.counts[at] & (at >= 0))
         passage, heads = passage_of(first)
         if not len(known) or not len(self.items):
             return
@@ -277,7 +277,7 @@ def build_index(docs: DataFrame, benchmark: DataFrame) -> Index | None:
     latent /= np.maximum(norm, 1e-9)[:, None]
     longest = max(len(i.terms) for i in items)
     weighty = norm[norm > 1e-6]
-    return Index(items, vocabulary, fold, latent,
+    return Index(items, vocabulary, fold, fold.any(axis=1), latent,
                  float(NORM_SHARE * weighty.min()) if len(weighty) else 0.0,
                  -(-longest // PASSAGE) + 1)
 
