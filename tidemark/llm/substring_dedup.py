@@ -101,10 +101,10 @@ def remaining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if copy and size >= WINDOW:
                 keep[:] = False
             elif removed:
+                begins = np.unique(removed)            # equal rows report a window each
                 change = np.zeros(size + 1, np.int64)
-                change[removed] += 1
-                ends = np.array(removed) + WINDOW
-                np.add.at(change, ends, -1)
+                change[begins] += 1
+                change[begins + WINDOW] -= 1
                 keep = np.cumsum(change[:-1]) == 0
             if not keep.all():
                 parts = [parts[k] for k in np.flatnonzero(keep)]
