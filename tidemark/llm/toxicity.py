@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import held_out, id_and_text, training_labels
-from tidemark.llm.textbytes import (LOWER, grouped, spread, text_buffer, word_hashes, words)
+from tidemark.llm.textbytes import LOWER, grouped, spread, word_hashes, words
 
 GRAM_BITS, DIMENSIONS = 16, 8
 GRAM_SIZES = (3, 4, 5)
@@ -133,7 +133,35 @@ def first_guess(pairs: np.ndarray, kinds: int, toxic: np.ndarray, grams: Grams)
     return np.log((per_gram[0] + rare) / (per_gram[1] + rare))
 
 
-def fit(texts: list[str], labels: np.ndarray, share: float, rounds: int = 20, steps: int = 25,
+def without_evidence(share: float) -> ToxicityModel:
+    """Scores every text with the share of class 1."""
+    return ToxicityModel(np.zeros(1 << GRAM_BITS), float(np.log(share / (1 - share))))
+
+
+def lexicon(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, Grams]:
+    """Number of each word among the distinct ones, each row's first word, and the n-grams of
+    the distinct words. Texts are hashed some megabytes at a time."""
+    hashes, counts, known, letters, sizes = [], [np.zeros(1, np.int64)], [], [], []
+    for _, _, data, offsets in grouped(texts):
+        data = LOWER[data]
+        found = words(data, offsets, _APART)
+        hashes.append(word_hashes(data, found))
+        counts.append(np.diff(found.first))
+        fresh, at = np.unique(hashes[-1], return_index=True)
+        known.append(fresh)
+        sizes.append((found.ends - found.starts)[at])
+        letters.append(data[spread(found.starts[at], sizes[-1])])
+    if not hashes:
+        return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64), Grams(
+            np.zeros(0, np.uint32), np.zeros(1, np.int64))
+    names, pick = np.unique(np.concatenate(known), return_index=True)
+    ends = np.cumsum(np.concatenate(sizes))
+    grams = word_grams(np.concatenate(letters), (ends - np.concatenate(sizes))[pick], ends[pick])
+    kind_of = np.concatenate([np.searchsorted(names, part).astype(np.int32) for part in hashes])
+    return kind_of, np.cumsum(np.concatenate(counts)), grams
+
+
+def fit(texts: pa.Array, labels: np.ndarray, share: float, rounds: int = 20, steps: int = 25,
         rate: float = 0.1, decay: float = 3e-6, seed: int = SEED) -> ToxicityModel:
     """Train embeddings and softmax together; each round picks every row's worst window anew.
 
@@ -142,18 +170,18 @@ def fit(texts: list[str], labels: np.ndarray, share: float, rounds: int = 20, st
     among all labels; the bias is moved to it at the end.
     """
     rng = np.random.default_rng(seed)
-    data, offsets = text_buffer(pa.array(texts, pa.large_string()))
-    found = words(data, offsets, _APART)
-    _, kinds, kind_of = np.unique(word_hashes(LOWER[data], found), return_index=True,
-                                  return_inverse=True)
-    grams = word_grams(data, found.starts[kinds], found.ends[kinds])
+    kind_of, first, grams = lexicon(texts)
     per_kind = np.diff(grams.first)
     counts = per_kind[kind_of]
-    number = np.r_[0, np.cumsum(counts)]
-    row_of = np.repeat(np.arange(len(texts)), np.diff(found.first))
-    table = first_guess(np.unique(row_of * len(kinds) + kind_of), len(kinds), labels, grams)
-    rows = np.flatnonzero(np.diff(found.first))
+    number = np.r_[0, np.cumsum(counts, dtype=np.int64)]
+    row_of = np.repeat(np.arange(len(texts)), np.diff(first))
+    kinds = len(per_kind)
+    rows = np.flatnonzero(np.diff(first))
     y = labels[rows].astype(float)
+    if len(np.unique(y)) < 2:
+        return without_evidence(share)
+    table = first_guess(np.unique(row_of * kinds + kind_of), kinds, labels, grams)
+    del row_of
     weight = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1)) * len(y)
 
     embed = rng.normal(0, 0.01, (1 << GRAM_BITS, DIMENSIONS))
@@ -162,7 +190,7 @@ def fit(texts: list[str], labels: np.ndarray, share: float, rounds: int = 20, st
     speed = [np.zeros_like(p) for p in (embed, softmax, offset)]
     for _ in range(rounds):
         sums = np.add.reduceat(table[grams.buckets], grams.first[:-1])[kind_of]
-        _, _, starts, sizes = worst_windows(found.first, sums, counts)
+        _, _, starts, sizes = worst_windows(first, sums, counts)
         picked = kind_of[spread(starts, sizes)]
         places = grams.buckets[spread(grams.first[picked], per_kind[picked])]
         bag = number[starts + sizes] - number[starts]
@@ -171,7 +199,8 @@ def fit(texts: list[str], labels: np.ndarray, share: float, rounds: int = 20, st
         used, place_of = np.unique(places, return_inverse=True)
         for _ in range(steps):
             line = softmax[:, 1] - softmax[:, 0]
-            mean = np.add.reduceat(embed[places], heads, axis=0) / bag[:, None]
+            mean = np.column_stack([np.add.reduceat(line_of[places], heads)
+                                    for line_of in np.ascontiguousarray(embed.T)]) / bag[:, None]
             logits = mean @ softmax + offset
             p = 1 / (1 + np.exp(-np.clip(logits[:, 1] - logits[:, 0], -30, 30)))
             error = (p - y) * weight / len(y)
@@ -202,13 +231,12 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = TRAIN_ROWS,
               .where(~held_out()).groupBy(F.col("toxic").cast("int").alias("label"))
               .count().collect()}
     share = (shares.get(1, 0) + 1) / (sum(shares.values()) + 2)
+    # Arrow rows, put in order by id, so that a fit can be repeated.
     rows = (id_and_text(docs).join(F.broadcast(sample), "doc_id")
-            .select("doc_id", "label", "text").toPandas()
-            .sort_values(["doc_id", "text", "label"]))
-    rows = rows[rows["text"].str.strip() != ""]
-    if rows["label"].nunique() < 2:
-        return ToxicityModel(np.zeros(1 << GRAM_BITS), float(np.log(share / (1 - share))))
-    return fit(rows["text"].tolist(), rows["label"].to_numpy(), share, seed=seed)
+            .select("doc_id", "label", "text").toArrow()
+            .sort_by([("doc_id", "ascending"), ("text", "ascending"), ("label", "ascending")]))
+    return fit(rows.column("text").combine_chunks(), rows.column("label").to_numpy(), share,
+               seed=seed)
 
 
 def score(docs: DataFrame, model: ToxicityModel, flag_from: float = FLAG_FROM) -> DataFrame:
