@@ -11,8 +11,10 @@ agree on a whole group share a bucket.
 
 1. Equal sets become one class. Buckets with several classes are kept.
 2. Every class is compared with the first one of its buckets, exactly. Components follow.
-3. In buckets that still hold several components, the R-tree finds all pairs across components
-   that may be linked; these are compared exactly. Components of all links are the result.
+3. In buckets that still hold several components, the R-tree finds the sets that may be linked
+   with one of another component. Only their texts go to the bucket, which compares them exactly
+   and gives out links that join two components there: at most as many as it has sets, however
+   many pairs came near. Components of all links are the result.
 
 No link is lost: a pair in a shared bucket is either in one component already or compared.
 """
@@ -39,6 +41,8 @@ TREE_BITS, MOST_BITS = 5, 14
 SEEDS = 8
 #: Rows of a bucket that one R-tree holds; larger buckets are searched block by block.
 BLOCK = 4096
+#: Shingles of a bucket that are held at once; buckets with more are split likewise.
+BLOCK_SHINGLES = 1 << 23
 
 
 def shingle_sets(column: pa.Array, width: int = SHINGLE) -> Iterator[np.ndarray]:
@@ -239,17 +243,16 @@ class CountTree:
         return self.order[here]
 
 
-def crossing_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs across components within a (key, block) that the points do not rule out.
+def contested(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The rows that the points let be linked with one of another component in (key, block).
 
     Rows come sorted by key, block and role. Roles: 0 member only, 1 member and query, 2 query
     only; members fill the tree before the queries that are not members arrive.
     """
-    names = ["id", "component", "n"]
-    where, rows = None, []
+    where, rows, held = None, [], 0
 
     def close() -> Iterator[pa.RecordBatch]:
-        """All pairs of the (key, block) whose rows are in."""
+        """The rows of the (key, block) that have a partner among those that are in."""
         size = sum(r[4] < 2 for r in rows)             # members come first
         asking = [k for k, r in enumerate(rows) if r[4] > 0]
         if not size or not asking:
@@ -271,24 +274,31 @@ def crossing_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[
             return
         groups = min(len(r[3]) for r in rows)          # of one band, so alike for all
         fine = np.array([folded(r[3], groups) for r in rows])
-        ids, pairs = np.array([r[0] for r in rows]), []
+        involved = np.zeros(len(rows), bool)
         for k, near in found.items():
             overlap = np.minimum(fine[near], fine[k]).sum(axis=1)
             near = near[(100 + percent) * overlap >= percent * (sizes[k] + sizes[near])]
-            pairs.append(np.sort(np.stack([np.full(len(near), ids[k]), ids[near]]), axis=0))
-        pairs = np.unique(np.concatenate(pairs, axis=1), axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+            involved[near] = True
+            involved[k] |= len(near) > 0
+        out = [rows[k] for k in np.flatnonzero(involved)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([where[0]] * len(out), pa.int64()), pa.array([where[1]] * len(out), pa.int32()),
+             pa.array([r[4] for r in out], pa.int32()), pa.array([r[0] for r in out], pa.int64()),
+             pa.array([r[1] for r in out], pa.int64())], ["key", "block", "role", "id", "component"])
 
     for batch in batches:
-        table = [batch.column(k).to_pylist() for k in ("key", "block", *names, "point", "role")]
+        table = [batch.column(k).to_pylist()
+                 for k in ("key", "block", "id", "component", "n", "point", "role")]
         for key, block, row_id, component, n, point, role in zip(*table):
             if (key, block) != where:
                 yield from close()
-                where, rows = (key, block), []
-            elif len(rows) >= 2 * BLOCK and role == 2:
+                where, rows, held = (key, block), [], 0
+            elif role == 2 and (len(rows) >= 2 * BLOCK or held >= 2 * BLOCK_SHINGLES):
                 yield from close()                     # queries in portions
                 rows = [r for r in rows if r[4] < 2]
+                held = sum(r[2] for r in rows)
             rows.append((row_id, component, n, read_point(point), role))
+            held += n
     yield from close()
 
 
@@ -315,6 +325,56 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
             .mapInArrow(lambda it: linked(it, width, percent), "a bigint, b bigint").distinct())
 
 
+def joining_links(batches: Iterator[pa.RecordBatch], width: int, percent: int
+                  ) -> Iterator[pa.RecordBatch]:
+    """Links that join two components within a (key, block); rows come as for ``contested``.
+
+    Every query is compared with all members of other components, by counting how many of its
+    shingles each of them holds. Queries that are not members are compared one by one and not
+    kept.
+    """
+    where, sets, ids, names = None, [], [], []
+    joined: dict[int, int] = {}                        # component to the one it has gone into
+
+    def root(name: int) -> int:
+        while joined.get(name, name) != name:
+            name = joined[name]
+        return name
+
+    for batch in batches:
+        links = []
+        table = [batch.column(k).to_pylist() for k in ("key", "block", "role", "id", "component")]
+        for key, block, role, row_id, name, own in zip(*table, shingle_sets(batch.column("text"),
+                                                                            width)):
+            if (key, block) != where:
+                where, sets, ids, names, joined = (key, block), [], [], [], {}
+            if not len(own):                           # another text of the same id
+                continue
+            mine = root(name)
+            roots = [root(other) for other in names] if role else []
+            apart = [k for k, other in enumerate(roots) if other != mine
+                     and 100 * min(len(sets[k]), len(own)) >= percent * max(len(sets[k]), len(own))]
+            if apart:
+                sizes = np.array([len(sets[k]) for k in apart])
+                shingles = np.concatenate([sets[k] for k in apart])
+                at = np.minimum(np.searchsorted(own, shingles), len(own) - 1)
+                shared = np.add.reduceat((own[at] == shingles).astype(np.int64),
+                                         np.cumsum(sizes) - sizes)
+                near = 100 * shared >= percent * (sizes + len(own) - shared)
+                for k in np.flatnonzero(near):
+                    other = root(names[apart[k]])
+                    if other != root(name):
+                        joined[other] = root(name)
+                        links.append((row_id, ids[apart[k]]))
+            if role < 2:
+                sets.append(own)
+                ids.append(row_id)
+                names.append(name)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([min(x) for x in links], pa.int64()),
+             pa.array([max(x) for x in links], pa.int64())], ["a", "b"])
+
+
 def pair_of(a: str, b: str) -> tuple:
     return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
@@ -367,31 +427,36 @@ def similarity_components(docs: DataFrame, width: int = SHINGLE, percent: int =
     links = materialise(verified(tried, texts, width, percent))
     comps = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
-    # Buckets with several components.
-    placed = (members.join(short, "s1").join(comps.withColumnRenamed("node", "id"), "id", "left")
-              .select("key", "id", F.coalesce("component", "id").alias("component")))
+    # Buckets with several components; their first sets have met all others already.
+    placed = (members.where("s1 <> pivot").join(short, "s1")
+              .join(comps.withColumnRenamed("node", "id"), "id", "left")
+              .select("key", "id", "n", F.coalesce("component", "id").alias("component")))
+    pieces = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES))
     open_keys = (placed.groupBy("key").agg(F.min("component").alias("x"),
                                            F.max("component").alias("y"),
-                                           F.count("*").alias("rows")).where("x <> y"))
-    placed = materialise(placed.join(open_keys.select("key", "rows"), "key"))
-    big = placed.where(F.col("rows") > BLOCK)
+                                           pieces.cast("int").alias("blocks")).where("x <> y"))
+    placed = materialise(placed.join(open_keys.select("key", "blocks"), "key"))
+    big = placed.where("blocks > 1")
     main = (big.groupBy("key", "component").agg(F.count("*").alias("c")).groupBy("key")
             .agg(F.max_by("component", "c").alias("main")))
-    blocks = F.ceil(F.col("rows") / BLOCK).cast("int")
-    dealt_blocks = F.pmod(F.xxhash64("id"), blocks.cast("bigint")).cast("int")
+    dealt_blocks = F.pmod(F.xxhash64("id"), F.col("blocks").cast("bigint")).cast("int")
     columns = ("key", "block", "role", "id", "component")
     points = classes.select(F.col("rep").alias("id"), "n", "point")
-    small_rows = (placed.where(F.col("rows") <= BLOCK).withColumn("block", F.lit(0))
+    small_rows = (placed.where("blocks = 1").withColumn("block", F.lit(0))
                   .withColumn("role", F.lit(1)).select(*columns))
     big_members = big.withColumn("block", dealt_blocks).withColumn("role", F.lit(0)).select(*columns)
     big_queries = (big.join(main, "key").where("component <> main")
-                   .withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+                   .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
                    .withColumn("role", F.lit(2)).select(*columns))
-    across = (small_rows.unionByName(big_members).unionByName(big_queries).join(points, "id")
-              .repartition("key", "block").sortWithinPartitions("key", "block", "role")
-              .mapInArrow(lambda it: crossing_pairs(it, percent), "a bigint, b bigint")
-              .distinct().join(tried, ["a", "b"], "left_anti"))
-    more = verified(across, texts, width, percent)
+    near = (small_rows.unionByName(big_members).unionByName(big_queries).join(points, "id")
+            .repartition("key", "block").sortWithinPartitions("key", "block", "role")
+            .mapInArrow(lambda it: contested(it, percent),
+                        "key bigint, block int, role int, id bigint, component bigint")
+            .distinct())
+    more = (near.join(texts, "id").repartition("key", "block")
+            .sortWithinPartitions("key", "block", "role")
+            .mapInArrow(lambda it: joining_links(it, width, percent), "a bigint, b bigint")
+            .distinct())
 
     final = components(links.unionByName(more).select(F.col("a").alias("u"),
                                                       F.col("b").alias("v")))
