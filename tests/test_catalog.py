@@ -6,6 +6,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry_points
+from tidemark.plans import catalog
 
 SF_DIR = "/root/testdata/sf0.001"
 ROWS_ONLY = {"zoo_holdout", "zoo_cross_validation", "zoo_importance", "boosting_grid",
@@ -36,11 +37,12 @@ def comparable(frame: pd.DataFrame) -> list:
 
 
 def test_every_query_is_checked_or_known_to_be_rows_only():
-    assert set(entry_points.queries()) - set(entry_points.oracle_sql()) == ROWS_ONLY
+    assert set(catalog.QUERIES) - set(catalog.ORACLE_SQL) == ROWS_ONLY
+    assert set(catalog.QUERIES) <= set(entry_points.queries())
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_points.queries()) - ROWS_ONLY))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - ROWS_ONLY))
 def test_matches_sql(spark, duck, name):
     got = entry_points.queries()[name](spark, SF_DIR).toPandas()
     want = duck.sql(entry_points.oracle_sql()[name]).df()
