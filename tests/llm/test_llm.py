@@ -129,6 +129,24 @@ def test_similarity_join_of_awkward_rows(awkward):
                    (10, 10), (11, 11)}
 
 
+@pytest.mark.parametrize("block", [similarity_join.BLOCK, 16])
+def test_a_group_whose_members_are_not_all_linked(spark, monkeypatch, block):
+    """Near copies of one text that differ from each other more than from it, in some chains."""
+    monkeypatch.setattr(similarity_join, "BLOCK", block)
+    rng = np.random.default_rng(17)
+    plain = []
+    for k in range(140):
+        words = [f"t{w}" for w in range(90)]
+        for at in rng.integers(0, 90, rng.integers(1, 6)):
+            words[at] = f"x{rng.integers(0, 400)}"
+        plain.append((k, " ".join(words)))
+    table = spark.createDataFrame(plain, "doc_id bigint, text string")
+    got = similarity_join.similarity_components(table).collect()
+    want = brute.components(plain)
+    assert {r[0]: (r[1], r[2]) for r in got} == want
+    assert 1 < len({c for _, c in want.values()}) < len(plain)
+
+
 def test_tree_finds_all_points_in_reach():
     points = np.random.default_rng(3).poisson(6, (900, 32))
     sizes = points.sum(axis=1)
