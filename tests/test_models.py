@@ -15,24 +15,27 @@ NAMES = {"recency_baseline", "logistic_regression", "random_forest", "gbt"}
 
 
 def test_folds_grow_and_never_train_on_the_future(spark):
-    cutoffs = ["2011-03-01", "2011-04-01", "2011-05-01", "2011-06-01", "2011-07-01"]
+    cutoffs = [f"2015-02-{day:02d}" for day in (2, 9, 13, 16, 20, 27)]
     folds = V.expanding_window_folds(cutoffs)
-    assert [len(train) for train, _ in folds] == [3, 4]
+    assert [len(train) for train, _ in folds] == [3, 4, 5]
     assert all(c < valid for train, valid in folds for c in train)
     rows = V.fold_table(spark, cutoffs).collect()
-    assert len(rows) == 9
+    assert len(rows) == 4 + 5 + 6
     assert {r["cutoff"] for r in rows if r["role"] == "valid"} == \
-        {datetime(2011, 6, 1), datetime(2011, 7, 1)}
+        {datetime(2015, 2, day) for day in (16, 20, 27)}
 
 
 @pytest.fixture(scope="module")
 def snapshots(spark):
-    rng = np.random.default_rng(5)
-    frames = [pd.DataFrame({
-        "customer_id": np.arange(200), "recency_days": rng.random(200) * 100,
-        "frequency": rng.integers(1, 10, 200), "label": rng.binomial(1, 0.3, 200),
-        "cutoff": pd.Timestamp(c)}) for c in DEV_CUTOFFS[:5]]
-    frame = pd.concat(frames, ignore_index=True)
+    """150 customers at each of five cutoffs; frequent ones return more often."""
+    rng = np.random.default_rng(31)
+    rows = []
+    for cutoff in DEV_CUTOFFS[:5]:
+        for customer in range(150):
+            orders = 1 + int(rng.poisson(3))
+            rows.append((customer, int(rng.integers(0, 120)) + 0.5, orders,
+                         int(rng.random() < (0.55 if orders > 4 else 0.25)), pd.Timestamp(cutoff)))
+    frame = pd.DataFrame(rows, columns=["customer_id", *FEATURES, "label", "cutoff"])
     return spark.createDataFrame(frame, "customer_id bigint, recency_days double, "
                                  "frequency bigint, label int, cutoff timestamp_ntz").cache()
 
@@ -49,11 +52,8 @@ def test_recency_rule(spark):
 
 
 def test_zoo_gives_probabilities_and_tolerates_missing_values(spark):
-    rng = np.random.default_rng(4)
-    gap = np.where(rng.random(120) < 0.3, np.nan, rng.random(120) * 40)
-    recency = rng.random(120) * 100
-    rows = [(float(r), None if np.isnan(g) else float(g), None, int(r < 50))
-            for r, g in zip(recency, gap)]
+    gaps = [None if k % 4 == 0 else float(k * 7 % 41 + 1) for k in range(90)]
+    rows = [(float(k * 29 % 90), gaps[k], None, int(k * 29 % 90 < 36)) for k in range(90)]
     df = spark.createDataFrame(
         rows, "recency_days double, mean_gap_days double, gap_cv double, label int")
     features = ["recency_days", "mean_gap_days", "gap_cv"]
@@ -63,16 +63,16 @@ def test_zoo_gives_probabilities_and_tolerates_missing_values(spark):
     for name, model in zoo.items():
         fitted = M.fit(model, df, medians)
         scored = M.score(fitted, df).toPandas()
-        assert scored.score.between(0, 1).all() and len(scored) == 120, name
+        assert scored.score.between(0, 1).all() and len(scored) == 90, name
         if name == "random_forest":
             assert scored[scored.label == 1].score.mean() > scored[scored.label == 0].score.mean()
     assert medians["gap_cv"] == 0.0
-    assert medians["mean_gap_days"] == pytest.approx(np.nanmedian(gap))
+    assert medians["mean_gap_days"] == np.median([g for g in gaps if g])
 
 
 def test_penalty_follows_the_row_count(spark, snapshots):
     fitted = M.fit(M.logistic_regression(FEATURES, SMALL), snapshots)
-    assert fitted.stages[-1].getRegParam() == pytest.approx(1 / 1000)
+    assert fitted.stages[-1].getRegParam() == pytest.approx(1 / 750)
 
 
 def test_logistic_regression_reaches_its_optimum(spark, snapshots):
@@ -93,7 +93,7 @@ def test_cross_validation(spark, snapshots):
                           models=M.model_zoo(FEATURES, SMALL)).toPandas()
     assert set(cv.model) == NAMES and len(cv) == 8 and set(cv.fold) == {1, 2}
     assert cv.pr_auc.between(0, 1).all()
-    assert set(zip(cv.fold, cv.n_train, cv.n_valid)) == {(1, 600, 200), (2, 800, 200)}
+    assert set(zip(cv.fold, cv.n_train, cv.n_valid)) == {(1, 450, 150), (2, 600, 150)}
     summary = V.summarise_cv(spark.createDataFrame(cv)).toPandas()
     want = cv.groupby("model").pr_auc.agg(["mean", "std"]).sort_values("mean", ascending=False)
     assert list(summary.model) == list(want.index)
@@ -116,7 +116,7 @@ def test_tuning_uses_population_spread(spark, snapshots):
 
 def test_holdout_selection_and_reports(spark, snapshots):
     dev, test = V.split_dev_test(snapshots, DEV_CUTOFFS[:3], DEV_CUTOFFS[3:5])
-    assert (dev.count(), test.count()) == (600, 400)
+    assert (dev.count(), test.count()) == (450, 300)
     rules = {"recency_baseline": M.recency_rule(), "often": M.recency_rule("frequency")}
     scored = D.score_all(D.fit_all(rules, dev), test)
     holdout = D.holdout_metrics(scored)
@@ -133,7 +133,7 @@ def test_holdout_selection_and_reports(spark, snapshots):
     assert list(months.months_after_training) == [1, 2, 1, 2]
     season = D.seasonality(snapshots, DEV_CUTOFFS[3:5]).toPandas().sort_values("cutoff")
     assert list(season.split) == ["development"] * 3 + ["holdout"] * 2
-    assert season.customers.sum() == 1000
+    assert season.customers.sum() == 750
 
 
 def test_permutation_moves_only_what_the_model_uses(spark, snapshots):

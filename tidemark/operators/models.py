@@ -1,8 +1,4 @@
-"""Rankers: a recency rule and three MLlib pipelines behind one fit/score interface.
-
-No class weights anywhere, on purpose: they would shift the probability scale, and scores are
-judged on ranking and calibration.
-"""
+"""Rankers: a recency rule and three MLlib pipelines behind one fit/score interface."""
 
 from __future__ import annotations
 
