@@ -1,5 +1,6 @@
 """The text operators against plain versions, on small and on awkward tables."""
 
+import re
 from collections import Counter
 from zlib import crc32
 
@@ -171,6 +172,55 @@ def test_leaks_match_contained_items(spark, docs, rows):
     assert want <= {(r.doc_id, r.item_id) for r in found} and len(found) <= 1.05 * len(want)
 
 
+def plain_common(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for k, y in enumerate(b, 1):
+            last, row[k] = row[k], last + 1 if x == y else max(row[k], row[k - 1])
+    return row[-1]
+
+
+def test_leaks_match_longest_common_subsequences(spark, rows):
+    """Several hundred items of mixed length, given whole and with words changed or put in."""
+    rng = np.random.default_rng(23)
+    pool = [w for _, t in rows[:300] for w in re.findall("[a-z]+", t or "")]
+    items, texts = [], []
+    for k in range(320):
+        at, size = rng.integers(0, len(pool) - 70), rng.integers(4, 61)
+        items.append(pool[at:at + size])
+    for k in range(40):
+        at = rng.integers(0, len(pool) - 200)
+        text = pool[at:at + 120]
+        for item in items[8 * k:8 * k + 8]:
+            copy = [*item]
+            for n in range(rng.integers(0, len(item) // 4 + 1) if k % 2 else 0):
+                place = rng.integers(0, len(copy))
+                copy[place:place + rng.integers(0, 2)] = ["other"]
+            place = rng.integers(0, len(text))
+            text = [*text, *copy] if k % 4 == 3 else text[:place] + copy + text[place:]
+        texts.append(text)
+    want = set()
+    for i, item in enumerate(items):
+        step = decontamination.piece_words(len(item))
+        for d, text in enumerate(texts):
+            held = Counter(item)
+            for at in range(0, len(text), step):
+                window = text[at:at + 4 * step]
+                if sum((held & Counter(window)).values()) < 0.6 * len(item):
+                    continue
+                share = plain_common(item, window) / len(item)
+                # Without a sentence the whole item is its answer.
+                if share >= 0.75:
+                    want.add((d, i))
+    got = decontamination.find_leaks(
+        spark.createDataFrame([(d, " ".join(t)) for d, t in enumerate(texts)],
+                              "doc_id bigint, text string"),
+        spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)],
+                              "item_id bigint, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == want and len(want) > 250
+
+
 def test_common_subsequence():
     a, b = np.array([1, 2, 3, 4, 5, 3], np.uint64), np.array([2, 9, 4, 3, 3], np.uint64)
     assert decontamination.common_subsequence(a, b) == 3

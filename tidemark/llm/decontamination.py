@@ -1,11 +1,14 @@
-"""Benchmark passages in documents, found by latent semantic retrieval and checked word by word.
+"""Benchmark passages in documents, found by their rare words and checked word by word.
 
-Benchmark items are TF-IDF vectors, with document frequencies counted over all passages of all
-documents. A randomised SVD, whose products are summed by Spark over the items, gives a latent
-space. Document passages (overlapping windows of words) are folded into it, and those close
-enough to an item by cosine are candidates. A candidate counts as a leak if the longest common
-subsequence covers three quarters of the item's words, or three fifths where the item's answer (what
-follows an answer mark, else its last sentence) is there as well, as in a paraphrase.
+An item of a length class is looked for in overlapping windows of that class. A window is a leak
+if the longest common subsequence covers three quarters of the item's words, or three fifths where
+the item's answer (what follows an answer mark, else its last sentence) is there as well, as in a
+paraphrase. Either takes three fifths of the item's words, so a window must hold some of the
+item's rarest ones: those that do are candidates, and no other window can be a leak.
+
+Each leak is given its cosine in a latent space: items are TF-IDF vectors, with document
+frequencies counted over all passages of all documents, and a randomised SVD, whose products are
+summed by Spark over the items, gives the space. The cosine decides nothing.
 
 Documents are never shuffled: items go to them. Items are taken in blocks of at most
 ``ITEM_BLOCK``, which bounds what is broadcast; a larger benchmark takes more passes.
@@ -24,7 +27,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import id_and_text
 from tidemark.llm.quality_classifier import KIND
-from tidemark.llm.textbytes import LOWER, grouped, text_buffer, word_hashes, words
+from tidemark.llm.textbytes import (LOWER, grouped, row_groups, spread, text_buffer, word_hashes,
+                                    words)
 
 TABLE_BITS = 20
 ITEM_BLOCK = 20_000
@@ -32,8 +36,11 @@ PASSAGE = 32
 RANK, OVERSAMPLE, POWER_STEPS = 128, 16, 2
 #: Terms in more than this share of all passages carry no weight.
 MOST_PASSAGES = 0.05
-COSINE, NORM_SHARE = 0.4, 0.3
 LCS_ALONE, LCS_WITH_ANSWER, ANSWER_SHARE = 0.75, 0.6, 0.8
+#: Pieces in a window, and the share of an item's words that must be among its rarest ones there.
+PIECES, RARE_SHARE = 4, 0.25
+#: Pairs of words and items that are held at once.
+PAIRS = 1 << 22
 SEED = 5
 
 _APART = KIND != 1
@@ -80,22 +87,28 @@ class Vocabulary(NamedTuple):
 
     hashes: np.ndarray
     table: np.ndarray
+    depth: int               # most terms that share a place
 
     @classmethod
     def of(cls, items: list[Item]) -> Vocabulary:
         hashes = np.unique(np.concatenate([i.terms for i in items]))
         table = np.full(1 << TABLE_BITS, -1, np.int32)
-        place = hashes >> np.uint64(64 - TABLE_BITS)
-        # Terms that share a place: the first keeps it, the others are left out of the space.
-        place, first = np.unique(place, return_index=True)
-        hashes = hashes[first]
-        table[place.astype(np.int64)] = np.arange(len(hashes))
-        return cls(hashes, table)
+        # Terms that share a place follow each other.
+        place, first, shared = np.unique(hashes >> np.uint64(64 - TABLE_BITS),
+                                         return_index=True, return_counts=True)
+        table[place.astype(np.int64)] = first
+        return cls(hashes, table, int(shared.max()))
 
     def look_up(self, terms: np.ndarray) -> np.ndarray:
         """Index of each term, or -1."""
         at = self.table[(terms >> np.uint64(64 - TABLE_BITS)).astype(np.int64)]
-        return np.where(self.hashes[np.maximum(at, 0)] == terms, at, -1)
+        out = np.where(self.hashes[np.maximum(at, 0)] == terms, at, -1)
+        for k in range(1, self.depth):
+            open_ = np.flatnonzero((out < 0) & (at >= 0))
+            next_ = np.minimum(at[open_] + k, len(self.hashes) - 1)
+            hit = self.hashes[next_] == terms[open_]
+            out[open_[hit]] = next_[hit]
+        return out
 
 
 def passage_of(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -188,74 +201,151 @@ def latent_space(benchmark: DataFrame, vocabulary: Vocabulary, weight: np.ndarra
     return basis @ turn[:, best[values[best] > 1e-9 * max(values.max(), 1e-30)]]
 
 
-def common_subsequence(pattern: np.ndarray, text: np.ndarray) -> int:
-    """Length of the longest common subsequence, one bit per word of the pattern."""
+def bit_places(pattern: np.ndarray) -> dict[int, int]:
+    """The places of each word of a pattern, one bit each."""
     places: dict[int, int] = {}
     for k, term in enumerate(pattern.tolist()):
         places[term] = places.get(term, 0) | 1 << k
-    full = (1 << len(pattern)) - 1
-    row = full
-    for term in text.tolist():
-        hit = row & places.get(term, 0)
-        if hit:
-            row = ((row + hit) | (row - hit)) & full
-    return len(pattern) - row.bit_count()
+    return places
+
+
+def common_length(places: dict[int, int], size: int, text: list[int]) -> int:
+    """Length of the longest common subsequence of a text and a pattern of ``size`` words."""
+    row = full = (1 << size) - 1
+    for term in text:
+        if term in places:
+            hit = row & places[term]
+            if hit:
+                row = ((row + hit) | (row - hit)) & full
+    return size - row.bit_count()
+
+
+def common_subsequence(pattern: np.ndarray, text: np.ndarray) -> int:
+    """Length of the longest common subsequence, one bit per word of the pattern."""
+    return common_length(bit_places(pattern), len(pattern), text.tolist())
+
+
+def piece_words(size: int) -> int:
+    """Words in a piece for items of ``size`` words: a power of two, at least half the item.
+
+    A window has ``PIECES`` pieces and begins at any of them, so half as many words again as the
+    item has fit in some window, wherever they begin.
+    """
+    return 1 << max((size - 1).bit_length() - 1, 0)
+
+
+class LengthClass(NamedTuple):
+    """The items of one length class by their rare words."""
+
+    piece: int               # words in a piece
+    begin: np.ndarray        # per term of the vocabulary, and once behind the last: its postings
+    item: np.ndarray         # per posting, places in ``Index.items``
+    times: np.ndarray        # and how often the term is among the item's rare words
+    need: np.ndarray         # per item: rare words that a leak holds
+
+    @classmethod
+    def of(cls, piece: int, items: list[Item], vocabulary: Vocabulary, counts: np.ndarray
+           ) -> LengthClass:
+        """Of an item's n words a leak holds at least k, so at least j of any n - k + j."""
+        terms, owners, times = [], [], []
+        need = np.zeros(len(items), np.int64)
+        for place, item in enumerate(items):
+            size = len(item.terms)
+            if piece_words(size) != piece:
+                continue
+            least = next(k for k in range(size + 1) if k / size >= LCS_WITH_ANSWER)
+            need[place] = min(least, int(np.ceil(RARE_SHARE * size)))
+            at = vocabulary.look_up(item.terms)
+            rare = at[np.lexsort((at, counts[at]))][:size - least + need[place]]
+            term, many = np.unique(rare, return_counts=True)
+            terms.append(term)
+            times.append(many)
+            owners.append(np.full(len(term), place))
+        term, owner, many = (np.concatenate(x) for x in (terms, owners, times))
+        order = np.argsort(term, kind="stable")
+        begin = np.searchsorted(term[order], np.arange(len(vocabulary.hashes) + 1))
+        return cls(piece, begin, owner[order], many[order], need)
+
+    def candidates(self, at: np.ndarray, first: np.ndarray
+                   ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Row, first word and item of the windows that hold enough of an item's rare words."""
+        postings = np.r_[np.diff(self.begin), 0][at]           # none for -1
+        pairs = np.r_[0, np.cumsum(postings)][first]
+        for low, high in row_groups(pairs, PAIRS):
+            if pairs[low] == pairs[high]:
+                continue
+            known = first[low] + np.flatnonzero(postings[first[low]:first[high]])
+            # Rows lie PIECES - 1 empty pieces apart, so that no window reaches another row.
+            heads = np.r_[0, np.cumsum(-(-np.diff(first[low:high + 1]) // self.piece)
+                                       + PIECES - 1)]
+            row = np.searchsorted(first[low:high + 1], known, side="right") - 1
+            place = heads[row] + (known - first[low + row]) // self.piece
+            size = len(self.begin) - 1
+            held = np.unique(place * size + at[known])         # a term once per piece
+            place, term = held // size, held % size
+            many = self.begin[term + 1] - self.begin[term]
+            posting = spread(self.begin[term], many)
+            width = int(heads[-1]) + 1
+            keys = self.item[posting] * width + np.repeat(place, many)
+            order = np.argsort(keys)
+            keys = keys[order]
+            begins = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+            total = np.r_[0, np.cumsum(np.add.reduceat(self.times[posting[order]], begins))]
+            keys = keys[begins]
+            item, place = keys // width, keys % width
+            row = np.searchsorted(heads, place, side="right") - 1
+            base = keys - place
+            # No window over this piece can do with less than what lies around it.
+            around = (total[np.searchsorted(keys, keys + PIECES)]
+                      - total[np.searchsorted(keys, keys - PIECES + 1)])
+            some = np.flatnonzero(around >= self.need[item])
+            starts = np.unique(np.concatenate([
+                base[some] + np.maximum(place[some] - k, heads[row[some]])
+                for k in range(PIECES)]))
+            sums = (total[np.searchsorted(keys, starts + PIECES)]
+                    - total[np.searchsorted(keys, starts)])
+            starts = starts[sums >= self.need[starts // width]]
+            item, place = starts // width, starts % width
+            row = np.searchsorted(heads, place, side="right") - 1
+            yield low + row, first[low + row] + (place - heads[row]) * self.piece, item
 
 
 class Index(NamedTuple):
     items: list[Item]
     vocabulary: Vocabulary
     fold: np.ndarray         # latent vector of one occurrence of each term
-    counts: np.ndarray       # whether that vector is not zero
     latent: np.ndarray       # items in the latent space, of length one
-    least_norm: float        # below this no passage holds enough of any item
-    span: int                # passages of PASSAGE words in a window
+    classes: list[LengthClass]
+
+    def cosine(self, at: np.ndarray, item: int) -> float:
+        whole = self.fold[at[at >= 0]].sum(axis=0)
+        return float(whole @ self.latent[item] / max(np.linalg.norm(whole), 1e-9))
 
     def leaks(self, terms: np.ndarray, first: np.ndarray
               ) -> Iterator[tuple[int, int, float, float, bool]]:
         """Row, item place, cosine, covered share and answer of all leaks of a batch."""
         at = self.vocabulary.look_up(terms)
-        known = np.flatnonzero(self.counts[at] & (at >= 0))
-        passage, heads = passage_of(first)
-        if not len(known) or not len(self.items):
-            return
-        held, begin = np.unique(passage[known], return_index=True)
-        part = np.add.reduceat(self.fold[at[known]], begin, axis=0)
-        row_of = np.searchsorted(heads, held, side="right") - 1
-        # Windows begin at any passage from which they reach a passage with known terms.
-        starts = np.unique(np.concatenate([np.maximum(held - k, heads[row_of])
-                                           for k in range(self.span)]))
-        rows = np.searchsorted(heads, starts, side="right") - 1
-        sums = np.zeros((len(starts), part.shape[1]), np.float32)
-        for k in range(self.span):
-            want = starts + k
-            place = np.minimum(np.searchsorted(held, want), len(held) - 1)
-            fits = (held[place] == want) & (want < heads[rows + 1])
-            sums[fits] += part[place[fits]]
-        norm = np.linalg.norm(sums, axis=1)
-        near = np.flatnonzero(norm >= self.least_norm)
         best: dict[tuple[int, int], tuple[float, float, bool]] = {}
-        for low in range(0, len(near), 4096):
-            some = near[low:low + 4096]
-            cosine = sums[some] @ self.latent.T / norm[some, None]
-            for w, item in zip(*np.nonzero(cosine >= COSINE)):
-                window = some[w]
-                row = int(rows[window])
-                begin_word = first[row] + (starts[window] - heads[row]) * PASSAGE
-                text = terms[begin_word:min(begin_word + self.span * PASSAGE, first[row + 1])]
-                wanted = self.items[item]
-                share = common_subsequence(wanted.terms, text) / len(wanted.terms)
-                if share < LCS_WITH_ANSWER:
-                    continue
-                answer = bool(len(wanted.answer)) and (
-                    common_subsequence(wanted.answer, text)
-                    >= ANSWER_SHARE * len(wanted.answer))
-                if share < LCS_ALONE and not answer:
-                    continue
-                found = (share, float(cosine[w, item]), answer)
-                key = (row, int(item))
-                if key not in best or found > best[key]:
-                    best[key] = found
+        patterns: dict[int, tuple[dict[int, int], dict[int, int]]] = {}
+        for group in self.classes:
+            for found in group.candidates(at, first):
+                for row, begin, item in zip(*(x.tolist() for x in found)):
+                    end = min(begin + PIECES * group.piece, int(first[row + 1]))
+                    wanted, text = self.items[item], terms[begin:end].tolist()
+                    if item not in patterns:
+                        patterns[item] = bit_places(wanted.terms), bit_places(wanted.answer)
+                    whole, part = patterns[item]
+                    share = common_length(whole, len(wanted.terms), text) / len(wanted.terms)
+                    if share < LCS_WITH_ANSWER:
+                        continue
+                    answer = bool(len(wanted.answer)) and (
+                        common_length(part, len(wanted.answer), text)
+                        >= ANSWER_SHARE * len(wanted.answer))
+                    if share < LCS_ALONE and not answer:
+                        continue
+                    value = (share, self.cosine(at[begin:end], item), answer)
+                    if (row, item) not in best or value > best[row, item]:
+                        best[row, item] = value
         for (row, item), (share, cosine, answer) in sorted(best.items()):
             yield row, item, cosine, share, answer
 
@@ -266,20 +356,18 @@ def build_index(docs: DataFrame, benchmark: DataFrame) -> Index | None:
     if not items:
         return None
     vocabulary = Vocabulary.of(items)
-    weight = inverse_frequency(*passage_counts(docs, vocabulary))
+    counts, passages = passage_counts(docs, vocabulary)
+    weight = inverse_frequency(counts, passages)
     space = latent_space(benchmark, vocabulary, weight)
     fold = (space * weight[:, None]).astype(np.float32)
     latent = np.zeros((len(items), fold.shape[1]), np.float32)
     for k, item in enumerate(items):
         at = vocabulary.look_up(item.terms)
         latent[k] = fold[at[at >= 0]].sum(axis=0)
-    norm = np.linalg.norm(latent, axis=1)
-    latent /= np.maximum(norm, 1e-9)[:, None]
-    longest = max(len(i.terms) for i in items)
-    weighty = norm[norm > 1e-6]
-    return Index(items, vocabulary, fold, fold.any(axis=1), latent,
-                 float(NORM_SHARE * weighty.min()) if len(weighty) else 0.0,
-                 -(-longest // PASSAGE) + 1)
+    latent /= np.maximum(np.linalg.norm(latent, axis=1), 1e-9)[:, None]
+    classes = [LengthClass.of(piece, items, vocabulary, counts)
+               for piece in sorted({piece_words(len(i.terms)) for i in items})]
+    return Index(items, vocabulary, fold, latent, classes)
 
 
 def indexes(docs: DataFrame, benchmark: DataFrame) -> list[Index]:
@@ -305,8 +393,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     The values are those of the window that covers most of the item. Null and empty texts and
     items have no words and match nothing; repeated rows are reported each; other columns are
-    ignored; an empty table on either side gives no rows. Passages cover whole texts and overlap
-    by at least the longest item.
+    ignored; an empty table on either side gives no rows. Windows cover whole texts, and half as
+    many words again as an item has fit in one wherever they begin.
     """
     session = docs.sparkSession
     texts = id_and_text(docs)
