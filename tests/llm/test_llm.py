@@ -221,6 +221,18 @@ def test_leaks_match_longest_common_subsequences(spark, rows):
     assert {(r.doc_id, r.item_id) for r in got.collect()} == want and len(want) > 250
 
 
+@pytest.mark.parametrize("size", [3, 60])
+def test_widely_leaked_items_are_found(spark, size):
+    """An item in most documents makes its own words frequent; another has frequent words only."""
+    item, common = "seven grey herons crossed the frozen lake at dawn", "the of and to in a"
+    texts = [f"n{k} m{k} " + (item if k % 3 else common) + " end" for k in range(size)]
+    got = decontamination.find_leaks(
+        spark.createDataFrame([*enumerate(texts)], "doc_id bigint, text string"),
+        spark.createDataFrame([(1, item), (2, common)], "item_id bigint, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(k, 1 if k % 3 else 2) for k in range(size)}
+    assert all(r.cosine > 0.9 for r in got)
+
+
 def test_common_subsequence():
     a, b = np.array([1, 2, 3, 4, 5, 3], np.uint64), np.array([2, 9, 4, 3, 3], np.uint64)
     assert decontamination.common_subsequence(a, b) == 3

@@ -34,8 +34,6 @@ TABLE_BITS = 20
 ITEM_BLOCK = 20_000
 PASSAGE = 32
 RANK, OVERSAMPLE, POWER_STEPS = 128, 16, 2
-#: Terms in more than this share of all passages carry no weight.
-MOST_PASSAGES = 0.05
 LCS_ALONE, LCS_WITH_ANSWER, ANSWER_SHARE = 0.75, 0.6, 0.8
 #: Pieces in a window, and the share of an item's words that must be among its rarest ones there.
 PIECES, RARE_SHARE = 4, 0.25
@@ -150,8 +148,8 @@ def passage_counts(docs: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndarray,
 
 
 def inverse_frequency(counts: np.ndarray, passages: int) -> np.ndarray:
-    weight = np.log((passages + 1) / (counts + 1)) + 1
-    return np.where(counts > MOST_PASSAGES * max(passages, 20), 0, weight)
+    """At least 1: a term in every passage still counts, as an item may be in all of them."""
+    return np.log((passages + 1) / (counts + 1)) + 1
 
 
 def latent_space(benchmark: DataFrame, vocabulary: Vocabulary, weight: np.ndarray,
