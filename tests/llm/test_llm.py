@@ -110,6 +110,22 @@ def test_dedups_match_plain_versions(docs, awkward, rows):
         assert Counter(map(tuple, got.collect())) == brute.byte_dedup(plain)
 
 
+def test_dedups_of_different_texts_under_one_id(spark):
+    """Several texts that share a passage, without an id and with the same one."""
+    plain = [(k, f"only{n} " * (3 + 400 * (n == 2)) + f"{PASSAGE} tail{n}")
+             for k in (None, 7) for n in range(3)] + [(9, "short"), (9, PASSAGE)]
+    # Texts of one id are in the order of their hashes.
+    table = spark.createDataFrame(plain, "doc_id bigint, text string")
+    order = {r.text: r.th for r in substring_dedup.keyed(table).collect()}
+    plain.sort(key=lambda r: order[r[1]])
+    got = substring_dedup.dedup_digest(table).select("doc_id", "n_words", "n_removed",
+                                                     "kept_sha256")
+    assert Counter(map(tuple, got.collect())) == brute.word_dedup(plain)
+    got = suffix_dedup.dedup_digest(table).select("doc_id", "n_bytes", "n_removed", "n_spans",
+                                                  "kept_sha256")
+    assert Counter(map(tuple, got.collect())) == brute.byte_dedup(plain)
+
+
 @pytest.mark.parametrize("size, letters", [(1, 2), (7, 2), (400, 2), (400, 3), (2000, 50)])
 @pytest.mark.parametrize("limit", [0, 1 << 30])
 def test_suffixes_are_sorted(size, letters, limit):

@@ -45,9 +45,9 @@ def representatives(rows: DataFrame) -> DataFrame:
 
 
 def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """hash, id and position of every anchor."""
+    """hash, id, text hash and position of every anchor."""
     for batch in batches:
-        ids = batch.column("id").to_numpy()
+        ids, texts = batch.column("id").to_numpy(), batch.column("th").to_numpy()
         for low, high, data, offsets in grouped(batch.column("text")):
             found = words(data, offsets)
             starts = window_starts(found.first, ANCHOR)
@@ -57,7 +57,8 @@ def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes = window_hashes(word_hashes(data, found), starts[chosen], ANCHOR)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(hashes.view(np.int64)), pa.array(ids[low:high][row[chosen]]),
-                 pa.array(place[chosen].astype(np.int32))], ["hash", "id", "place"])
+                 pa.array(texts[low:high][row[chosen]]),
+                 pa.array(place[chosen].astype(np.int32))], ["hash", "id", "th", "place"])
 
 
 def candidate_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,12 +136,13 @@ def removals(docs: DataFrame) -> DataFrame:
     rows = keyed(docs)
     reps = materialise(representatives(rows))
     firsts = rows.join(reps, ["id", "th"])
-    marks = (firsts.select("id", "text").mapInArrow(anchors, "hash bigint, id bigint, place int")
+    marks = (firsts.select("id", "th", "text")
+             .mapInArrow(anchors, "hash bigint, id bigint, th bigint, place int")
              .repartition("hash").sortWithinPartitions("hash")
              .mapInArrow(lambda it: shared_keys(it, ["hash"]),
-                         "hash bigint, id bigint, place int")
-             .groupBy("id").agg(F.collect_list("place").alias("place")))
-    windows = (rows.join(marks.join(reps, "id"), ["id", "th"])
+                         "hash bigint, id bigint, th bigint, place int")
+             .groupBy("id", "th").agg(F.collect_list("place").alias("place")))
+    windows = (rows.join(marks, ["id", "th"])
                .select("id", "th", "text", "place")
                .mapInArrow(candidate_windows,
                            "hash bigint, hash2 bigint, id bigint, th bigint, place int"))

@@ -66,16 +66,18 @@ def window_anchors(data: np.ndarray, offsets: np.ndarray
 
 
 def anchor_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """hash and id of every anchor of every text."""
+    """hash, id, text hash and position of every anchor of every text."""
     for batch in batches:
-        ids = batch.column("id").to_numpy()
+        ids, hashes_of = batch.column("id").to_numpy(), batch.column("th").to_numpy()
         for low, high, data, offsets in grouped(batch.column("text")):
             starts, at, grams = window_anchors(data, offsets)
             used = at[np.flatnonzero(np.diff(at, prepend=-1))]
             row = np.searchsorted(offsets, used, side="right") - 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array(grams[used].view(np.int64)), pa.array(ids[low:high][row]),
-                 pa.array((used - offsets[row]).astype(np.int32))], ["hash", "id", "place"])
+                 pa.array(hashes_of[low:high][row]),
+                 pa.array((used - offsets[row]).astype(np.int32))],
+                ["hash", "id", "th", "place"])
 
 
 def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -395,13 +397,13 @@ def removals(docs: DataFrame) -> DataFrame:
     rows = keyed(docs)
     reps = materialise(representatives(rows))
     firsts = rows.join(reps, ["id", "th"])
-    marks = (firsts.select("id", "text")
-             .mapInArrow(anchor_hashes, "hash bigint, id bigint, place int")
+    marks = (firsts.select("id", "th", "text")
+             .mapInArrow(anchor_hashes, "hash bigint, id bigint, th bigint, place int")
              .repartition("hash").sortWithinPartitions("hash")
              .mapInArrow(lambda it: shared_keys(it, ["hash"]),
-                         "hash bigint, id bigint, place int")
-             .groupBy("id").agg(F.collect_list("place").alias("place")))
-    later = (rows.join(marks.join(reps, "id"), ["id", "th"])
+                         "hash bigint, id bigint, th bigint, place int")
+             .groupBy("id", "th").agg(F.collect_list("place").alias("place")))
+    later = (rows.join(marks, ["id", "th"])
              .select("id", "th", "text", "place")
              .mapInArrow(contexts, "hash bigint, id bigint, th bigint, start int, body binary")
              .repartition("hash").sortWithinPartitions("hash")
