@@ -80,6 +80,19 @@ def test_disguises_map_back(text, kind, covered):
     assert [(s.kind, text[s.start:s.end]) for s in spans] == [(kind, covered)] and not plain
 
 
+@pytest.mark.parametrize("kind, disguise", [
+    ("email", "john [at] example dot com"), ("email", "john (at) example dot com"),
+    ("email", "john at example [dot] com"), ("email", "john.doe at example (dot) com"),
+    ("email", "john {dot} doe at mail dot example <dot> com"), ("email", "john@example dot com"),
+    ("email", "john (arroba) example punto com"),
+    ("ip", "192 dot 168 dot 1 dot 20"), ("ip", "192 [dot] 168 dot 1.20")])
+def test_mixed_disguises(kind, disguise):
+    text = f"see, {disguise}, today"
+    plain, spans = pii.find_spans(text)
+    assert [(s.kind, text[s.start:s.end]) for s in spans] == [(kind, disguise)] and not plain
+    assert pii.masked(text, spans) == f"see, <{kind}>, today"
+
+
 def test_prose_is_left_alone(rows):
     assert not pii.find_spans("meet at noon. At the dot we part, one by one")[1]
     mail = "to a@b.example, now"

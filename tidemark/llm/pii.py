@@ -139,10 +139,13 @@ _AT_THEN_DOT = re.compile(
     r"[A-Za-z0-9._%+-]+(?:\s+(?:dot|punkt|punto|point)\s+[A-Za-z0-9_%+-]+)*"
     r"(?:@|\s+(?:at|arroba)\s+)[A-Za-z0-9-]+"
     r"(?:(?:\.|\s+(?:dot|punkt|punto|point)\s+)[A-Za-z0-9-]+)+", re.I)
+_BARE_IP = re.compile(r"(?<![0-9])[0-9]+(?:(?:\.|\s+(?:dot|punkt|punto|point)\s+)[0-9]+){3}", re.I)
 _HINT = re.compile(
     rf"[{re.escape(''.join(_LOOKALIKES))}{_INVISIBLE}！-～\U0001d400-\U0001d7ff]"
     r"|[\[({<]\s*(?:at|arroba|chez|dot|punkt|punto|point)\s*[\])}>]"
-    r"|\s(?:at|arroba|dot|punkt|punto|point)\s+[A-Za-z0-9-]+\s*(?:\.|\s(?:dot|punkt|punto|point)\s)",
+    r"|\s(?:at|arroba|dot|punkt|punto|point)\s+[A-Za-z0-9-]+\s*(?:\.|\s(?:dot|punkt|punto|point)\s)"
+    r"|@[A-Za-z0-9.-]+\s+(?:dot|punkt|punto|point)\s"
+    r"|[0-9]\s+(?:dot|punkt|punto|point)\s+[0-9]",
     re.I)
 
 
@@ -223,15 +226,19 @@ def spelled_digits(given: Mapped) -> Mapped:
     return _rewrite(given, sorted(edits))
 
 
+def _sign(word: str) -> str:
+    return "@" if word.lower() in _ATS else "."
+
+
 def at_and_dot(given: Mapped) -> Mapped:
-    """Bracketed signs always; bare words only where they make up a whole address."""
-    whole = [m.span() for m in _AT_THEN_DOT.finditer(given.text)]
-    edits = []
-    for sign in _SIGN.finditer(given.text):
-        word = (sign["b"] or sign["w"]).lower()
-        if sign["b"] or any(low <= sign.start() and sign.end() <= high for low, high in whole):
-            edits.append((*sign.span(), "@" if word in _ATS else "."))
-    return _rewrite(given, edits)
+    """Bracketed signs always; bare words only where they then make up a whole address."""
+    given = _rewrite(given, [(*sign.span(), _sign(sign["b"]))
+                             for sign in _SIGN.finditer(given.text) if sign["b"]])
+    whole = [m.span() for pattern in (_AT_THEN_DOT, _BARE_IP)
+             for m in pattern.finditer(given.text)]
+    return _rewrite(given, [
+        (*sign.span(), _sign(sign["w"])) for sign in _SIGN.finditer(given.text)
+        if any(low <= sign.start() and sign.end() <= high for low, high in whole)])
 
 
 def disguised_spans(text: str, plain: list[Span]) -> list[Span]:
