@@ -85,7 +85,10 @@ def test_disguises_map_back(text, kind, covered):
     ("email", "john at example [dot] com"), ("email", "john.doe at example (dot) com"),
     ("email", "john {dot} doe at mail dot example <dot> com"), ("email", "john@example dot com"),
     ("email", "john (arroba) example punto com"),
-    ("ip", "192 dot 168 dot 1 dot 20"), ("ip", "192 [dot] 168 dot 1.20")])
+    ("ip", "192 dot 168 dot 1 dot 20"), ("ip", "192 [dot] 168 dot 1.20"),
+    ("ip", "one two seven [dot] zero [dot] zero [dot] one"),
+    ("ip", "one two seven dot 0 dot zero dot one"), ("ip", "un deux sept point zéro point 0 point une"),
+    ("phone", "plus zéro six un deux trois quatre cinq six sept huit")])
 def test_mixed_disguises(kind, disguise):
     text = f"see, {disguise}, today"
     plain, spans = pii.find_spans(text)

@@ -122,7 +122,7 @@ _DIGIT_NAMES = {
     "six": "6", "seven": "7", "eight": "8", "nine": "9",
     "null": "0", "eins": "1", "zwei": "2", "drei": "3", "vier": "4", "fünf": "5",
     "sechs": "6", "sieben": "7", "acht": "8", "neun": "9",
-    "zéro": "0", "deux": "2", "trois": "3", "quatre": "4", "cinq": "5", "sept": "7",
+    "zéro": "0", "un": "1", "une": "1", "deux": "2", "trois": "3", "quatre": "4", "cinq": "5", "sept": "7",
     "huit": "8", "neuf": "9",
     "cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4", "cinco": "5",
     "seis": "6", "siete": "7", "ocho": "8", "nueve": "9",
@@ -130,6 +130,11 @@ _DIGIT_NAMES = {
 _NAME = "|".join(sorted(_DIGIT_NAMES, key=len, reverse=True))
 _DIGIT = rf"(?:[0-9]|\b(?:{_NAME})\b)"
 _SPELLED = re.compile(rf"(?:\b(?:plus)\b\s?)?{_DIGIT}(?:[ ,-]{{0,2}}{_DIGIT}){{6,}}", re.I)
+#: Four numbers of at most three digits, names or figures, with dot signs between them.
+_DOT = (r"(?:\s*[\[({<]\s*(?:dot|punkt|punto|point)\s*[\])}>]\s*"
+        r"|\s+(?:dot|punkt|punto|point)\s+|\.)")
+_PART = rf"{_DIGIT}(?:[ ,-]{{0,2}}{_DIGIT}){{0,2}}"
+_SPELLED_IP = re.compile(rf"({_PART}){_DOT}({_PART}){_DOT}({_PART}){_DOT}({_PART})", re.I)
 _ONE_NAME = re.compile(rf"\b(?:{_NAME}|plus)\b", re.I)
 _SIGN = re.compile(
     r"\s*[\[({<]\s*(?P<b>at|arroba|chez|dot|punkt|punto|point)\s*[\])}>]\s*"
@@ -151,8 +156,9 @@ _HINT = re.compile(
 
 def _names_digits(text: str) -> bool:
     """Whether digits are spelled; nearly every text is settled without the long pattern."""
-    words = text.lower().replace(",", " ").replace("-", " ").split()
-    return not _DIGIT_NAMES.keys().isdisjoint(words) and bool(_SPELLED.search(text))
+    words = text.lower().replace(",", " ").replace("-", " ").replace(".", " ").split()
+    return (not _DIGIT_NAMES.keys().isdisjoint(words)
+            and bool(_SPELLED.search(text) or _SPELLED_IP.search(text)))
 
 
 def _source(text: str) -> Mapped:
@@ -209,21 +215,25 @@ def _rewrite(given: Mapped, edits: list[tuple[int, int, str]]) -> Mapped:
     return Mapped("".join(letters), starts, ends, changed)
 
 
-def spelled_digits(given: Mapped) -> Mapped:
-    edits = []
-    for run in _SPELLED.finditer(given.text):
-        names = [*_ONE_NAME.finditer(run[0])]
-        if not names:
-            continue
-        for name in names:
-            low, high = run.start() + name.start(), run.start() + name.end()
-            word = name[0].lower()
-            edits.append((low, high, "+" if word == "plus" else _DIGIT_NAMES[word]))
-        # Blanks between spelled digits go, so that the digits stand together.
+def _digit_edits(text: str, begin: int, end: int) -> Iterator[tuple[int, int, str]]:
+    """Edits that turn the digit names of one run into digits that stand together."""
+    run = text[begin:end]
+    names = [*_ONE_NAME.finditer(run)]
+    for name in names:
+        word = name[0].lower()
+        yield (begin + name.start(), begin + name.end(),
+               "+" if word == "plus" else _DIGIT_NAMES[word])
+    if names:
         for blank in re.finditer(r"(?<=[a-z])[ ,-]{1,2}(?=[a-z0-9])|(?<=[0-9])[ ,-]{1,2}(?=[a-z])",
-                                 run[0], re.I):
-            edits.append((run.start() + blank.start(), run.start() + blank.end(), ""))
-    return _rewrite(given, sorted(edits))
+                                 run, re.I):
+            yield begin + blank.start(), begin + blank.end(), ""
+
+
+def spelled_digits(given: Mapped) -> Mapped:
+    """Long runs of digits, and short ones that dot signs join to an ip."""
+    runs = [m.span() for m in _SPELLED.finditer(given.text)]
+    runs += [m.span(part) for m in _SPELLED_IP.finditer(given.text) for part in range(1, 5)]
+    return _rewrite(given, sorted({edit for run in runs for edit in _digit_edits(given.text, *run)}))
 
 
 def _sign(word: str) -> str:
