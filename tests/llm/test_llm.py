@@ -314,6 +314,15 @@ def test_awkward_and_empty_tables(spark, awkward):
     assert {r.score for r in quality_classifier.score(awkward, none).collect()} == {0.5}
 
 
+@pytest.mark.parametrize("known", ["false", "quality = 0"])
+def test_quality_keeps_all_documents_without_both_classes(spark, known):
+    train, labels = read_documents(spark, TINY), read_table(spark, TINY, "labels").where(known)
+    kept = quality_classifier.accepted(train, quality_classifier.train(train, labels))
+    assert kept.columns == train.columns
+    assert (Counter(r.doc_id for r in kept.collect())
+            == Counter(r.doc_id for r in train.collect()))
+
+
 def test_pipeline_keeps_its_promises(spark):
     raw = docs = read_documents(spark, TINY)
     for _, stage in corpus_pipeline.STAGES[:-1]:

@@ -270,16 +270,19 @@ def score(docs: DataFrame, model: QualityModel, keep_from: float = KEEP_FROM) ->
 
 
 def accepted(docs: DataFrame, model: QualityModel, keep_from: float = KEEP_FROM) -> DataFrame:
-    """The documents, all columns, whose score reaches ``keep_from``."""
+    """The documents, all columns, whose score reaches ``keep_from``.
+
+    All of them where labels gave no network: one score for all tells no document from another.
+    """
+    if model.network is None:
+        return docs
     sent = docs.sparkSession.sparkContext.broadcast(model)
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vectors, network, base = sent.value
+        vectors, network, _ = sent.value
         for batch in batches:
-            column = batch.column("text")
-            scores = (np.full(len(column), base) if network is None
-                      else network.scores(pooled(column, vectors)))
+            scores = network.scores(pooled(batch.column("text"), vectors))
             yield batch.filter(pa.array(scores >= keep_from))
 
     return docs.mapInArrow(run, schema)
