@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (decontamination, mixing, pii, quality_classifier, quality_rules,
-                          similarity_join, substring_dedup, suffix_dedup, token_counts, toxicity)
+                          similarity_join, substring_dedup, suffix_dedup, token_counts, toxicity,
+                          whitening)
 from tidemark.llm.common import read_documents, read_table
 
 
@@ -57,11 +58,15 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup_digest(read_documents(spark, sf_dir))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_personal_data, op2_quality_rules, op3_quality_classifier, op4_source_mixing,
         op5_similarity_join, op6_decontamination, op7_toxicity, op8_token_counts,
-        op9_substring_dedup, op10_suffix_dedup)}
+        op9_substring_dedup, op10_suffix_dedup, op11_embedding_whitening)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": quality_rules.ORACLE_SQL,
