@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import (decontamination, manifest, mixing, pii, quality_classifier, quality_rules,
-                          similarity_join, substring_dedup, suffix_dedup, token_counts, toxicity,
-                          whitening)
+from tidemark.llm import (decontamination, manifest, mixing, pieces, pii, quality_classifier,
+                          quality_rules, similarity_join, substring_dedup, suffix_dedup,
+                          token_counts, toxicity, whitening)
 from tidemark.llm.common import read_documents, read_table
 
 
@@ -62,6 +62,10 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
 
 
+def op12_sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(read_documents(spark, sf_dir))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.verify(read_documents(spark, sf_dir))
 
@@ -70,7 +74,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_personal_data, op2_quality_rules, op3_quality_classifier, op4_source_mixing,
         op5_similarity_join, op6_decontamination, op7_toxicity, op8_token_counts,
-        op9_substring_dedup, op10_suffix_dedup, op11_embedding_whitening, op13_merkle_manifest)}
+        op9_substring_dedup, op10_suffix_dedup, op11_embedding_whitening,
+        op12_sentencepiece_round_trip, op13_merkle_manifest)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": quality_rules.ORACLE_SQL,
