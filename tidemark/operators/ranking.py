@@ -1,14 +1,22 @@
-"""Exact ranks, running totals and score curves without a single-task sort.
+"""Exact ranks, running totals, score curves and order statistics without a single-task sort.
 
 A running total over all rows of a group is split by a bin, a fixed monotone function of the
 row itself: totals per bin are accumulated over the bins, and rows are only put in order inside
 their bin. Bins do not come from samples, so any re-run of any task sees the same ones.
+
+Places among equal scores go by (cutoff, id). There the bins are the digits of the id, from the
+highest down: each digit has 2^16 values, so no window is longer than that, however the ids lie.
+
+Medians are bracketed by a mergeable sketch first; what lies below a bracket is counted exactly,
+and only the rows inside are put in order.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
-from math import pi
+from math import ceil, floor, inf, pi
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,7 +24,13 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalars import as_column, positive_hash
 
 TIE_KEYS = ("cutoff", "customer_id")
-ID_BLOCK_BITS = 20
+#: A digit of an id; three of the four digits of a long lead to its block.
+DIGIT_BITS = 16
+#: Rows inside a bracket that are put in order; a bracket with more is narrowed again.
+PIECE_ROWS = 1 << 18
+# The sketch is good to 1/10,000 of the rows; a bracket goes one step of the grid further.
+_ACCURACY, _GRID = 10_000, 512
+_MOST_PASSES = 12
 
 
 def running_totals(df: DataFrame, group: list[str], bin_key: Column, order: list[Column],
@@ -68,28 +82,67 @@ def score_curve(scored: DataFrame, keys: list[str], label: str = "label",
                           ["n", "pos"], descending=True, totals=True)
 
 
-def _ranked_within(rows: DataFrame, group: list[str], ties: tuple[str, str]) -> DataFrame:
-    """Add ``_one_before``: the number of rows of the group that come first by (cutoff, id).
+def _placed(rows: DataFrame, group: list[str], ties: tuple[str, str],
+            starts: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Add ``_one_before``: the rows of the group that come first by (cutoff, id).
+
+    Rows are counted per block of 2^16 consecutive ids, and blocks are rolled up digit by digit
+    to cutoffs and groups. On the way back down every level adds what lies before it within the
+    level above, so each window sees the values of one digit. Rows meet their block's total in
+    one join on the finest key, which no group, score or cutoff can crowd.
 
-    Bins are a cutoff and a block of 2^ID_BLOCK_BITS consecutive ids, so a block is bounded by
-    its width. For ids spread over all 64 bits, a wider block keeps the number of blocks small.
+    ``starts`` turns the counts per group (``n``) into a table of group and ``n_before``, rows
+    that come before the whole group.
     """
     moment, identifier = ties
-    block = F.struct(F.col(moment), F.shiftright(F.col(identifier), ID_BLOCK_BITS))
-    rows = rows.withColumn("_one", F.lit(1).cast("bigint"))
-    return running_totals(rows, group, block, [F.col(identifier).asc()], ["_one"]).drop("_one")
+    levels = [f"_digits_{k}" for k in (3, 2, 1)]              # finest first
+    keyed = rows.withColumn(levels[0], F.shiftright(F.col(identifier), DIGIT_BITS)) \
+        .withColumn("_moment_key", F.col(moment))
+    above = [*group, "_moment_key"]
+    counts = [keyed.groupBy(*above, levels[0]).agg(F.count(F.lit(1)).alias("n"))]
+    for finer, level in zip(levels, levels[1:]):
+        counts.append(counts[-1].groupBy(*above, F.shiftright(finer, DIGIT_BITS).alias(level))
+                      .agg(F.sum("n").alias("n")))
+    per_moment = counts[-1].groupBy(*above).agg(F.sum("n").alias("n"))
+
+    def earlier(table: DataFrame, within: list[str], by: str) -> DataFrame:
+        window = (Window.partitionBy(*within).orderBy(by)
+                  .rowsBetween(Window.unboundedPreceding, -1))
+        return table.withColumn("_earlier", F.coalesce(F.sum("n").over(window), F.lit(0))).drop("n")
+
+    totals = earlier(per_moment, group, "_moment_key").withColumnRenamed("_earlier", "_offset")
+    if starts is not None:
+        first = starts(per_moment.groupBy(*group).agg(F.sum("n").alias("n")))
+        totals = totals.join(first, group).withColumn(
+            "_offset", F.col("_offset") + F.col("n_before")).drop("n_before")
+    within = above
+    for level, table in zip(reversed(levels), reversed(counts)):
+        # The digits above this one, by which it meets the level above.
+        parent = [] if within == above else [within[-1]]
+        if parent:
+            table = table.withColumn(parent[0], F.shiftright(level, DIGIT_BITS))
+        totals = (earlier(table, within, level).join(totals, within)
+                  .select(*above, level, (F.col("_offset") + F.col("_earlier")).alias("_offset")))
+        within = [*above, level]
+    in_block = (Window.partitionBy(*within).orderBy(F.col(identifier))
+                .rowsBetween(Window.unboundedPreceding, -1))
+    one = F.lit(1).cast("bigint")
+    return keyed.join(totals, within).select(
+        *rows.columns,
+        (F.col("_offset") + F.coalesce(F.sum(one).over(in_block), F.lit(0))).alias("_one_before"))
 
 
 def global_rank(scored: DataFrame, keys: list[str], label: str = "label", score: str = "score",
                 ties: tuple[str, str] = TIE_KEYS) -> DataFrame:
     """Add ``rank`` (1 = best) per group by score descending, then cutoff, then customer."""
-    curve = score_curve(scored, keys, label, score).select(
-        *keys, F.col("score").alias("_score"), "n_before")
+    def better(counts: DataFrame) -> DataFrame:
+        return running_totals(counts, keys, _score_bin(F.col("_score")),
+                              [F.col("_score").desc()], ["n"], descending=True) \
+            .select(*keys, "_score", F.col("n_before"))
+
     rows = scored.withColumn("_score", as_column(score).cast("double"))
-    placed = rows.join(curve, [*keys, "_score"])
-    ranked = _ranked_within(placed, [*keys, "_score"], ties)
-    return ranked.withColumn("rank", F.col("n_before") + F.col("_one_before") + 1) \
-        .select(*scored.columns, "rank")
+    placed = _placed(rows, [*keys, "_score"], ties, better)
+    return placed.withColumn("rank", F.col("_one_before") + 1).select(*scored.columns, "rank")
 
 
 def top_rows(total: Column, share) -> Column:
@@ -140,7 +193,7 @@ def hits_at(points: DataFrame, scored: DataFrame, keys: list[str], cuts: dict,
              .agg(F.collect_list(F.struct("cut", "_take")).alias("_ends")))
     runs = rows.join(split, [*keys, "_score"])
     from_run = (
-        _ranked_within(runs, [*keys, "_score"], ("_moment", "_id"))
+        _placed(runs, [*keys, "_score"], ("_moment", "_id"))
         .select(*keys, "_one_before", "_label", F.inline("_ends"))
         .groupBy(*keys, "cut")
         .agg(F.sum(F.when(F.col("_one_before") < F.col("_take"), F.col("_label")))
@@ -164,32 +217,122 @@ def row_positions(df: DataFrame, identity: list[str], seed: int, name: str = "po
     return counted.drop(name, "_hash").withColumnRenamed(f"{name}_before", name)
 
 
-def value_at_positions(values: DataFrame, keys: list[str], value: str,
-                       positions: dict) -> DataFrame:
-    """Order statistics per group: keys, ``at``, ``value`` for 0-based ascending positions.
-
-    ``positions`` maps a name to a column expression over ``n_total``. Equal values are combined
-    first, so the result is exact without collecting a group anywhere.
+class Bracket(NamedTuple):
+    """An open interval of a column's values, and how many of them lie around and in it."""
+
+    low: float
+    high: float
+    below: int = 0              # rows under low
+    at_low: int = 0
+    inside: int = 0
+    at_high: int = 0
+    wanted: tuple[int, ...] = ()
+
+    def place(self, position: int) -> str:
+        """Where the value at a 0-based ascending position lies."""
+        edge = self.below
+        for where, rows in (("low", self.at_low), ("inside", self.inside),
+                            ("high", self.at_high)):
+            if edge <= position < edge + rows:
+                return where
+            edge += rows
+        return "outside"
+
+    def narrowed(self, grid: list[float]) -> Bracket:
+        """The bracket of the wanted positions, going by a sketch of the values inside."""
+        first = [p - self.below - self.at_low for p in self.wanted if self.place(p) == "inside"]
+        step = _GRID / self.inside
+        low, high = floor(min(first) * step) - 1, ceil((max(first) + 1) * step) + 1
+        return Bracket(grid[low] if low >= 0 else self.low,
+                       grid[high] if high <= _GRID else self.high)
+
+
+def _pairs(df: DataFrame, brackets: dict[str, Bracket]) -> DataFrame:
+    """(feature, value, low, high) of every value there is; NaN counts as missing."""
+    rows = F.inline(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"),
+                 F.lit(b.low).alias("low"), F.lit(b.high).alias("high"))
+        for c, b in brackets.items()]))
+    return df.select(rows).filter(F.col("value").isNotNull() & ~F.isnan("value"))
+
+
+def brackets_of(df: DataFrame, columns: list[str], positions: Callable[[int], tuple[int, ...]]
+                ) -> dict[str, Bracket]:
+    """Per column with values a bracket whose edges or few inner rows hold the wanted positions.
+
+    ``positions`` gives 0-based ascending positions for a number of rows. Every pass is one
+    aggregation of all open columns, of which one row each reaches the driver. Counts are exact, so a sketch
+    that errs costs a larger piece and never a wrong value.
     """
-    curve = score_curve(values.withColumn("_zero", F.lit(0)), keys, "_zero", value)
-    low = F.col("n_total") - F.col("n_before") - F.col("n")
-    high = F.col("n_total") - F.col("n_before")
-    wanted = F.array(*[F.struct(F.lit(k).alias("at"), p.cast("bigint").alias("p"))
-                       for k, p in positions.items()])
-    here = F.filter(wanted, lambda w: (w["p"] >= low) & (w["p"] < high))
-    return curve.select(*keys, F.inline(here), F.col("score").alias("value")).drop("p")
+    value, low, high = F.col("value"), F.col("low"), F.col("high")
+    inside = (value > low) & (value < high)
+    grid = [k / _GRID for k in range(_GRID + 1)]
+    done: dict[str, Bracket] = {}
+    last: dict[str, Bracket] = {}
+    open_ones = {c: Bracket(-inf, inf) for c in columns}
+    for _ in range(_MOST_PASSES):
+        counted = (_pairs(df, open_ones).groupBy("feature").agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(value < low).alias("below"),
+            F.count_if(value == low).alias("at_low"), F.count_if(inside).alias("inside"),
+            F.count_if(value == high).alias("at_high"),
+            F.percentile_approx(F.when(inside, value), grid, _ACCURACY).alias("grid")))
+        following = {}
+        for row in counted.collect():
+            name = row["feature"]
+            bracket = open_ones[name]._replace(
+                below=row["below"], at_low=row["at_low"], inside=row["inside"],
+                at_high=row["at_high"], wanted=positions(row["n"]))
+            where = {bracket.place(p) for p in bracket.wanted}
+            if "outside" in where:
+                done[name] = last[name]
+            elif "inside" not in where or bracket.inside <= PIECE_ROWS:
+                done[name] = bracket
+            else:
+                last[name], following[name] = bracket, bracket.narrowed(row["grid"])
+        if not following:
+            return done
+        open_ones = following
+    return done | {name: last[name] for name in open_ones}
+
+
+def order_statistics(df: DataFrame, columns: list[str],
+                     positions: Callable[[int], tuple[int, ...]]) -> DataFrame:
+    """(feature, position, value) of the wanted positions of every column, missing left out."""
+    found = brackets_of(df, columns, positions)
+    edges = [(name, p, getattr(b, b.place(p))) for name, b in found.items()
+             for p in b.wanted if b.place(p) != "inside"]
+    result = df.sparkSession.createDataFrame(
+        edges, "feature string, position bigint, value double")
+    pieces = {name: b for name, b in found.items()
+              if any(b.place(p) == "inside" for p in b.wanted)}
+    if not pieces:
+        return result
+    within = (_pairs(df, pieces)
+              .filter((F.col("value") > F.col("low")) & (F.col("value") < F.col("high")))
+              .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")))
+    so_far = (Window.partitionBy("feature").orderBy("value")
+              .rowsBetween(Window.unboundedPreceding, 0))
+    start = F.element_at(_by_feature({name: b.below + b.at_low for name, b in pieces.items()}),
+                         F.col("feature"))
+    wanted = F.element_at(_by_feature({
+        name: F.array(*[F.lit(p).cast("bigint") for p in b.wanted if b.place(p) == "inside"])
+        for name, b in pieces.items()}), F.col("feature"))
+    placed = within.withColumn("_end", start + F.sum("n").over(so_far))
+    here = F.filter(wanted, lambda p: (p >= F.col("_end") - F.col("n")) & (p < F.col("_end")))
+    return result.unionByName(
+        placed.select("feature", F.explode(here).alias("position"), "value"))
+
+
+def _by_feature(values: dict) -> Column:
+    return F.create_map(*[item for name, value in values.items()
+                          for item in (F.lit(name), value if isinstance(value, Column)
+                                       else F.lit(value).cast("bigint"))])
 
 
 def exact_medians(df: DataFrame, columns: list[str]) -> DataFrame:
     """(feature, median) of every column, missing values left out; no row if all are missing."""
-    pairs = F.inline(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))
-        for c in columns]))
-    values = df.select(pairs).filter(F.col("value").isNotNull())
-    middle = {"low": F.floor((F.col("n_total") - 1) / 2),
-              "high": F.floor(F.col("n_total") / 2)}
-    return (value_at_positions(values, ["feature"], "value", middle)
-            .groupBy("feature").agg(F.avg("value").alias("median")))
+    middle = order_statistics(df, columns, lambda n: tuple(sorted({(n - 1) // 2, n // 2})))
+    return middle.groupBy("feature").agg(F.avg("value").alias("median"))
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
