@@ -3,10 +3,11 @@
 Features read only lines before the cutoff, labels only lines in ``[cutoff, cutoff + horizon)``.
 
 How the work is laid out. The cutoffs cut time into *epochs*: a line of epoch ``e`` is past for
-the cutoffs number ``e, e+1, ...`` in time order. So no line is copied once per cutoff. Lines and orders are
-reduced by aggregations that combine before they shuffle, down to *facts* whose number per
-customer has a bound given by the calendar (days, cutoffs, countries) and not by how much the
-customer buys:
+the cutoffs number ``e, e+1, ...`` in time order. So no line is copied once per cutoff. Lines are read and shuffled
+once, into *cells*: a customer, or a part of one with very many lines. There they are
+reduced to *parts*: orders, countries and (for customers in several cells) products, each per
+epoch, in one stream of rows. Parts become *facts*, whose number per customer has a bound given by
+the calendar (days, cutoffs, countries) and not by how much the customer buys:
 
 * orders, per (customer, day): an order's date never changes once seen, and the gap between two
   orders on one day is zero whole days, so a day's orders can be merged without loss;
@@ -22,7 +23,6 @@ a third of all lines costs the same there as any other.
 from __future__ import annotations
 
 from datetime import timedelta
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from tidemark.config import MONEY_DECIMALS, WINDOW_DAYS, SnapshotSettings, parse_cutoffs
 from tidemark.functions.scalars import at_least_one, count_reached, timestamp, whole_days
 
+# The public names of the 33 features, by block.
 RFM = ["frequency", "monetary", "avg_order_value", "std_order_value", "max_order_value",
        "avg_items", "avg_products", "recency_days", "tenure_days", "revenue_per_tenure_day"]
 CADENCE = ["mean_gap_days", "std_gap_days", "min_gap_days", "max_gap_days", "gap_cv",
@@ -51,6 +52,16 @@ NOT_FEATURES = ("customer_id", "label", "cutoff")
 
 _MINOR = 10 ** MONEY_DECIMALS
 
+#: A customer with more lines is spread over several cells; this many customers at most are, those
+#: with the most lines, so that their list stays small however long the table is.
+CELL_LINES = 1 << 17
+SPREAD_CUSTOMERS = 1000
+# The smallest pieces of lines that may be merged, and how their measures combine.
+GRAIN = ["customer_id", "invoice_no", "stock_code", "country", "epoch"]
+MEASURES = {"order_date": F.min, "value": F.sum, "items": F.sum, "lines": F.sum,
+            "priced": F.sum, "prices": F.sum, "first_open": F.min}
+_ORDER, _COUNTRY, _PRODUCT = 0, 1, 2
+
 
 def feature_columns(snapshots: DataFrame) -> list[str]:
     """All columns but the identifiers and the label. The cutoff is no feature on purpose."""
@@ -85,9 +96,121 @@ def _cutoff_at(position, moments) -> Column:
     return F.element_at(F.array(*[timestamp(m) for m in moments]), position + F.lit(1))
 
 
+# ---------------------------------------------------------------------------------------------
+# From lines to parts
+# ---------------------------------------------------------------------------------------------
+def line_grains(transactions: DataFrame, cutoffs, horizon_days: int | None = None) -> DataFrame:
+    """Lines with their epoch and measures, as far as a cutoff or outcome window looks at them.
+
+    ``first_open`` is the number of outcome windows that have ended: together with the epoch it
+    gives the cutoffs for which the line counts as an outcome.
+    """
+    moments = parse_cutoffs(cutoffs)
+    ends = [m + timedelta(days=horizon_days or 0) for m in moments]
+    epoch = count_reached("invoice_date", moments)
+    one = F.lit(1).cast("bigint")
+    return transactions.filter(F.col("invoice_date") < timestamp(ends[-1])).select(
+        "customer_id", "invoice_no", "stock_code", "country", epoch.alias("epoch"),
+        F.col("invoice_date").alias("order_date"),
+        F.rint(F.col("line_revenue") * _MINOR).cast("bigint").alias("value"),
+        F.col("quantity").alias("items"), one.alias("lines"),
+        F.when(F.col("unit_price").isNotNull(), one).alias("priced"),
+        F.col("unit_price").alias("prices"),
+        (count_reached("invoice_date", ends) if horizon_days is not None else epoch)
+        .alias("first_open"))
+
+
+def _in_cells(grains: DataFrame) -> DataFrame:
+    """Bring a customer's lines together, or equal parts of them if there are very many."""
+    # Bounded by its limit, so it can be sent to all tasks.
+    spread = (grains.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_lines"))
+              .orderBy(F.desc("_lines"), "customer_id").limit(SPREAD_CUSTOMERS)
+              .filter(F.col("_lines") > CELL_LINES)
+              .select("customer_id", F.ceil(F.col("_lines") / CELL_LINES).alias("_cells")))
+    cells = F.coalesce("_cells", F.lit(1).cast("bigint"))
+    return (grains.join(F.broadcast(spread), "customer_id", "left")
+            .withColumn("cell", F.pmod(F.xxhash64("invoice_no", "stock_code"), cells))
+            .withColumn("spread", F.col("_cells").isNotNull()).drop("_cells")
+            .repartition("customer_id", "cell"))
+
+
+def _parts(grains: DataFrame, last: int) -> DataFrame:
+    """Orders, countries and products of every customer and epoch: one row per (customer, kind,
+    id, epoch), from one shuffle of the lines and a smaller one of the parts."""
+    place = ["customer_id", "cell"]
+    cells = (_in_cells(grains).groupBy(*place, "spread", *GRAIN[1:])
+             .agg(*[combine(name).alias(name) for name, combine in MEASURES.items()]))
+    # A product counts once per order and once per customer, from the epoch of its first line on.
+    # One order of rows serves both: a cell is sorted once.
+    in_order = Window.partitionBy(*place, "stock_code", "invoice_no").orderBy("epoch", "country")
+    of_product = Window.partitionBy(*place, "stock_code")
+    known = F.col("stock_code").isNotNull()
+    when_bought = F.struct("epoch", "invoice_no", "country")
+    first_line = F.min(when_bought).over(of_product).eqNullSafe(when_bought)
+    # A customer spread over cells may have bought a product in several of them: its products
+    # travel on by name. A customer in one cell only needs their number.
+    marked = cells.select(
+        "*", (known & (F.row_number().over(in_order) == 1)).cast("bigint").alias("products"),
+        (known & first_line).cast("bigint").alias("new_products"),
+        F.when(F.col("spread") & known & first_line, F.col("stock_code")).alias("product"))
+    # The rest is the same for all lines of an order in an epoch.
+    merged = marked.groupBy(*place, "spread", "invoice_no", "country", "epoch", "product").agg(
+        *[combine(name).alias(name) for name, combine in MEASURES.items()],
+        *[F.sum(name).alias(name) for name in ("products", "new_products")])
+    past = F.col("epoch") < last
+
+    def part(kind: int, name: str, **columns: Column):
+        fields = {**dict.fromkeys(_PART_TYPES), **columns}
+        return F.struct(F.lit(kind).alias("kind"), F.col(name).cast("string").alias("id"), *[
+            (F.lit(None) if value is None else value).cast(_PART_TYPES[field]).alias(field)
+            for field, value in fields.items()])
+
+    parts = F.filter(F.array(
+        F.when(past & F.col("invoice_no").isNotNull(), part(
+            _ORDER, "invoice_no", order_date=F.col("order_date"), value=F.col("value"),
+            items=F.col("items"), products=F.col("products"))),
+        part(_COUNTRY, "country", items=F.col("items"), lines=F.col("lines"),
+             priced=F.col("priced"), prices=F.col("prices"), first_open=F.col("first_open"),
+             new_products=F.when(~F.col("spread"), F.col("new_products"))),
+        F.when(past & F.col("product").isNotNull(), part(_PRODUCT, "product"))),
+        lambda p: p.isNotNull())
+    combined = {**MEASURES, "products": F.sum, "new_products": F.sum}
+    sums = [combine(name).alias(name) for name, combine in combined.items()]
+    key = ["customer_id", "kind", "id"]
+    # Combined within each cell first, so that a customer's one country is no hot key.
+    return (merged.select(*place, "epoch", F.inline(parts))
+            .groupBy(*place, "kind", "id", "epoch").agg(*sums)
+            .repartition(*key).groupBy(*key, "epoch").agg(*sums))
+
+
+_PART_TYPES = {"order_date": "timestamp_ntz", "value": "bigint", "items": "bigint",
+               "lines": "bigint", "priced": "bigint", "prices": "double", "first_open": "int",
+               "products": "bigint", "new_products": "bigint"}
+
+
 # ---------------------------------------------------------------------------------------------
 # Orders
 # ---------------------------------------------------------------------------------------------
+def _states(parts: DataFrame, last: int) -> DataFrame:
+    """Parts with, for orders, their state from this epoch on and the epoch that replaces it."""
+    # At most one row per cutoff in each window partition.
+    by_epoch = Window.partitionBy("customer_id", "kind", "id").orderBy("epoch")
+    so_far = by_epoch.rowsBetween(Window.unboundedPreceding, 0)
+    is_order = F.col("kind") == _ORDER
+
+    def running(name: str, combined: Column) -> Column:
+        return F.when(is_order, combined).otherwise(F.col(name)).alias(name)
+
+    return parts.select(
+        "customer_id", "kind", "id", F.col("epoch").alias("valid_from"),
+        F.when(is_order, F.lead("epoch", 1, last).over(by_epoch)).otherwise(F.lit(last))
+        .alias("valid_to"),
+        (F.row_number().over(by_epoch) == 1).alias("is_first"),
+        running("order_date", F.first("order_date").over(so_far)),
+        *[running(c, F.sum(c).over(so_far)) for c in ("value", "items", "products")],
+        "new_products", "lines", "priced", "prices", "first_open")
+
+
 def order_versions(transactions: DataFrame, cutoffs) -> DataFrame:
     """Orders as they looked over time: one row per (customer, invoice, state).
 
@@ -96,34 +219,10 @@ def order_versions(transactions: DataFrame, cutoffs) -> DataFrame:
     without an invoice number belong to no order.
     """
     moments = parse_cutoffs(cutoffs)
-    order = ["customer_id", "invoice_no"]
-    lines = with_epoch(transactions, moments).filter(F.col("invoice_no").isNotNull())
-    amounts = lines.select(
-        *order, "epoch", F.col("invoice_date").alias("order_date"),
-        F.rint(F.col("line_revenue") * _MINOR).cast("bigint").alias("value"),
-        F.col("quantity").alias("items"), F.lit(0).cast("bigint").alias("products"))
-    # A product counts once per order, from the epoch of its first line on.
-    first_lines = (
-        lines.filter(F.col("stock_code").isNotNull())
-        .groupBy(*order, "stock_code").agg(F.min("epoch").alias("epoch"))
-        .select(*order, "epoch", F.lit(None).cast("timestamp_ntz").alias("order_date"),
-                F.lit(0).cast("bigint").alias("value"), F.lit(0).cast("bigint").alias("items"),
-                F.lit(1).cast("bigint").alias("products")))
-    changes = (
-        amounts.unionByName(first_lines).groupBy(*order, "epoch")
-        .agg(F.min("order_date").alias("order_date"),
-             *[F.sum(c).alias(c) for c in ("value", "items", "products")]))
-
-    # At most one row per cutoff in each window partition.
-    by_epoch = Window.partitionBy(*order).orderBy("epoch")
-    so_far = by_epoch.rowsBetween(Window.unboundedPreceding, 0)
-    return changes.select(
-        *order,
-        F.first("order_date").over(so_far).alias("order_date"),
-        F.col("epoch").alias("valid_from"),
-        F.lead("epoch", 1, len(moments)).over(by_epoch).alias("valid_to"),
-        (F.row_number().over(by_epoch) == 1).alias("is_first"),
-        *[F.sum(c).over(so_far).alias(c) for c in ("value", "items", "products")])
+    states = _states(_parts(line_grains(transactions, moments), len(moments)), len(moments))
+    return states.filter(F.col("kind") == _ORDER).select(
+        "customer_id", F.col("id").alias("invoice_no"), "order_date", "valid_from", "valid_to",
+        "is_first", "value", "items", "products")
 
 
 def orders_at_cutoffs(transactions: DataFrame, cutoffs) -> DataFrame:
@@ -138,46 +237,63 @@ def orders_at_cutoffs(transactions: DataFrame, cutoffs) -> DataFrame:
                 F.col("items").alias("order_items"), F.col("products").alias("order_products")))
 
 
-def _order_facts(transactions: DataFrame, moments, windows) -> DataFrame:
-    """Order states merged per (customer, day). Days are split at cutoffs and window edges
-    that do not fall on midnight, so all orders of a row lie on one side of every edge."""
-    edges = sorted({m - timedelta(days=d) for m in moments for d in (0, *windows)})
-    inner_edges = [e for e in edges if (e.hour, e.minute, e.second, e.microsecond) != (0, 0, 0, 0)]
-    states = order_versions(transactions, moments)
-    return (
-        states
-        .groupBy("customer_id", F.to_date("order_date").alias("day"),
-                 count_reached("order_date", inner_edges).alias("part"),
-                 "valid_from", "valid_to")
-        .agg(F.count(F.lit(1)).alias("orders"),
-             F.count_if("is_first").alias("new_orders"),
-             F.min("order_date").alias("first_date"), F.max("order_date").alias("last_date"),
-             F.sum("value").alias("value"),
-             F.max("value").alias("max_value"),
-             (F.var_pop("value") * F.count(F.lit(1))).alias("spread"),
-             F.sum("items").alias("items"), F.sum("products").alias("products"))
-        .drop("day", "part"))
-
-
 # ---------------------------------------------------------------------------------------------
-# Facts from lines
+# Facts
 # ---------------------------------------------------------------------------------------------
-def _product_facts(past: DataFrame, last: int) -> DataFrame:
-    """How many products a customer bought for the first time in each epoch."""
-    return (
-        past.filter(F.col("stock_code").isNotNull())
-        .groupBy("customer_id", "stock_code").agg(F.min("epoch").alias("valid_from"))
-        .groupBy("customer_id", "valid_from").agg(F.count(F.lit(1)).alias("new_products"))
-        .withColumn("valid_to", F.lit(last)))
+def _facts(grains: DataFrame, moments, windows) -> DataFrame:
+    """The parts as rows that hold for a range of cutoffs, merged per customer and day.
 
+    Days are split at cutoffs and window edges that do not fall on midnight, so all orders of
+    a row lie on one side of every edge.
+    """
+    last = len(moments)
+    edges = sorted({m - timedelta(days=d) for m in moments for d in (0, *windows)})
+    inner_edges = [e for e in edges if (e.hour, e.minute, e.second, e.microsecond) != (0, 0, 0, 0)]
+    kind, one = F.col("kind"), F.lit(1).cast("bigint")
+    is_order, is_country = kind == _ORDER, kind == _COUNTRY
+    is_first_product = (kind == _PRODUCT) & F.col("is_first")
+    states = _states(_parts(grains, last), last)
+    # The cutoffs at or before a line whose window has not ended follow one another. A line of
+    # a country is a fact of its own if it is past for some cutoff.
+    bought = F.when(is_country & (F.col("first_open") < F.col("valid_from")),
+                    F.sequence("first_open", F.col("valid_from") - 1))
+    none = F.lit(None).cast("int")
+    own = F.when(is_order | is_first_product | (is_country & (F.col("valid_from") < last)),
+                 F.array(F.struct(F.col("valid_from").alias("from"), F.col("valid_to").alias("to"),
+                                  none.alias("bought"))))
+    as_buyer = F.transform(bought, lambda at: F.struct(
+        at.alias("from"), (at + 1).alias("to"), F.lit(1).alias("bought")))
+    no_rows = F.array().cast("array<struct<from:int,to:int,bought:int>>")
+    rows = states.withColumn(
+        "range", F.explode(F.concat(F.coalesce(own, no_rows), F.coalesce(as_buyer, no_rows))))
+    is_own = F.col("range.bought").isNull()
+
+    def of(condition: Column, value) -> Column:
+        return F.when(is_own & condition, value)
 
-def _line_facts(past: DataFrame, last: int) -> DataFrame:
-    """Line counts and sums per country and epoch; the country is only for the modal market."""
     return (
-        past.groupBy("customer_id", "country", F.col("epoch").alias("valid_from"))
-        .agg(F.count(F.lit(1)).alias("country_lines"), F.count("unit_price").alias("lines"),
-             F.sum("quantity").alias("units"), F.sum("unit_price").alias("prices"))
-        .withColumn("valid_to", F.lit(last)))
+        rows
+        .groupBy("customer_id", "kind", of(is_country, F.col("id")).alias("country"),
+                 of(is_order, F.to_date("order_date")).alias("day"),
+                 of(is_order, count_reached("order_date", inner_edges)).alias("part"),
+                 F.col("range.from").alias("valid_from"), F.col("range.to").alias("valid_to"),
+                 F.col("range.bought").alias("bought"))
+        .agg(F.sum(of(is_order, one)).alias("orders"),
+             F.sum(of(is_order, F.col("is_first").cast("bigint"))).alias("new_orders"),
+             F.min(of(is_order, F.col("order_date"))).alias("first_date"),
+             F.max(of(is_order, F.col("order_date"))).alias("last_date"),
+             F.sum(of(is_order, F.col("value"))).alias("value"),
+             F.max(of(is_order, F.col("value"))).alias("max_value"),
+             (F.var_pop(of(is_order, F.col("value"))) * F.sum(of(is_order, one))).alias("spread"),
+             F.sum(of(is_order, F.col("items"))).alias("items"),
+             F.sum(of(is_order, F.col("products"))).alias("products"),
+             F.sum(F.when(is_own, F.when(is_first_product, one).otherwise(F.col("new_products"))))
+             .alias("new_products"),
+             F.sum(of(is_country, F.col("lines"))).alias("country_lines"),
+             F.sum(of(is_country, F.col("priced"))).alias("lines"),
+             F.sum(of(is_country, F.col("items"))).alias("units"),
+             F.sum(of(is_country, F.col("prices"))).alias("prices"))
+        .drop("kind", "day", "part"))
 
 
 def buyers(transactions: DataFrame, cutoffs, horizon_days: int) -> DataFrame:
@@ -199,36 +315,6 @@ def buyers(transactions: DataFrame, cutoffs, horizon_days: int) -> DataFrame:
 # ---------------------------------------------------------------------------------------------
 # From facts to features
 # ---------------------------------------------------------------------------------------------
-# Columns of the gathered facts; a kind of fact that is not asked for leaves its own NULL.
-_FACT_COLUMNS = {
-    "customer_id": "bigint", "country": "string", "valid_from": "int", "valid_to": "int",
-    "orders": "bigint", "new_orders": "bigint", "first_date": "timestamp_ntz",
-    "last_date": "timestamp_ntz", "value": "bigint", "max_value": "bigint", "spread": "double",
-    "items": "bigint", "products": "bigint", "new_products": "bigint", "country_lines": "bigint",
-    "lines": "bigint", "units": "bigint", "prices": "double", "bought": "int",
-}
-
-
-def _facts(transactions: DataFrame, moments, horizon_days: int | None, windows,
-           blocks=tuple(FEATURE_BLOCKS)) -> DataFrame:
-    """The facts that the feature blocks need, and those for the label if there is a horizon.
-    Order facts always come along: they decide which customers exist."""
-    past = with_epoch(transactions, moments)
-    last = len(moments)
-    tables = [_order_facts(transactions, moments, windows)]
-    if "breadth" in blocks:
-        tables.append(_product_facts(past, last))
-    if {"breadth", "market"} & set(blocks):
-        tables.append(_line_facts(past, last))
-    if horizon_days is not None:
-        tables.append(buyers(transactions, moments, horizon_days).select(
-            "customer_id", F.col("at").alias("valid_from"), (F.col("at") + 1).alias("valid_to"),
-            F.lit(1).alias("bought")))
-    return reduce(DataFrame.unionByName, [table.select(*[
-        (F.col(name) if name in table.columns else F.lit(None)).cast(kind).alias(name)
-        for name, kind in _FACT_COLUMNS.items()]) for table in tables])
-
-
 def _with_running_facts(facts: DataFrame, last: int, home_market: str) -> DataFrame:
     """Gather a customer's facts and add what depends on the facts before: the gap to the
     previous order, an anchor for the variance, and the lines per country so far."""
@@ -396,8 +482,14 @@ def build_snapshots(transactions: DataFrame, settings: SnapshotSettings = Snapsh
     moments = settings.ordered_cutoffs()
     if require_history:
         check_history(transactions, moments)
-    facts = _facts(transactions, moments, settings.horizon_days, WINDOW_DAYS)
-    return _fold(facts, moments, settings.min_history_days, settings.home_market)
+    return from_grains(line_grains(transactions, moments, settings.horizon_days), moments,
+                       settings)
+
+
+def from_grains(grains: DataFrame, moments, settings: SnapshotSettings) -> DataFrame:
+    """The snapshots of ``moments`` from lines, or merged lines, as ``line_grains`` gives them."""
+    return _fold(_facts(grains, moments, WINDOW_DAYS), moments, settings.min_history_days,
+                 settings.home_market)
 
 
 def _fold(facts: DataFrame, moments, min_history_days: int, home_market: str) -> DataFrame:
@@ -421,7 +513,7 @@ def build_features(transactions: DataFrame, cutoffs, home_market: str = "United
     """Feature blocks for every customer with past orders, without label or history filter."""
     names = [name for block in blocks for name in FEATURE_BLOCKS[block]]
     moments = parse_cutoffs(cutoffs)
-    facts = _facts(transactions, moments, None, WINDOW_DAYS, blocks)
+    facts = _facts(line_grains(transactions, moments), moments, WINDOW_DAYS)
     return _fold(facts, moments, 0, home_market).select("customer_id", "cutoff", *names)
 
 
