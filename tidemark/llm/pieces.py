@@ -30,6 +30,19 @@ LONGEST_REMEMBERED = 64
 SPACE = "▁"
 
 
+class _Shorter(dict):
+    """The longest piece or single character that a piece starts with, itself excepted."""
+
+    def __init__(self, pieces: dict[str, float]) -> None:
+        self.pieces = pieces
+
+    def __missing__(self, piece: str) -> str | None:
+        prefixes = (piece[:size] for size in range(len(piece) - 1, 0, -1))
+        found = next((p for p in prefixes if p in self.pieces or len(p) == 1), None)
+        self[piece] = found
+        return found
+
+
 class PieceCodec:
     """Encodes and decodes with the vocabulary of one model file."""
 
@@ -69,17 +82,23 @@ class PieceCodec:
             self.automaton.add_word(text, len(text))
         self.automaton.make_automaton()
         self.fits_memory: dict[tuple[str, str], bool] = {}
-        self.shorter_memory: dict[str, str | None] = {}
+        self.shorter_memory = _Shorter(self.score)
         self.chunk_memory: dict[str, tuple[int, str, str]] = {}
         self.chunks = self._chunk_pattern()
 
     def _chunk_pattern(self) -> re.Pattern:
         """Where texts may be cut: no piece goes over such a place, so no merge ever does."""
-        if any(re.search(f"[^{SPACE}]{SPACE}", text) for text in self.score):
+        def none_has(first: str, second: str) -> bool:
+            return not any(re.search(first + second, text) for text in self.score)
+
+        if not none_has(f"[^{SPACE}]", SPACE) or not none_has("", "\n"):
             return re.compile(r"(?s).+")
-        if any("\n" in text for text in self.score):
-            return re.compile(f"(?s){SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-        return re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n+")
+        sign, letter, ends = r"!-/:-@\[-`{-~", "A-Za-z\xc0-\u024f", f"{SPACE}\n"
+        rest = f"[^{ends}]+"
+        if none_has(f"[{sign}]", f"[{letter}]") and none_has(f"[{letter}]", f"[{sign}]"):
+            # A word up to a sign, or signs up to a word; anything mixed stays whole.
+            rest = f"[{letter}]++(?![^{sign}{ends}])|[{sign}]++(?![^{letter}{ends}])|{rest}"
+        return re.compile(f"{SPACE}*(?:{rest})|{SPACE}+|\n+")
 
     # Encoding
 
@@ -114,23 +133,13 @@ class PieceCodec:
         return [s for s in symbols if s is not None]
 
     def fits(self, last: str, piece: str) -> bool:
-        """Whether joining their characters anew ends in just these two."""
-        known = self.fits_memory.get((last, piece))
-        if known is None:
-            if len(self.fits_memory) >= MEMORY_PAIRS:
-                self.fits_memory.clear()
-            both = [last, piece] if last else [piece]
-            known = self.fits_memory[last, piece] = self.merged(last + piece) == both
+        """Whether joining their characters anew ends in just these two; remembered."""
+        if len(self.fits_memory) >= MEMORY_PAIRS:
+            self.fits_memory.clear()
+        both = [last, piece] if last else [piece]
+        known = self.fits_memory[last, piece] = self.merged(last + piece) == both
         return known
 
-    def shorter(self, piece: str) -> str | None:
-        """The longest piece or single character that ``piece`` starts with, itself excepted."""
-        if piece not in self.shorter_memory:
-            prefixes = (piece[:size] for size in range(len(piece) - 1, 0, -1))
-            self.shorter_memory[piece] = next(
-                (p for p in prefixes if p in self.score or len(p) == 1), None)
-        return self.shorter_memory[piece]
-
     def split(self, text: str) -> list[str]:
         """Pieces of a text by backtracking; characters without a piece stand for themselves."""
         size = len(text)
@@ -141,21 +150,25 @@ class PieceCodec:
                 longest[start] = length
         open_places = bytearray(b"\xff") * (size // 8 + 1)
         pieces: list[str] = []
-        at, piece = 0, text[:longest[0]] if size else None
+        at, piece, last = 0, text[:longest[0]] if size else None, ""
+        remembered, shorter = self.fits_memory.get, self.shorter_memory
         while at < size:
-            last = pieces[-1] if pieces else ""
             while piece is not None:
                 end = at + len(piece)
-                if open_places[end >> 3] >> (end & 7) & 1 and self.fits(last, piece):
-                    break
-                piece = self.shorter(piece)
+                if open_places[end >> 3] >> (end & 7) & 1:
+                    if (fits := remembered((last, piece))) is None:
+                        fits = self.fits(last, piece)
+                    if fits:
+                        break
+                piece = shorter[piece]
             if piece is not None:
                 pieces.append(piece)
-                at = end
+                at, last = end, piece
                 piece = text[at:at + longest[at]] if at < size else None
             else:
                 open_places[at >> 3] &= ~(1 << (at & 7))
                 piece = pieces.pop()
+                last = pieces[-1] if pieces else ""
                 at -= len(piece)
         return pieces
 
