@@ -18,8 +18,9 @@ from tidemark.functions.scalars import money_text, round_half_even
 from tidemark.operators import audit, clean, diagnostics, metrics, models, ranking, validation
 from tidemark.operators import snapshots as snap
 from tidemark.plans import oracle
+from tidemark.plans.incremental import SnapshotStore
 from tidemark.session import scratch_path, shared_dir
-from tidemark.sources import tables, views
+from tidemark.sources import digests, tables, views
 
 RULES = oracle.RULES
 ONE_CUTOFF = SnapshotSettings(("2001-03-17T12:00:00",), horizon_days=90, min_history_days=180,
@@ -110,6 +111,67 @@ def table_fingerprint(spark, sf_dir):
                               ["customer_id", "invoice_no", "stock_code", "quantity", "country"])
 
 
+DIGEST_COLUMNS = ["customer_id", "invoice_no", "stock_code", "quantity", "country"]
+
+
+def _month(name):
+    return F.date_format(name, "yyyy-MM")
+
+
+def partition_digests(spark, sf_dir):
+    """The transactions' digest per month."""
+    found = digests.partition_digests(transactions(spark, sf_dir), _month("invoice_date"),
+                                      DIGEST_COLUMNS)
+    return found.select("part", "n_rows", *[F.col(c).cast("bigint").alias(c)
+                                            for c in ("low_sum", "high_sum")])
+
+
+def changed_partitions(spark, sf_dir):
+    """What an older state of the transactions differs in: a few quantities and a month."""
+    table = transactions(spark, sf_dir)
+    older = (table.filter(_month("invoice_date") != oracle.MISSING_MONTH)
+             .withColumn("quantity", F.when(F.expr(oracle.OTHER_QUANTITY), F.col("quantity") + 1)
+                         .otherwise(F.col("quantity"))))
+    return digests.changed_parts(*[
+        digests.partition_digests(t, _month("invoice_date"), DIGEST_COLUMNS)
+        for t in (older, table)])
+
+
+def refreshed_transactions(spark, sf_dir):
+    """The clean table, first of an extract with other rows, then brought up to date by month."""
+    path = scratch_path(spark, "clean")
+    extract = views.dirty_extract(spark, sf_dir)
+    older = extract.filter("StockCode <> '7' and InvoiceDate < '2001-03-15'")
+    for source in (older, extract):
+        found = digests.refresh_table(
+            spark, path, source, _month("InvoiceDate"), clean.build_transactions,
+            _month("invoice_date"))
+    return found.table.drop("part")
+
+
+def incremental_snapshots(spark, sf_dir):
+    """Snapshots of the lines up to a day, brought up to date by two batches of later lines."""
+    lines = transactions(spark, sf_dir)
+    store = SnapshotStore(spark, scratch_path(spark, "store"), views.ORDER_SETTINGS)
+    days = [F.lit(d).cast("timestamp_ntz") for d in ("2001-04-10", "2001-06-20")]
+    date = F.col("invoice_date")
+    store.refresh(lines.filter(date < days[0]))
+    store.append(lines.filter((date >= days[0]) & (date < days[1])))
+    store.append(lines.filter(date >= days[1]))
+    return _rounded(store.snapshots(), oracle.ORDER_DIGITS)
+
+
+def corrected_snapshots(spark, sf_dir):
+    """Snapshots of lines with errors, brought up to date by comparing digests."""
+    lines = transactions(spark, sf_dir)
+    store = SnapshotStore(spark, scratch_path(spark, "store"), views.ORDER_SETTINGS)
+    recent = F.col("invoice_date") >= F.lit("2001-05-10").cast("timestamp_ntz")
+    store.refresh(lines.withColumn("quantity", F.when(recent, F.lit(1).cast("bigint"))
+                                   .otherwise(F.col("quantity"))))
+    store.refresh(lines)
+    return _rounded(store.snapshots(), oracle.ORDER_DIGITS)
+
+
 def _block(name):
     def query(spark, sf_dir):
         block = snap.build_features(transactions(spark, sf_dir), views.ORDER_CUTOFFS,
@@ -224,6 +286,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_csv_round_trip": raw_csv_round_trip,
     "transaction_profile": lambda s, d: clean.profile(transactions(s, d)),
     "table_fingerprint": table_fingerprint,
+    "partition_digests": partition_digests,
+    "changed_partitions": changed_partitions,
+    "refreshed_transactions": refreshed_transactions,
+    "incremental_snapshots": incremental_snapshots,
+    "corrected_snapshots": corrected_snapshots,
     "orders_at_cutoffs":
         lambda s, d: snap.orders_at_cutoffs(transactions(s, d), views.ORDER_CUTOFFS),
     "straddling_orders_at_cutoffs":

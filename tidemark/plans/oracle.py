@@ -349,6 +349,10 @@ cal AS (
   SELECT model, CAST(bin AS INTEGER) AS bin, avg(score) AS predicted, avg(label) AS observed
   FROM binned GROUP BY ALL)"""
 
+# How the older state that digests are compared with differs from the transactions.
+MISSING_MONTH = "1999-03"
+OTHER_QUANTITY = "stock_code = '13' and quantity > 25"
+
 SCALED_FEATURES = ["recency_days", "monetary", "mean_gap_days", "gap_cv", "distinct_products"]
 IMPORTANCE_FEATURES = ["recency_days", "recency_vs_gap", "frequency"]
 
@@ -437,6 +441,20 @@ SELECT count(*) AS n_rows, count(DISTINCT customer_id) AS customers,
         "table_fingerprint": f"""WITH {ORDER_TX}
 SELECT count(*) AS n_rows, CAST(coalesce(sum(CAST('0x' || substr(md5({fingerprint_text}), 1, 8)
   AS BIGINT)), 0) AS BIGINT) AS hash_sum FROM tx""",
+        "partition_digests": f"""WITH {ORDER_TX},
+hashed AS (SELECT strftime(invoice_date, '%Y-%m') AS part, md5({fingerprint_text}) AS h FROM tx)
+SELECT part, count(*) AS n_rows,
+  CAST(sum(CAST('0x' || substr(h, 1, 8) AS BIGINT)) AS BIGINT) AS low_sum,
+  CAST(sum(CAST('0x' || substr(h, 9, 8) AS BIGINT)) AS BIGINT) AS high_sum
+FROM hashed GROUP BY part""",
+        "changed_partitions": f"""WITH {ORDER_TX}
+SELECT strftime(invoice_date, '%Y-%m') AS part,
+  CASE strftime(invoice_date, '%Y-%m') WHEN '{MISSING_MONTH}' THEN 'added' ELSE 'changed' END
+    AS change
+FROM tx GROUP BY ALL HAVING part = '{MISSING_MONTH}' OR bool_or({OTHER_QUANTITY})""",
+        "refreshed_transactions": f"WITH {DIRTY_TX} SELECT {tx_columns} FROM tx",
+        "incremental_snapshots": _snapshots(ORDER_SNAP, ORDER_DIGITS),
+        "corrected_snapshots": _snapshots(ORDER_SNAP, ORDER_DIGITS),
         "orders_at_cutoffs": f"""WITH {ORDER_TX}, {cutoff_values(ORDER_CUTOFFS)},
 {ORDER_LEVEL}
 SELECT * FROM ord""",
