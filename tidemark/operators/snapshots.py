@@ -138,56 +138,52 @@ def _parts(grains: DataFrame, last: int) -> DataFrame:
     """Orders, countries and products of every customer and epoch: one row per (customer, kind,
     id, epoch), from one shuffle of the lines and a smaller one of the parts."""
     place = ["customer_id", "cell"]
-    cells = (_in_cells(grains).groupBy(*place, "spread", *GRAIN[1:])
-             .agg(*[combine(name).alias(name) for name, combine in MEASURES.items()]))
     # A product counts once per order and once per customer, from the epoch of its first line on.
     # One order of rows serves both: a cell is sorted once.
-    in_order = Window.partitionBy(*place, "stock_code", "invoice_no").orderBy("epoch", "country")
     of_product = Window.partitionBy(*place, "stock_code")
+    in_order = of_product.orderBy("invoice_no", "epoch")
     known = F.col("stock_code").isNotNull()
-    when_bought = F.struct("epoch", "invoice_no", "country")
-    first_line = F.min(when_bought).over(of_product).eqNullSafe(when_bought)
+    numbered = _in_cells(grains).select(
+        "*", F.row_number().over(in_order).alias("_row"),
+        F.lag("invoice_no").over(in_order).alias("_previous"))
+    # Earliest epoch first, and a single row of those.
+    when_bought = F.shiftleft(F.col("epoch").cast("bigint"), 40) + F.col("_row")
+    marked = numbered.select(
+        "*", (known & (F.min(when_bought).over(of_product) == when_bought)).alias("_first_line"),
+        (known & ((F.col("_row") == 1) | ~F.col("invoice_no").eqNullSafe(F.col("_previous"))))
+        .cast("bigint").alias("products"))
     # A customer spread over cells may have bought a product in several of them: its products
-    # travel on by name. A customer in one cell only needs their number.
-    marked = cells.select(
-        "*", (known & (F.row_number().over(in_order) == 1)).cast("bigint").alias("products"),
-        (known & first_line).cast("bigint").alias("new_products"),
-        F.when(F.col("spread") & known & first_line, F.col("stock_code")).alias("product"))
-    # The rest is the same for all lines of an order in an epoch.
-    merged = marked.groupBy(*place, "spread", "invoice_no", "country", "epoch", "product").agg(
+    # travel on by name. A customer in one cell only needs their number. The rest is the same
+    # for all lines of an order in an epoch.
+    product = F.when(F.col("spread") & F.col("_first_line"), F.col("stock_code"))
+    merged = marked.groupBy(*place, "invoice_no", "country", "epoch", product.alias("product")).agg(
         *[combine(name).alias(name) for name, combine in MEASURES.items()],
-        *[F.sum(name).alias(name) for name in ("products", "new_products")])
-    past = F.col("epoch") < last
-
-    def part(kind: int, name: str, **columns: Column):
-        fields = {**dict.fromkeys(_PART_TYPES), **columns}
-        return F.struct(F.lit(kind).alias("kind"), F.col(name).cast("string").alias("id"), *[
-            (F.lit(None) if value is None else value).cast(_PART_TYPES[field]).alias(field)
-            for field, value in fields.items()])
-
-    parts = F.filter(F.array(
-        F.when(past & F.col("invoice_no").isNotNull(), part(
-            _ORDER, "invoice_no", order_date=F.col("order_date"), value=F.col("value"),
-            items=F.col("items"), products=F.col("products"))),
-        part(_COUNTRY, "country", items=F.col("items"), lines=F.col("lines"),
-             priced=F.col("priced"), prices=F.col("prices"), first_open=F.col("first_open"),
-             new_products=F.when(~F.col("spread"), F.col("new_products"))),
-        F.when(past & F.col("product").isNotNull(), part(_PRODUCT, "product"))),
-        lambda p: p.isNotNull())
+        F.sum("products").alias("products"),
+        F.count_if(F.col("_first_line") & ~F.col("spread")).alias("new_products"))
+    kind, past = F.col("kind"), F.col("epoch") < last
+    kinds = F.when(F.col("product").isNotNull(),
+                   F.array(F.lit(_ORDER), F.lit(_COUNTRY), F.lit(_PRODUCT))) \
+        .otherwise(F.array(F.lit(_ORDER), F.lit(_COUNTRY)))
+    exists = (F.when(kind == _ORDER, past & F.col("invoice_no").isNotNull())
+              .when(kind == _PRODUCT, past).otherwise(True))
+    own = {"order_date": _ORDER, "value": _ORDER, "products": _ORDER, "lines": _COUNTRY,
+           "priced": _COUNTRY, "prices": _COUNTRY, "first_open": _COUNTRY,
+           "new_products": _COUNTRY}
     combined = {**MEASURES, "products": F.sum, "new_products": F.sum}
     sums = [combine(name).alias(name) for name, combine in combined.items()]
     key = ["customer_id", "kind", "id"]
     # Combined within each cell first, so that a customer's one country is no hot key.
-    return (merged.select(*place, "epoch", F.inline(parts))
+    return (merged.withColumn("kind", F.explode(kinds)).filter(exists)
+            .select(*place, "kind", "epoch",
+                    F.when(kind == _ORDER, F.col("invoice_no"))
+                    .when(kind == _COUNTRY, F.col("country")).otherwise(F.col("product"))
+                    .alias("id"),
+                    F.when(kind != _PRODUCT, F.col("items")).alias("items"),
+                    *[F.when(kind == k, F.col(name)).alias(name) for name, k in own.items()])
             .groupBy(*place, "kind", "id", "epoch").agg(*sums)
             .repartition(*key).groupBy(*key, "epoch").agg(*sums))
 
 
-_PART_TYPES = {"order_date": "timestamp_ntz", "value": "bigint", "items": "bigint",
-               "lines": "bigint", "priced": "bigint", "prices": "double", "first_open": "int",
-               "products": "bigint", "new_products": "bigint"}
-
-
 # ---------------------------------------------------------------------------------------------
 # Orders
 # ---------------------------------------------------------------------------------------------
@@ -255,18 +251,12 @@ def _facts(grains: DataFrame, moments, windows) -> DataFrame:
     states = _states(_parts(grains, last), last)
     # The cutoffs at or before a line whose window has not ended follow one another. A line of
     # a country is a fact of its own if it is past for some cutoff.
-    bought = F.when(is_country & (F.col("first_open") < F.col("valid_from")),
-                    F.sequence("first_open", F.col("valid_from") - 1))
-    none = F.lit(None).cast("int")
     own = F.when(is_order | is_first_product | (is_country & (F.col("valid_from") < last)),
-                 F.array(F.struct(F.col("valid_from").alias("from"), F.col("valid_to").alias("to"),
-                                  none.alias("bought"))))
-    as_buyer = F.transform(bought, lambda at: F.struct(
-        at.alias("from"), (at + 1).alias("to"), F.lit(1).alias("bought")))
-    no_rows = F.array().cast("array<struct<from:int,to:int,bought:int>>")
-    rows = states.withColumn(
-        "range", F.explode(F.concat(F.coalesce(own, no_rows), F.coalesce(as_buyer, no_rows))))
-    is_own = F.col("range.bought").isNull()
+                 F.array(F.lit(-1))).otherwise(F.array().cast("array<int>"))
+    bought = F.when(is_country & (F.col("first_open") < F.col("valid_from")), F.concat(
+        own, F.sequence("first_open", F.col("valid_from") - 1))).otherwise(own)
+    rows = states.withColumn("at", F.explode(bought))
+    is_own = F.col("at") < 0
 
     def of(condition: Column, value) -> Column:
         return F.when(is_own & condition, value)
@@ -276,8 +266,9 @@ def _facts(grains: DataFrame, moments, windows) -> DataFrame:
         .groupBy("customer_id", "kind", of(is_country, F.col("id")).alias("country"),
                  of(is_order, F.to_date("order_date")).alias("day"),
                  of(is_order, count_reached("order_date", inner_edges)).alias("part"),
-                 F.col("range.from").alias("valid_from"), F.col("range.to").alias("valid_to"),
-                 F.col("range.bought").alias("bought"))
+                 F.when(is_own, F.col("valid_from")).otherwise(F.col("at")).alias("valid_from"),
+                 F.when(is_own, F.col("valid_to")).otherwise(F.col("at") + 1).alias("valid_to"),
+                 F.when(~is_own, 1).alias("bought"))
         .agg(F.sum(of(is_order, one)).alias("orders"),
              F.sum(of(is_order, F.col("is_first").cast("bigint"))).alias("new_orders"),
              F.min(of(is_order, F.col("order_date"))).alias("first_date"),

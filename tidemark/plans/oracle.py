@@ -447,11 +447,12 @@ SELECT part, count(*) AS n_rows,
   CAST(sum(CAST('0x' || substr(h, 1, 8) AS BIGINT)) AS BIGINT) AS low_sum,
   CAST(sum(CAST('0x' || substr(h, 9, 8) AS BIGINT)) AS BIGINT) AS high_sum
 FROM hashed GROUP BY part""",
-        "changed_partitions": f"""WITH {ORDER_TX}
-SELECT strftime(invoice_date, '%Y-%m') AS part,
-  CASE strftime(invoice_date, '%Y-%m') WHEN '{MISSING_MONTH}' THEN 'added' ELSE 'changed' END
-    AS change
-FROM tx GROUP BY ALL HAVING part = '{MISSING_MONTH}' OR bool_or({OTHER_QUANTITY})""",
+        "changed_partitions": f"""WITH {ORDER_TX},
+months AS (
+  SELECT strftime(invoice_date, '%Y-%m') AS part,
+    count(*) FILTER (WHERE {OTHER_QUANTITY}) AS others FROM tx GROUP BY 1)
+SELECT part, CASE part WHEN '{MISSING_MONTH}' THEN 'added' ELSE 'changed' END AS change
+FROM months WHERE part = '{MISSING_MONTH}' OR others > 0""",
         "refreshed_transactions": f"WITH {DIRTY_TX} SELECT {tx_columns} FROM tx",
         "incremental_snapshots": _snapshots(ORDER_SNAP, ORDER_DIGITS),
         "corrected_snapshots": _snapshots(ORDER_SNAP, ORDER_DIGITS),
