@@ -6,6 +6,7 @@ import pytest
 
 from tidemark.config import DEV_CUTOFFS
 from tidemark.operators import diagnostics as D
+from tidemark.operators import model_tables as T
 from tidemark.operators import models as M
 from tidemark.operators import validation as V
 
@@ -165,3 +166,71 @@ def test_model_store(spark, snapshots, tmp_path):
     assert path.endswith("/logistic_regression") and M.model_features(again) == FEATURES
     a = M.score(fitted, snapshots).toPandas().score
     assert np.allclose(a, M.score(again, snapshots).toPandas().score)
+
+
+@pytest.mark.parametrize("model", [
+    lambda: M.logistic_regression(FEATURES, SMALL), lambda: M.random_forest(FEATURES, SMALL),
+    lambda: M.boosted_trees(["recency_days", "mean_gap_days"], SMALL)])
+def test_model_as_a_table(spark, snapshots, tmp_path, model):
+    """Rows written, read back and scored by an expression give the fitted model's scores."""
+    table = snapshots.withColumn(
+        "label", ((D.F.col("recency_days") < 40) | (D.F.col("customer_id") % 5 == 0)).cast("int")) \
+        .withColumn("mean_gap_days", D.F.when(D.F.col("customer_id") % 3 > 0,
+                                              D.F.col("customer_id") % 17).cast("double"))
+    fitted = M.fit(model(), table)
+    T.model_table(spark, fitted).write.parquet(str(tmp_path / "model"))
+    stored = spark.read.schema(T.MODEL_SCHEMA).parquet(str(tmp_path / "model"))
+    assert set(T.features_read(stored)) <= {*FEATURES, "mean_gap_days"}
+    a = M.score(fitted, table).select("customer_id", "cutoff", "score").toPandas()
+    b = T.score_with_table(stored, table).select("customer_id", "cutoff", "score").toPandas()
+    both = a.merge(b, on=["customer_id", "cutoff"])
+    assert np.allclose(both.score_x, both.score_y, atol=1e-12) and both.score_x.nunique() > 1
+    with pytest.raises(ValueError, match="too many"):
+        T.margin_column(stored.collect() * T.MOST_NODES)
+
+
+def test_polished_fit_is_at_the_minimum(spark, snapshots):
+    table = snapshots.withColumn("flat", D.F.lit(3.0))
+    fitted = M.fit(M.logistic_regression([*FEATURES, "flat"], SMALL), table)
+    every = D.F.lit(True)
+    rough = T.penalised_gradients(table, {1: (fitted, every), 2: (fitted, D.F.col("label") >= 0)})
+    assert {(r["fold"], r["n_train"]) for r in rough.collect()} == {
+        (1, table.count()), (2, table.count())}
+    rows = {r["feature"]: r for r in T.polished(fitted, table).collect()}
+    frame = table.toPandas()
+    x = frame[FEATURES].astype(float)
+    z = (x - x.mean()) / x.std()
+    margin = rows[None]["value"] + sum(rows[f]["value"] * x[f] for f in FEATURES)
+    error = 1 / (1 + np.exp(-margin)) - frame.label
+    weights = {f: rows[f]["value"] * x[f].std() for f in FEATURES}
+    assert abs(error.sum()) < 1e-8 and rows["flat"]["value"] == 0
+    assert all(abs((error * z[f]).sum() + weights[f]) < 1e-8 for f in FEATURES)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 7, 13, 57, 100, 101, 997, 1000, 4096, 30_011])
+def test_keyed_places_are_a_permutation(spark, n):
+    keys = D.round_keys(42, "recency_days", 3)
+    place = D.keyed_place(D.F.col("id"), D.F.lit(n).cast("bigint"),
+                          [D.F.lit(k).cast("bigint") for k in keys])
+    got = [r[0] for r in spark.range(n).select(place).collect()]
+    assert sorted(got) == list(range(n))
+    if n > 900:
+        moved = np.array(got) - np.arange(n)
+        assert (moved == 0).mean() < 0.01 and len(np.unique(moved)) > n / 3
+        assert got != [r[0] for r in spark.range(n).select(D.keyed_place(
+            D.F.col("id"), D.F.lit(n).cast("bigint"),
+            [D.F.lit(k).cast("bigint") for k in D.round_keys(42, "recency_days", 4)])).collect()]
+
+
+def test_keyed_places_of_very_many_rows(spark):
+    """Beyond ten billion, and at multiples of the primes that once stood for the factors."""
+    keys = [D.F.lit(k).cast("bigint") for k in D.round_keys(1, "x", 0)]
+    for n in (899_999_963, 10 ** 10 + 19, 899_999_963 * 13, 4 * 10 ** 18):
+        ids = spark.range(20_000).select((D.F.xxhash64("id") % n).alias("id")) \
+            .select(D.F.pmod("id", D.F.lit(n)).alias("id")).distinct()
+        sent = ids.select(D.keyed_place(D.F.col("id"), D.F.lit(n).cast("bigint"), keys)
+                          .alias("p"))
+        row = sent.agg(D.F.countDistinct("p").alias("d"), D.F.min("p").alias("a"),
+                       D.F.max("p").alias("b"), D.F.avg("p").alias("m")).first()
+        assert row["d"] == ids.count() and row["a"] >= 0 and row["b"] < n
+        assert 0.47 * n < row["m"] < 0.53 * n

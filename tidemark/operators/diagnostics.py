@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from hashlib import md5
+
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.config import SEED, TEST_CUTOFFS, parse_cutoffs
-from tidemark.functions.scalars import day_text, positive_hash, round_half_even
+from tidemark.functions.scalars import day_text, round_half_even
 from tidemark.operators import metrics
 from tidemark.operators.metrics import average_precision
 from tidemark.operators.models import fit, score
@@ -16,12 +18,10 @@ from tidemark.session import materialise
 
 POOLED = "holdout"
 
-# The ten largest primes below 900,000,000. Times a position below 10^10 they
-# stay inside a bigint.
-_MULTIPLIERS = [
-    899999963, 899999929, 899999921, 899999911, 899999813,
-    899999801, 899999797, 899999777, 899999759, 899999743,
-]
+#: Rounds of the keyed permutation, and how often a place that lands outside is sent on.
+ROUNDS, WALK = 4, 8
+# The Mersenne prime below 2^31 and a factor below it, so products stay in a long.
+_PRIME, _FACTOR = (1 << 31) - 1, 1_500_450_271
 
 
 def fit_all(models: dict, dev: DataFrame) -> dict[str, PipelineModel]:
@@ -113,28 +113,70 @@ def stability(scored: DataFrame, keys=("model",)) -> DataFrame:
                 round_half_even("mean_predicted", 3).alias("mean_predicted")))
 
 
+def round_keys(seed: int, feature: str, repeat: int) -> list[int]:
+    """The keys of one (feature, repeat), from a hash that any engine with md5 can take."""
+    texts = [f"{seed}|{feature}|{repeat}|{k}" for k in range(ROUNDS)]
+    return [int(md5(t.encode()).hexdigest()[:15], 16) % _PRIME for t in texts]
+
+
+def _mixed(value: Column, key: Column) -> Column:
+    start = (value + key) % _PRIME
+    return ((start * start % _PRIME + key) % _PRIME) * F.lit(_FACTOR) % _PRIME
+
+
+def _sent(place: Column, across: Column, down: Column, keys: list[Column]) -> Column:
+    """A permutation of [0, across * down): a place is a row and a column, and each round adds a
+    hash of one to the other."""
+    row, column = F.call_function("div", place, across), place % across
+    for k, key in enumerate(keys):
+        if k % 2:
+            column = (column + _mixed(row, key)) % across
+        else:
+            row = (row + _mixed(column, key)) % down
+    return row * across + column
+
+
+def keyed_place(place: Column, n: Column, keys: list[Column]) -> Column:
+    """Where a place of [0, n) goes in the permutation that the keys stand for.
+
+    A Feistel network over rows and columns of the smallest near-square with n places. The few
+    places beyond n send a visitor on until it is back inside, which is a permutation of [0, n)
+    for any n below 2^62. The square is larger by less than a row, so a walk of eight steps
+    ends but for odds of n^-4 at most; if one does not, the query fails and loses no row.
+    """
+    down = F.ceil(F.sqrt(n.cast("double"))).cast("bigint")
+    across = F.call_function("div", n + down - 1, down)
+    first = _sent(place, across, down, keys)
+    walked = F.aggregate(
+        F.sequence(F.lit(2), F.lit(WALK)), first,
+        lambda at, _: F.when(at < n, at).otherwise(_sent(at, across, down, keys)))
+    end = F.when(first < n, first).otherwise(walked)
+    return F.when(end < n, end).otherwise(
+        F.raise_error(F.lit("a walk of the keyed permutation did not end")).cast("bigint"))
+
+
 def shuffle_feature(rows: DataFrame, features: list[str], repeats: int, seed: int) -> DataFrame:
     """All (feature, repeat) copies of ``rows``, each with that feature permuted.
 
-    ``rows`` carries ``position`` 0..n-1 in a random order and ``position_total``. In copy (f, r)
-    the value of f at a position goes to position ``(a_r * position + b_fr) mod n``: a
-    permutation, since the prime a_r does not divide n. Only these values travel; the row they
-    arrive at is joined once and copied in place.
+    ``rows`` carries ``position`` 0..n-1 in a random order and ``position_total``. In each copy
+    the values of the feature go to the places of a keyed permutation. Only these values travel;
+    the row they arrive at is joined once and copied in place.
     """
-    n = F.col("position_total")
-    multiplier = F.element_at(
-        F.array(*[F.lit(m).cast("bigint") for m in _MULTIPLIERS]),
-        F.col("repeat") % len(_MULTIPLIERS) + 1)
-    shift = positive_hash(F.lit(seed), "feature", "repeat")
-    target = F.pmod(F.col("position") * F.pmod(multiplier, n) + F.pmod(shift, n), n)
+    def keys_of(feature: str) -> Column:
+        return F.array(*[F.array(*[F.lit(k).cast("bigint") for k in round_keys(seed, feature, r)])
+                         for r in range(repeats)])
+
     values = F.inline(F.array(*[
-        F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("_value"))
-        for f in features]))
+        F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("_value"),
+                 keys_of(f).alias("_repeats")) for f in features]))
     # One value per feature and repeat arrives at each position.
+    sent = (rows.select("position", "position_total", values)
+            .select("position", "position_total", "feature", "_value",
+                    F.posexplode("_repeats").alias("repeat", "_keys")))
+    target = keyed_place(F.col("position"), F.col("position_total"),
+                         [F.col("_keys")[k] for k in range(ROUNDS)])
     arrivals = (
-        rows.select("position", "position_total", values)
-        .withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-        .select(target.alias("position"), F.struct("feature", "repeat", "_value").alias("_in"))
+        sent.select(target.alias("position"), F.struct("feature", "repeat", "_value").alias("_in"))
         .groupBy("position").agg(F.collect_list("_in").alias("_in")))
     types = dict(rows.dtypes)
     copies = rows.join(arrivals, "position").select(*rows.columns, F.inline("_in"))
@@ -146,32 +188,35 @@ def shuffle_feature(rows: DataFrame, features: list[str], repeats: int, seed: in
 
 def permutation_table(model: PipelineModel, test: DataFrame, features: list[str],
                       n_repeats: int = 10, seed: int = SEED, features_per_job: int = 11,
-                      digits: int = 5) -> DataFrame:
+                      digits: int = 5, read: list[str] | None = None) -> DataFrame:
     """Mean and population spread of the drop in average precision, largest first.
 
-    ``features_per_job`` bounds how many copies of the rows one join holds.
+    ``features_per_job`` bounds how many copies of the rows one join holds. ``read`` may name the
+    features that the model looks at, if not all: others cannot move a score, so their drop
+    is zero and their copies are left out. The numbered rows are written once.
     """
-    chunks = [features[i:i + features_per_job]
-              for i in range(0, len(features), features_per_job)]
+    moving = [f for f in features if read is None or f in read]
+    chunks = [moving[i:i + features_per_job] for i in range(0, len(moving), features_per_job)]
     used = list(dict.fromkeys([*features, "customer_id", "cutoff", "label"]))
-    rows = row_positions(test.select(*used), ["customer_id", "cutoff"], seed)
-    permuted = union_all([
-        average_precision(score_curve(
-            score(model, shuffle_feature(rows, chunk, n_repeats, seed))
-            .select("feature", "repeat", "label", "score"),
-            ["feature", "repeat"]), ["feature", "repeat"])
-        for chunk in chunks])
-    base = score(model, test).select(F.lit("base").alias("key"), "label", "score")
-    baseline = average_precision(score_curve(base, ["key"]), ["key"]).select(
-        F.lit("base").alias("key"), F.col("pr_auc").alias("base_pr_auc"))
-    drops = permuted.withColumn("key", F.lit("base")).join(baseline, "key").select(
-        "feature", (F.col("base_pr_auc") - F.col("pr_auc")).alias("drop"))
+    rows = materialise(row_positions(test.select(*used), ["customer_id", "cutoff"], seed))
+    base = score(model, rows).select(F.lit("base").alias("key"), "label", "score")
+    baseline = average_precision(score_curve(base, ["key"]), ["key"]).first()
+    before = baseline["pr_auc"] if baseline else None
+    drops = [average_precision(score_curve(
+        score(model, shuffle_feature(rows, chunk, n_repeats, seed))
+        .select("feature", "repeat", "label", "score"),
+        ["feature", "repeat"]), ["feature", "repeat"])
+        .select("feature", (F.lit(before) - F.col("pr_auc")).alias("drop")) for chunk in chunks]
+    still = [f for f in features if f not in moving]
+    if still and before is not None:
+        drops.append(test.sparkSession.createDataFrame(
+            [(f, 0.0) for f in still], "feature string, drop double"))
     return (
-        drops.groupBy("feature")
+        union_all(drops).groupBy("feature")
         .agg(F.avg("drop").alias("pr_auc_drop"), F.stddev_pop("drop").alias("std"))
         .select("feature", round_half_even("pr_auc_drop", digits).alias("pr_auc_drop"),
                 round_half_even("std", digits).alias("std"))
-        .orderBy(F.desc("pr_auc_drop")))
+        .orderBy(F.desc("pr_auc_drop"), "feature"))
 
 
 def top_importances(importance: DataFrame, top_n: int = 15) -> DataFrame:

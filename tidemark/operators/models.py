@@ -54,16 +54,18 @@ class MedianImputer(Estimator):
 class PenalisedLogisticRegression(Estimator):
     """L2 logistic regression with strength ``c`` on the summed loss, whatever the row count."""
 
-    def __init__(self, features_col: str, c: float = 1.0, max_iter: int = 2000):
+    def __init__(self, features_col: str, c: float = 1.0, max_iter: int = 2000,
+                 tolerance: float = 1e-9):
         super().__init__()
         self.features_col, self.c, self.max_iter = features_col, c, max_iter
+        self.tolerance = tolerance
 
     def _fit(self, dataset: DataFrame) -> Transformer:
         rows = dataset.count()
         return LogisticRegression(
             featuresCol=self.features_col, labelCol="label", maxIter=self.max_iter,
             elasticNetParam=0.0, regParam=1.0 / (self.c * max(rows, 1)),
-            standardization=False).fit(dataset)
+            standardization=False, tol=self.tolerance).fit(dataset)
 
 
 @dataclass(frozen=True)
@@ -71,6 +73,7 @@ class ModelSizes:
     """Size parameters of the zoo; smaller ones make trial runs quick."""
 
     logistic_iterations: int = 2000
+    logistic_tolerance: float = 1e-9
     forest_trees: int = 400
     forest_depth: int = 12
     forest_min_rows: int = 20
@@ -110,6 +113,12 @@ def recency_rule(column: str = "recency_days", missing: float = MISSING_RECENCY)
     return Pipeline(stages=[rule])
 
 
+def expression_rule(score: str) -> Pipeline:
+    """A ranker that scores by a SQL expression over the features. Fits nothing."""
+    return Pipeline(stages=[SQLTransformer(
+        statement=f"SELECT *, {score} AS score FROM __THIS__")])
+
+
 def rule_score(column="recency_days", missing: float = MISSING_RECENCY):
     """The same rule as a column expression."""
     return F.lit(1.0) / (F.lit(1.0) + F.coalesce(F.col(column).cast("double"), F.lit(missing)))
@@ -131,7 +140,8 @@ def numeric_preparation(features: list[str]) -> Pipeline:
 def logistic_regression(features: list[str], sizes: ModelSizes = ModelSizes()) -> Pipeline:
     return Pipeline(stages=[
         *numeric_preparation(features).getStages(),
-        PenalisedLogisticRegression("scaled", 1.0, sizes.logistic_iterations)])
+        PenalisedLogisticRegression("scaled", 1.0, sizes.logistic_iterations,
+                                    sizes.logistic_tolerance)])
 
 
 def random_forest(features: list[str], sizes: ModelSizes = ModelSizes()) -> Pipeline:

@@ -16,7 +16,7 @@ from tidemark.operators.ranking import score_curve, union_all
 from tidemark.session import materialise
 
 
-def _on_day_of(moments) -> Column:
+def on_day_of(moments) -> Column:
     """Cutoff falls on the day of one of the moments; prunes partitions by cutoff."""
     column = F.col("cutoff").cast("date")
     return column.isin([m.date() for m in moments])
@@ -25,8 +25,8 @@ def _on_day_of(moments) -> Column:
 def split_dev_test(snapshots: DataFrame, dev_cutoffs=tuple(DEV_CUTOFFS),
                    test_cutoffs=tuple(TEST_CUTOFFS)) -> tuple[DataFrame, DataFrame]:
     """Development and holdout rows, strictly by cutoff."""
-    return (snapshots.filter(_on_day_of(parse_cutoffs(dev_cutoffs))),
-            snapshots.filter(_on_day_of(parse_cutoffs(test_cutoffs))))
+    return (snapshots.filter(on_day_of(parse_cutoffs(dev_cutoffs))),
+            snapshots.filter(on_day_of(parse_cutoffs(test_cutoffs))))
 
 
 def expanding_window_folds(cutoffs, min_train: int = 3) -> list[tuple[list, object]]:
@@ -74,8 +74,8 @@ def fold_scores(snapshots: DataFrame, features: list[str], cutoffs=tuple(DEV_CUT
         n_train, n_valid = sizes.get((fold, "train"), 0), sizes.get((fold, "valid"), 0)
         if not n_train or not n_valid:
             continue
-        train = snapshots.filter(_on_day_of(train_cuts))
-        valid = snapshots.filter(_on_day_of([valid_cut]))
+        train = snapshots.filter(on_day_of(train_cuts))
+        valid = snapshots.filter(on_day_of([valid_cut]))
         medians: dict[str, float] = {}
         for name, model in models.items():
             parts.append(score(fit(model, train, medians), valid).select(

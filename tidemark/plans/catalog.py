@@ -13,9 +13,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.config import SEED, SnapshotSettings
+from tidemark.config import SEED, SnapshotSettings, parse_cutoffs
 from tidemark.functions.scalars import money_text, round_half_even
-from tidemark.operators import audit, clean, diagnostics, metrics, models, ranking, validation
+from tidemark.operators import (audit, clean, diagnostics, metrics, model_tables, models, ranking,
+                                validation)
 from tidemark.operators import snapshots as snap
 from tidemark.plans import oracle
 from tidemark.plans.incremental import SnapshotStore
@@ -25,7 +26,7 @@ from tidemark.sources import digests, tables, views
 RULES = oracle.RULES
 ONE_CUTOFF = SnapshotSettings(("2001-03-17T12:00:00",), horizon_days=90, min_history_days=180,
                               home_market=views.HOME)
-IMPORTANCE_REPEATS = 3
+IMPORTANCE_REPEATS = 10
 # Reduced model sizes: full ones take minutes per fit on one machine.
 TRIAL = models.ModelSizes(logistic_iterations=50, forest_trees=10, forest_depth=6,
                           boosting_rounds=5)
@@ -219,9 +220,9 @@ def tuning_summary(spark, sf_dir):
 
 def permutation_importance(spark, sf_dir):
     dev, test = _dev_test(spark, sf_dir)
-    fitted = models.fit(models.recency_rule(), dev)
-    return diagnostics.permutation_table(fitted, test, oracle.IMPORTANCE_FEATURES,
-                                         IMPORTANCE_REPEATS)
+    fitted = models.fit(models.expression_rule(oracle.blend({})), dev)
+    return diagnostics.permutation_table(fitted, test, snap.FEATURES, IMPORTANCE_REPEATS,
+                                         read=list(oracle.BLEND))
 
 
 def leakage_audit(spark, sf_dir):
@@ -236,11 +237,12 @@ def feature_medians(spark, sf_dir):
 
 def standardised_features(spark, sf_dir):
     dev, test = _dev_test(spark, sf_dir)
-    names = oracle.SCALED_FEATURES
+    names = snap.FEATURES
     scaled = models.numeric_preparation(names).fit(dev).transform(test)
     values = vector_to_array("scaled")
     return _rounded(scaled.select("customer_id", "cutoff",
-                                  *[values[i].alias(c) for i, c in enumerate(names)]), 7)
+                                  *[values[i].alias(c) for i, c in enumerate(names)]),
+                    oracle.SCALED_DIGITS)
 
 
 # Queries around fitted models: rows only, since no SQL engine can fit them.
@@ -251,7 +253,7 @@ def zoo_holdout(spark, sf_dir):
 
 def zoo_cross_validation(spark, sf_dir):
     return validation.cross_validate(
-        snapshots(spark, sf_dir), snap.FEATURES, views.ORDER_DEV, min_train=5,
+        snapshots(spark, sf_dir), snap.FEATURES, views.ORDER_DEV,
         models=models.model_zoo(snap.FEATURES, TRIAL))
 
 
@@ -270,13 +272,41 @@ def boosting_grid(spark, sf_dir):
         dict(enumerate(grid)), views.ORDER_DEV, min_train=6)
 
 
+def _stored_model(spark, sf_dir):
+    """A logistic regression on two features, fitted, stored as a table and read back."""
+    dev, _ = _dev_test(spark, sf_dir)
+    fitted = models.fit(models.logistic_regression(oracle.FITTED), dev)
+    path = scratch_path(spark, "model")
+    tables.write_table(model_tables.polished(fitted, dev), path)
+    return spark.read.schema(model_tables.MODEL_SCHEMA).parquet(path)
+
+
+def model_weights(spark, sf_dir):
+    return _stored_model(spark, sf_dir).select(
+        F.coalesce("feature", F.lit("constant")).alias("feature"), "fill",
+        round_half_even("value", 6).alias("weight"))
+
+
 def stored_model_scores(spark, sf_dir):
-    dev, test = _dev_test(spark, sf_dir)
-    fitted = models.fit(models.logistic_regression(snap.FEATURES, TRIAL), dev)
-    path = models.save_model(fitted, "logistic_regression", scratch_path(spark, "models"))
-    scored = models.score(models.load_model(path), test)
-    return scored.select("customer_id", "cutoff", "label", round_half_even("score", 6)
-                         .alias("score"))
+    _, test = _dev_test(spark, sf_dir)
+    scored = model_tables.score_with_table(_stored_model(spark, sf_dir), test)
+    return scored.select("customer_id", "cutoff", "label",
+                         round_half_even("score", 6).alias("score"))
+
+
+def logistic_certificate(spark, sf_dir):
+    """Whether the logistic regression of every fold, on all features, is at its minimum."""
+    table = snapshots(spark, sf_dir)
+    fits = {}
+    for fold, (train_cuts, _) in enumerate(validation.expanding_window_folds(
+            parse_cutoffs(views.ORDER_DEV)), start=1):
+        trained_on = validation.on_day_of(train_cuts)
+        fits[fold] = (models.fit(models.logistic_regression(snap.FEATURES),
+                                 table.filter(trained_on)), trained_on)
+    gradients = model_tables.penalised_gradients(table, fits)
+    return gradients.groupBy("fold", "n_train").agg(
+        F.count_if(F.col("feature") != "const").alias("features"),
+        (F.max(F.abs("gradient")) < 1e-6).alias("at_minimum"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -350,7 +380,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "zoo_cross_validation": zoo_cross_validation,
     "zoo_importance": zoo_importance,
     "boosting_grid": boosting_grid,
+    "model_weights": model_weights,
     "stored_model_scores": stored_model_scores,
+    "logistic_certificate": logistic_certificate,
 }
 
-ORACLE_SQL = oracle.statements(diagnostics._MULTIPLIERS, IMPORTANCE_REPEATS, SEED, ONE_CUTOFF)
+ORACLE_SQL = oracle.statements(
+    (diagnostics.ROUNDS, diagnostics.WALK, diagnostics._PRIME, diagnostics._FACTOR),
+    IMPORTANCE_REPEATS, SEED, ONE_CUTOFF)

@@ -353,40 +353,124 @@ cal AS (
 MISSING_MONTH = "1999-03"
 OTHER_QUANTITY = "stock_code = '13' and quantity > 25"
 
-SCALED_FEATURES = ["recency_days", "monetary", "mean_gap_days", "gap_cv", "distinct_products"]
-IMPORTANCE_FEATURES = ["recency_days", "recency_vs_gap", "frequency"]
-
-
-def _importance(multipliers, repeats: int, seed: int) -> str:
-    """Every feature column carries the permuted value in its own copy; only the rule's column
-    matters for the score."""
+SCALED_DIGITS = {f: 4 if f in ORDER_DIGITS else 6 for f in FEATURES}
+# The features of the small logistic regression that SQL fits as well.
+FITTED = ["recency_days", "mean_gap_days"]
+NEWTON_STEPS = 12
+
+
+def _newton(dev: str) -> str:
+    """A logistic regression on two standardised features, by Newton's steps from sums."""
+    x = ["1e0", "x1", "x2"]
+    penalty = [0, 1, 1]
+    h = {(i, j): f"h{min(i, j)}{max(i, j)}" for i in range(3) for j in range(3)}
+    sums = [f"sum((p - label) * {x[i]}) + b{i} * {penalty[i]} AS g{i}" for i in range(3)]
+    sums += [f"sum(p * (1 - p) * {x[i]} * {x[j]}) + {penalty[i] if i == j else 0} AS h{i}{j}"
+             for i in range(3) for j in range(i, 3)]
+
+    def determinant(column: int | None) -> str:
+        """Of the matrix, with one column replaced by the gradient."""
+        def cell(i: int, j: int) -> str:
+            return f"g{i}" if j == column else h[i, j]
+        even = [(0, 1, 2), (1, 2, 0), (2, 0, 1)]
+        odd = [(0, 2, 1), (1, 0, 2), (2, 1, 0)]
+        def products(orders) -> str:
+            return " + ".join(" * ".join(cell(i, j) for i, j in enumerate(o)) for o in orders)
+        return f"(({products(even)}) - ({products(odd)}))"
+
+    a, b = FITTED
+    return f"""{ORDER_SNAP},
+med AS (SELECT median(CAST({a} AS DOUBLE)) AS m1, median(CAST({b} AS DOUBLE)) AS m2
+  FROM snap WHERE cutoff IN ({dev})),
+filled AS MATERIALIZED (
+  SELECT customer_id, cutoff, label, coalesce(CAST({a} AS DOUBLE), m1) AS v1,
+    coalesce(CAST({b} AS DOUBLE), m2) AS v2 FROM snap, med),
+spread AS (SELECT avg(v1) AS a1, stddev_samp(v1) AS s1, avg(v2) AS a2, stddev_samp(v2) AS s2
+  FROM filled WHERE cutoff IN ({dev})),
+train AS MATERIALIZED (SELECT label, (v1 - a1) / s1 AS x1, (v2 - a2) / s2 AS x2
+  FROM filled, spread WHERE cutoff IN ({dev})),
+newton(step, b0, b1, b2) AS (
+  SELECT 0, 0e0, 0e0, 0e0
+  UNION ALL
+  SELECT step + 1, {', '.join(f'b{i} - {determinant(i)} / {determinant(None)}' for i in range(3))}
+  FROM (
+    SELECT step, b0, b1, b2, {', '.join(sums)}
+    FROM (SELECT *, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) AS p FROM newton, train)
+    WHERE step < {NEWTON_STEPS} GROUP BY step, b0, b1, b2)),
+weights AS (
+  SELECT b1 / s1 AS w1, b2 / s2 AS w2, b0 - b1 * a1 / s1 - b2 * a2 / s2 AS w0, m1, m2
+  FROM newton, spread, med WHERE step = {NEWTON_STEPS})"""
+
+# A scoring rule that reads several features: weight and filling value of each.
+BLEND = {"recency_days": (-0.011, 200.0), "recency_vs_gap": (-0.35, 3.0),
+         "frequency": (0.05, 0.0), "orders_last_90d": (0.4, 0.0), "gap_cv": (-0.6, 1.0),
+         "distinct_products": (0.004, 0.0)}
+
+
+def blend(values: dict[str, str]) -> str:
+    return " + ".join(f"{weight!r}e0 * coalesce(CAST({values.get(name, name)} AS DOUBLE), "
+                      f"{fill!r}e0)" for name, (weight, fill) in BLEND.items())
+
+
+def _walk(rounds: int, steps: int, prime: int, factor: int) -> str:
+    """CTEs that send ``place`` through the keyed permutation until it is below n."""
+    def mixed(value: str, key: str) -> str:
+        start = f"(({value} + {key}) % {prime})"
+        return f"((({start} * {start} % {prime}) + {key}) % {prime}) * {factor} % {prime}"
+
+    ctes = []
+    for step in range(1, steps + 1):
+        source = f"SELECT *, place // across AS r, place % across AS c FROM walk{step - 1}"
+        for k in range(rounds):
+            changed = (f"(c + {mixed('r', f'k{k}')}) % across AS c" if k % 2
+                       else f"(r + {mixed('c', f'k{k}')}) % down AS r")
+            source = f"SELECT * REPLACE ({changed}) FROM ({source})"
+        inside = f"place < n AND {step} > 1"
+        ctes.append(f"walk{step} AS (SELECT * EXCLUDE (r, c) REPLACE (CASE WHEN {inside} "
+                    f"THEN place ELSE r * across + c END AS place) FROM ({source}))")
+    return ",\n".join(ctes)
+
+
+def _importance(rounds: int, steps: int, prime: int, factor: int, repeats: int, seed: int) -> str:
+    """Features that the rule reads are permuted in copies of their own; others stay at zero."""
     hashed = "CAST('0x' || substr(md5({}), 1, 15) AS BIGINT)"
     identity = hashed.format(f"'{seed}|' || customer_id || '|' || cutoff")
-    shift = hashed.format(f"'{seed}|' || feature || '|' || repeat")
-    features = ", ".join(f"('{f}')" for f in IMPORTANCE_FEATURES)
-    factors = ", ".join(f"({r}, {multipliers[r % len(multipliers)]})" for r in range(repeats))
+    keys = ", ".join(
+        hashed.format(f"'{seed}|' || feature || '|' || repeat || '|{k}'") + f" % {prime} AS k{k}"
+        for k in range(rounds))
+    read = ", ".join(f"('{f}')" for f in BLEND)
+    every = ", ".join(f"('{f}')" for f in FEATURES)
+    values = " ".join(f"WHEN '{f}' THEN CAST({f} AS DOUBLE)" for f in BLEND)
+    moved = {f: f"CASE WHEN feature = '{f}' THEN value ELSE {f} END" for f in BLEND}
     return f"""{ORDER_SNAP},
 placed AS (
   SELECT *, row_number() OVER (ORDER BY {identity}, customer_id, cutoff) - 1 AS position,
     count(*) OVER () AS n
   FROM snap WHERE cutoff IN ({_days(ORDER_HOLDOUT)})),
-sent AS (
-  SELECT feature, repeat, recency_days AS value,
-    (position * (factor % n) + ({shift}) % n) % n AS target
-  FROM placed, (VALUES {features}) AS f(feature), (VALUES {factors}) AS r(repeat, factor)),
+keys AS (
+  SELECT feature, repeat, {keys}
+  FROM (VALUES {read}) AS f(feature), (SELECT unnest(range({repeats})) AS repeat)),
+walk0 AS (
+  SELECT *, (n + down - 1) // down AS across FROM (
+    SELECT feature, repeat, k0, k1, k2, k3, n, position AS place,
+      CASE feature {values} END AS value, CAST(ceil(sqrt(n)) AS BIGINT) AS down
+    FROM placed, keys)),
+{_walk(rounds, steps, prime, factor)},
 shuffled AS (
-  SELECT feature, repeat, label,
-    1e0 / (1e0 + CASE WHEN feature = 'recency_days' THEN value ELSE recency_days END) AS score
-  FROM sent JOIN placed ON target = position),
+  SELECT feature, repeat, label, {blend(moved)} AS score
+  FROM walk{steps} JOIN placed ON place = position),
 {average_precision('shuffled', 'feature, repeat', 'moved')},
-plain AS (SELECT 'base' AS key, label, 1e0 / (1e0 + recency_days) AS score FROM placed),
-{average_precision('plain', 'key', 'base')}
-SELECT feature, {rounded('avg(base.pr_auc - moved.pr_auc)', 5)} AS pr_auc_drop,
-  {rounded('stddev_pop(base.pr_auc - moved.pr_auc)', 5)} AS std
-FROM moved, base GROUP BY feature"""
+plain AS (SELECT 'base' AS key, label, {blend({})} AS score FROM placed),
+{average_precision('plain', 'key', 'base')},
+drops AS (
+  SELECT feature, {rounded('avg(base.pr_auc - moved.pr_auc)', 5)} AS pr_auc_drop,
+    {rounded('stddev_pop(base.pr_auc - moved.pr_auc)', 5)} AS std
+  FROM moved, base GROUP BY feature)
+SELECT f.feature, coalesce(pr_auc_drop, 0e0) AS pr_auc_drop, coalesce(std, 0e0) AS std
+FROM (VALUES {every}) AS f(feature) LEFT JOIN drops USING (feature)"""
 
 
-def statements(multipliers, importance_repeats: int, seed: int, one_cutoff) -> dict[str, str]:
+def statements(permutation, importance_repeats: int, seed: int, one_cutoff) -> dict[str, str]:
     """Query name to SQL."""
     tx_columns = ("customer_id, invoice_no, invoice_date, stock_code, quantity, unit_price, "
                   "country, line_revenue")
@@ -553,7 +637,8 @@ SELECT CAST(config AS INTEGER) AS config,
   CASE config WHEN 0 THEN 'recency_days' ELSE 'recency_vs_gap' END AS column_name,
   {rounded('avg(pr_auc)', 9)} AS pr_auc_mean, {rounded('stddev_pop(pr_auc)', 9)} AS pr_auc_std
 FROM ap GROUP BY config""",
-        "permutation_importance": "WITH " + _importance(multipliers, importance_repeats, seed),
+        "permutation_importance": "WITH " + _importance(
+            *permutation, importance_repeats, seed),
         "leakage_audit": f"""WITH {ORDER_SNAP},
 one AS (SELECT * FROM snap WHERE cutoff = TIMESTAMP '{ORDER_HOLDOUT[0]}')
 SELECT change, count(*) AS rows_compared, CAST(0 AS BIGINT) AS rows_moved,
@@ -561,18 +646,31 @@ SELECT change, count(*) AS rows_compared, CAST(0 AS BIGINT) AS rows_moved,
   CAST(CASE change WHEN 'deleted' THEN 0 ELSE sum(label) END AS BIGINT) AS labels_after
 FROM one, (VALUES ('deleted'), ('inflated')) AS c(change) GROUP BY change""",
         "standardised_features": f"""WITH {ORDER_SNAP},
-med AS (SELECT {', '.join(f'median(CAST({f} AS DOUBLE)) AS {f}_m' for f in SCALED_FEATURES)}
+med AS (SELECT {', '.join(f'median(CAST({f} AS DOUBLE)) AS {f}_m' for f in FEATURES)}
   FROM snap WHERE cutoff IN ({dev})),
 filled AS (
   SELECT customer_id, cutoff,
-    {', '.join(f'coalesce(CAST({f} AS DOUBLE), {f}_m) AS {f}' for f in SCALED_FEATURES)}
+    {', '.join(f'coalesce(CAST({f} AS DOUBLE), {f}_m) AS {f}' for f in FEATURES)}
   FROM snap, med),
 fitted AS (
-  SELECT {', '.join(f'avg({f}) AS {f}_a, stddev_samp({f}) AS {f}_s' for f in SCALED_FEATURES)}
+  SELECT {', '.join(f'avg({f}) AS {f}_a, stddev_samp({f}) AS {f}_s' for f in FEATURES)}
   FROM filled WHERE cutoff IN ({dev}))
 SELECT customer_id, cutoff,
-  {', '.join(f"{rounded(f'({f} - {f}_a) / {f}_s', 7)} AS {f}" for f in SCALED_FEATURES)}
+  {', '.join(f"coalesce({rounded(f'({f} - {f}_a) / nullif({f}_s, 0)', SCALED_DIGITS[f])}, 0) AS {f}"
+             for f in FEATURES)}
 FROM filled, fitted WHERE cutoff IN ({test})""",
+        "stored_model_scores": f"""WITH RECURSIVE {_newton(dev)}
+SELECT customer_id, cutoff, label,
+  {rounded('1 / (1 + exp(-(w1 * v1 + w2 * v2 + w0)))', 6)} AS score
+FROM filled, weights WHERE cutoff IN ({test})""",
+        "model_weights": f"""WITH RECURSIVE {_newton(dev)}
+SELECT '{FITTED[0]}' AS feature, m1 AS fill, {rounded('w1', 6)} AS weight FROM weights
+UNION ALL SELECT '{FITTED[1]}', m2, {rounded('w2', 6)} FROM weights
+UNION ALL SELECT 'constant', NULL, {rounded('w0', 6)} FROM weights""",
+        "logistic_certificate": f"""WITH {ORDER_SNAP}
+SELECT fold, count(*) AS n_train, CAST({len(FEATURES)} AS BIGINT) AS features, TRUE AS at_minimum
+FROM snap JOIN (VALUES {fold_roles}) AS f(fold, role, cutoff) USING (cutoff)
+WHERE role = 'train' GROUP BY fold""",
         "feature_medians": f"""WITH {ORDER_SNAP},
 dev AS (SELECT * FROM snap WHERE cutoff IN ({dev})),
 m AS ({medians})
