@@ -1,3 +1,4 @@
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -47,6 +48,17 @@ def test_whole_run(spark, transactions, tmp_path):
         stored = spark.read.option("header", True).csv(f"{out}/reports/{name}")
         assert stored.columns == results[name].columns and stored.count() > 0, name
     assert results["tuning"].count() == 5
+    assert {"cv_fold_series", "money", "top_importance", "leakage_audit", "fingerprint"} <= set(results)
+    audited = results["leakage_audit"].toPandas()
+    assert len(audited) == 2 * 6 and (audited.rows_moved == 0).all()
+    assert results["money"].first()["net"].startswith("£")
+    # Results are stored tables, so showing one computes nothing again.
+    assert all("Scan parquet" in r._jdf.queryExecution().executedPlan().toString()
+               for r in results.values())
+    pin = results["fingerprint"].first()
+    with pytest.raises(RuntimeError, match="fingerprint mismatch"):
+        run_campaign(spark, lambda: transactions, out,
+                     replace(settings, pin=(pin["n_rows"], pin["hash_sum"] + 1)))
     table = spark.read.schema(S.SNAPSHOT_SCHEMA).parquet(f"{out}/snapshots")
     assert table.select("cutoff").distinct().count() == 6
     plan = table.filter("cutoff = timestamp_ntz'2011-05-01'") \
@@ -56,19 +68,21 @@ def test_whole_run(spark, transactions, tmp_path):
 
 
 def test_audit_passes_here_and_catches_a_leak(spark, transactions, monkeypatch):
-    settings = SnapshotSettings(("2011-05-01",))
-    report = {r["change"]: r for r in
-              audit.leakage_audit(transactions, "2011-05-01", settings).collect()}
-    assert set(report) == {"deleted", "inflated"}
-    assert all(r["rows_moved"] == 0 and r["rows_compared"] > 100 for r in report.values())
-    assert report["deleted"]["labels_before"] > 0 == report["deleted"]["labels_after"]
-    assert report["inflated"]["labels_before"] == report["inflated"]["labels_after"]
+    settings = SnapshotSettings(("2011-04-01", "2011-05-01T12:30:00", "2011-06-10"), 45)
+    report = {(r["cutoff"], r["change"]): r for r in
+              audit.leakage_audit(transactions, settings).collect()}
+    assert len(report) == 6
+    for (_, change), r in report.items():
+        assert r["rows_moved"] == 0 and r["rows_compared"] > 80 and r["labels_before"] > 0
+        assert r["labels_after"] == (0 if change == "deleted" else r["labels_before"])
 
-    def leaky(lines, *args):
+    def leaky(lines, *args, **options):
         total = lines.groupBy("customer_id").agg(audit.F.sum("line_revenue").alias("all"))
-        return S.snapshot(lines, *args).join(total, "customer_id") \
+        return S.snapshot(lines, *args, **options).join(total, "customer_id") \
             .withColumn("monetary", audit.F.col("all"))
 
     monkeypatch.setattr(audit, "snapshot", leaky)
-    caught = audit.leakage_audit(transactions, "2011-05-01", settings).collect()
-    assert all(r["rows_moved"] > 50 for r in caught)
+    caught = audit.leakage_audit(transactions, settings).collect()
+    assert len(caught) == 6 and all(r["rows_moved"] > 50 for r in caught)
+    with pytest.raises(ValueError, match="unknown change"):
+        audit.changed_futures(transactions, ["2011-05-01"], ("shuffled",))

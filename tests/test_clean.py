@@ -71,3 +71,16 @@ def test_profile(spark):
     profile = clean.profile(cleaned(spark, [
         line(), line(customer=8, date=datetime(2011, 2, 1)), line(customer=8)])).first()
     assert tuple(profile) == (3, 2, DAY, datetime(2011, 2, 1))
+
+
+@pytest.mark.parametrize("quantity, customer", [(1.5, 7.0), (2.0, 7.25)])
+def test_fractions_raise(spark, quantity, customer):
+    raw = spark.createDataFrame(
+        [("A1", "P1", "x", quantity, datetime(2011, 1, 1), 1.0, customer, "France"),
+         ("A2", "P1", "x", 2.0, datetime(2011, 1, 1), 1.0, float("nan"), "France")],
+        "InvoiceNo string, StockCode string, Description string, Quantity double, "
+        "InvoiceDate timestamp_ntz, UnitPrice double, CustomerID double, Country string")
+    with pytest.raises(Exception, match="is no whole number"):
+        clean.normalise(raw).collect()
+    good = clean.normalise(raw.filter("InvoiceNo = 'A2'")).first()
+    assert (good["quantity"], good["customer_id"]) == (2, None)

@@ -36,13 +36,14 @@ MONEY_DECIMALS = 2
 class SnapshotSettings:
     """What one snapshot run needs to know."""
 
-    cutoffs: tuple = tuple(CUTOFFS)
+    cutoffs: tuple | None = tuple(CUTOFFS)
     horizon_days: int = HORIZON_DAYS
     min_history_days: int = MIN_HISTORY_DAYS
     home_market: str = HOME_MARKET
 
     def ordered_cutoffs(self) -> list[datetime]:
-        return parse_cutoffs(self.cutoffs)
+        """The cutoffs in time order; none given means the published ones."""
+        return parse_cutoffs(self.cutoffs or CUTOFFS)
 
 
 def parse_cutoffs(cutoffs) -> list[datetime]:

@@ -1,63 +1,79 @@
-"""Leakage audit: prove on the data at hand that no feature moves with the future."""
+"""Leakage audit: prove on the data at hand that no feature moves with the future.
+
+For every cutoff and every way of changing what comes after it there is a copy of the lines. All
+copies are moved in time so that their cutoffs fall on one day, which changes no feature, and go
+through a single plan; their features are then compared with those of the unchanged lines.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import SnapshotSettings, parse_cutoffs
 from tidemark.functions.scalars import timestamp
-from tidemark.operators.snapshots import FEATURES, snapshot
-from tidemark.session import materialise
+from tidemark.operators.snapshots import FEATURES, build_snapshots, snapshot
 
 CHANGES = ("deleted", "inflated")
+_AMOUNTS = ("quantity", "unit_price", "line_revenue")
+
+
+def changed_futures(transactions: DataFrame, cutoffs, changes: Iterable[str] = CHANGES,
+                    factor: int = 1000) -> DataFrame:
+    """A copy of the lines per (cutoff, change), with both as columns: the lines from the cutoff
+    on are deleted, or their amounts multiplied."""
+    unknown = set(changes) - set(CHANGES)
+    if unknown:
+        raise ValueError(f"unknown change {sorted(unknown)}; known are {CHANGES}")
+    copies = F.explode(F.array(*[
+        F.struct(timestamp(m).alias("cutoff"), F.lit(change).alias("change"))
+        for m in parse_cutoffs(cutoffs) for change in changes]))
+    future = F.col("invoice_date") >= F.col("copy.cutoff")
+    inflated = future & (F.col("copy.change") == "inflated")
+    lines = transactions.withColumn("copy", copies).filter(
+        ~(future & (F.col("copy.change") == "deleted")))
+    return lines.select(
+        *[F.when(inflated, F.col(c) * factor).otherwise(F.col(c)).alias(c) if c in _AMOUNTS
+          else F.col(c) for c in transactions.columns], "copy.*")
 
 
-def change_future(transactions: DataFrame, cutoff, change: str, factor: int = 1000) -> DataFrame:
-    """Delete the lines from the cutoff on, or multiply their amounts."""
-    [moment] = parse_cutoffs([cutoff])
-    future = F.col("invoice_date") >= timestamp(moment)
-    if change == "deleted":
-        return transactions.filter(~future)
-    if change == "inflated":
-        for name in ("quantity", "unit_price", "line_revenue"):
-            transactions = transactions.withColumn(
-                name, F.when(future, F.col(name) * factor).otherwise(F.col(name)))
-        return transactions
-    raise ValueError(f"unknown change {change!r}; one of {CHANGES}")
+def _same(name: str, tolerance: float) -> Column:
+    a, b = F.col(f"a.{name}"), F.col(f"b.{name}")
+    near = F.abs(a - b) <= F.lit(tolerance) * F.greatest(F.abs(a), F.abs(b), F.lit(1.0))
+    return (a.isNull() & b.isNull()) | F.coalesce(near, F.lit(False))
 
 
-def leakage_audit(transactions: DataFrame, cutoff, settings: SnapshotSettings,
-                  changes=CHANGES, tolerance: float = 1e-9) -> DataFrame:
-    """One row per change: rows compared, rows whose features moved, labels before and after.
+def leakage_audit(transactions: DataFrame, settings: SnapshotSettings, changes=CHANGES,
+                  tolerance: float = 1e-9, original: DataFrame | None = None) -> DataFrame:
+    """One row per (cutoff, change): rows compared, rows whose features moved, labels before and
+    after. Zero moved rows is the pass.
 
-    Features are compared within a relative tolerance, since sums of prices may be added up in
-    another order. Zero moved rows is the pass.
+    ``original`` may be the stored snapshots of the same settings; they are built if it is not
+    given. Features are compared within a relative tolerance, since sums of prices may be added
+    up in another order.
     """
-    def snap(lines: DataFrame) -> DataFrame:
-        return snapshot(lines, cutoff, settings.horizon_days, settings.min_history_days,
-                        settings.home_market)
-
-    def same(name: str):
-        a, b = F.col(f"a.{name}"), F.col(f"b.{name}")
-        near = F.abs(a - b) <= F.lit(tolerance) * F.greatest(F.abs(a), F.abs(b), F.lit(1.0))
-        return (a.isNull() & b.isNull()) | F.coalesce(near, F.lit(False))
-
-    original = materialise(snap(transactions)).alias("a")
-    results = []
-    for change in changes:
-        changed = snap(change_future(transactions, cutoff, change)).alias("b")
-        pairs = original.join(changed, F.col("a.customer_id") == F.col("b.customer_id"), "full")
-        equal = F.lit(True)
-        for name in FEATURES:
-            equal = equal & same(name)
-        matched = F.col("a.customer_id").isNotNull() & F.col("b.customer_id").isNotNull()
-        results.append(pairs.agg(
-            F.count(F.lit(1)).alias("rows_compared"),
-            F.count_if(~(matched & equal)).alias("rows_moved"),
-            F.sum("a.label").alias("labels_before"), F.sum("b.label").alias("labels_after"))
-            .select(F.lit(change).alias("change"), "*"))
-    table = results[0]
-    for result in results[1:]:
-        table = table.unionByName(result)
-    return table
+    moments = settings.ordered_cutoffs()
+    if original is None:
+        original = build_snapshots(transactions, settings)
+    lines = changed_futures(transactions, moments, changes)
+    moved = lines.select(
+        F.struct("cutoff", "change", "customer_id").alias("customer_id"),
+        (F.col("invoice_date") + (timestamp(moments[0]) - F.col("cutoff"))).alias("invoice_date"),
+        *[c for c in transactions.columns if c not in ("customer_id", "invoice_date")])
+    changed = snapshot(moved, moments[0], settings.horizon_days, settings.min_history_days,
+                       settings.home_market, require_history=False)
+    changed = changed.select("customer_id.*", *FEATURES, "label").alias("b")
+    before = original.filter(F.col("cutoff").isin([timestamp(m) for m in moments])).withColumn(
+        "change", F.explode(F.array(*[F.lit(c) for c in changes]))).alias("a")
+    keys = ["cutoff", "change", "customer_id"]
+    pairs = before.join(changed, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys], "full")
+    matched = F.col("a.customer_id").isNotNull() & F.col("b.customer_id").isNotNull()
+    equal = reduce(and_, [_same(name, tolerance) for name in FEATURES], matched)
+    return pairs.groupBy(*[F.coalesce(f"a.{k}", f"b.{k}").alias(k) for k in keys[:2]]).agg(
+        F.count(F.lit(1)).alias("rows_compared"), F.count_if(~equal).alias("rows_moved"),
+        F.sum(F.col("a.label").cast("bigint")).alias("labels_before"),
+        F.sum(F.col("b.label").cast("bigint")).alias("labels_after"))

@@ -36,12 +36,21 @@ def normalise(raw: DataFrame) -> DataFrame:
         column = F.col(name)
         return F.when(~F.isnan(column), column) if number[name] else column
 
+    def whole_number(name: str):
+        """An id or a quantity; a fraction is bad data and raises, as text that is no number does."""
+        column = clean_number(name)
+        if not number[name]:
+            return column.cast("bigint").alias(name)
+        bad = F.raise_error(F.concat(F.lit(f"{name} is no whole number: "), column.cast("string")))
+        return F.when(column == F.rint(column), column.cast("bigint")) \
+            .when(column.isNotNull(), bad.cast("bigint")).alias(name)
+
     return lines.select(
-        clean_number("customer_id").cast("bigint").alias("customer_id"),
+        whole_number("customer_id"),
         strip("invoice_no").alias("invoice_no"),
         F.col("invoice_date").cast("timestamp_ntz").alias("invoice_date"),
         strip("stock_code").alias("stock_code"),
-        clean_number("quantity").cast("bigint").alias("quantity"),
+        whole_number("quantity"),
         clean_number("unit_price").cast("double").alias("unit_price"),
         strip("country").alias("country"),
     )

@@ -66,6 +66,7 @@ def fold_scores(snapshots: DataFrame, features: list[str], cutoffs=tuple(DEV_CUT
     fold. Folds without training or validation rows are skipped.
     """
     models = model_zoo(features) if models is None else models
+    cutoffs = cutoffs or DEV_CUTOFFS
     sizes = {(r["fold"], r["role"]): r["n_rows"]
              for r in fold_sizes(snapshots, cutoffs, min_train).collect()}
     parts = []

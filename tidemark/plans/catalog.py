@@ -226,8 +226,8 @@ def permutation_importance(spark, sf_dir):
 
 
 def leakage_audit(spark, sf_dir):
-    return audit.leakage_audit(transactions(spark, sf_dir), views.ORDER_HOLDOUT[0],
-                               views.ORDER_SETTINGS)
+    return audit.leakage_audit(transactions(spark, sf_dir), views.ORDER_SETTINGS,
+                               original=snapshots(spark, sf_dir))
 
 
 def feature_medians(spark, sf_dir):

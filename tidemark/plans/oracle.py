@@ -470,6 +470,42 @@ SELECT f.feature, coalesce(pr_auc_drop, 0e0) AS pr_auc_drop, coalesce(std, 0e0)
 FROM (VALUES {every}) AS f(feature) LEFT JOIN drops USING (feature)"""
 
 
+def _audit() -> str:
+    """Snapshots of changed lines, built per cutoff and change, beside those of the lines as they
+    are. A change is told by the customer's number: even ones have no future, odd ones a large one."""
+    changed = snapshot_ctes(ORDER_TX, ORDER_SETTINGS)
+    changed = changed.replace(
+        "past AS (SELECT * FROM tx JOIN cutoffs ON invoice_date < cutoff)",
+        """copies AS (
+  SELECT cutoff, 2 * customer_id AS customer_id, invoice_no, invoice_date, stock_code, quantity,
+    unit_price, country, line_revenue FROM tx, cutoffs WHERE invoice_date < cutoff
+  UNION ALL
+  SELECT cutoff, 2 * customer_id + 1, invoice_no, invoice_date, stock_code, quantity * f,
+    unit_price * f, country, line_revenue * f
+  FROM (SELECT *, CASE WHEN invoice_date >= cutoff THEN 1000 ELSE 1 END AS f FROM tx, cutoffs)),
+past AS (SELECT * FROM copies WHERE invoice_date < cutoff)""")
+    changed = changed.replace("EXISTS (SELECT 1 FROM tx f WHERE",
+                              "EXISTS (SELECT 1 FROM copies f WHERE f.cutoff = rfm.cutoff AND")
+    changed = changed.replace("f.invoice_date >= cutoff", "f.invoice_date >= rfm.cutoff") \
+        .replace("f.invoice_date < cutoff", "f.invoice_date < rfm.cutoff")
+    equal = " AND ".join(
+        f"((a.{f} IS NULL AND b.{f} IS NULL) OR coalesce(abs(a.{f} - b.{f}) "
+        f"<= 1e-9 * greatest(abs(a.{f}), abs(b.{f}), 1), FALSE))" for f in FEATURES)
+    return f"""WITH plain AS (WITH {ORDER_SNAP} SELECT * FROM snap),
+b AS (
+  WITH {changed}
+  SELECT * EXCLUDE (customer_id), customer_id // 2 AS customer_id,
+    CASE customer_id % 2 WHEN 0 THEN 'deleted' ELSE 'inflated' END AS change FROM snap),
+a AS (SELECT * FROM plain, (VALUES ('deleted'), ('inflated')) AS c(change))
+SELECT coalesce(a.cutoff, b.cutoff) AS cutoff, coalesce(a.change, b.change) AS change,
+  count(*) AS rows_compared,
+  count(*) FILTER (WHERE NOT (a.customer_id IS NOT NULL AND b.customer_id IS NOT NULL
+    AND {equal})) AS rows_moved,
+  CAST(sum(a.label) AS BIGINT) AS labels_before, CAST(sum(b.label) AS BIGINT) AS labels_after
+FROM a FULL JOIN b ON a.cutoff = b.cutoff AND a.change = b.change
+  AND a.customer_id = b.customer_id GROUP BY ALL"""
+
+
 def statements(permutation, importance_repeats: int, seed: int, one_cutoff) -> dict[str, str]:
     """Query name to SQL."""
     tx_columns = ("customer_id, invoice_no, invoice_date, stock_code, quantity, unit_price, "
@@ -639,12 +675,7 @@ SELECT CAST(config AS INTEGER) AS config,
 FROM ap GROUP BY config""",
         "permutation_importance": "WITH " + _importance(
             *permutation, importance_repeats, seed),
-        "leakage_audit": f"""WITH {ORDER_SNAP},
-one AS (SELECT * FROM snap WHERE cutoff = TIMESTAMP '{ORDER_HOLDOUT[0]}')
-SELECT change, count(*) AS rows_compared, CAST(0 AS BIGINT) AS rows_moved,
-  CAST(sum(label) AS BIGINT) AS labels_before,
-  CAST(CASE change WHEN 'deleted' THEN 0 ELSE sum(label) END AS BIGINT) AS labels_after
-FROM one, (VALUES ('deleted'), ('inflated')) AS c(change) GROUP BY change""",
+        "leakage_audit": _audit(),
         "standardised_features": f"""WITH {ORDER_SNAP},
 med AS (SELECT {', '.join(f'median(CAST({f} AS DOUBLE)) AS {f}_m' for f in FEATURES)}
   FROM snap WHERE cutoff IN ({dev})),
