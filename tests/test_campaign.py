@@ -76,12 +76,15 @@ def test_audit_passes_here_and_catches_a_leak(spark, transactions, monkeypatch):
         assert r["rows_moved"] == 0 and r["rows_compared"] > 80 and r["labels_before"] > 0
         assert r["labels_after"] == (0 if change == "deleted" else r["labels_before"])
 
-    def leaky(lines, *args, **options):
-        total = lines.groupBy("customer_id").agg(audit.F.sum("line_revenue").alias("all"))
-        return S.snapshot(lines, *args, **options).join(total, "customer_id") \
-            .withColumn("monetary", audit.F.col("all"))
+    def leaky(build):
+        def with_all_lines(lines, *args, **options):
+            total = lines.groupBy("customer_id").agg(audit.F.sum("line_revenue").alias("all"))
+            return build(lines, *args, **options).join(total, "customer_id") \
+                .withColumn("monetary", audit.F.col("all"))
+        return with_all_lines
 
-    monkeypatch.setattr(audit, "snapshot", leaky)
+    monkeypatch.setattr(audit, "snapshot", leaky(S.snapshot))
+    monkeypatch.setattr(audit, "build_snapshots", leaky(S.build_snapshots))
     caught = audit.leakage_audit(transactions, settings).collect()
     assert len(caught) == 6 and all(r["rows_moved"] > 50 for r in caught)
     with pytest.raises(ValueError, match="unknown change"):
