@@ -183,6 +183,14 @@ def boosting_candidates(features: list[str], grid=tuple(BOOSTING_GRID),
     return {i: boosted_trees(features, sizes(p)) for i, p in enumerate(grid)}
 
 
+def medians_of(models, train: DataFrame) -> dict[str, float]:
+    """The medians that any of the models fills in, found once for all of them."""
+    imputers = [stage for model in models for stage in model.getStages()
+                if isinstance(stage, MedianImputer)]
+    names = list(dict.fromkeys(f for imputer in imputers for f in imputer.features))
+    return MedianImputer(names).medians_of(train) if names else {}
+
+
 def fit(model: Pipeline, train: DataFrame, medians: dict[str, float] | None = None
         ) -> PipelineModel:
     """Fit one model. ``medians`` remembers those of ``train`` between models fitted on it."""

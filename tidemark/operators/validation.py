@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,10 +13,13 @@ from tidemark.config import DEV_CUTOFFS, TEST_CUTOFFS, parse_cutoffs
 from tidemark.functions.scalars import day_text, timestamp
 from tidemark.operators import metrics
 from tidemark.operators.metrics import average_precision
-from tidemark.operators.models import fit, model_zoo, score
+from tidemark.operators.models import fit, medians_of, model_zoo, score
 from tidemark.operators.ranking import score_curve, union_all
 from tidemark.session import materialise
 
+#: Model fits that are submitted to the cluster at the same time.
+FITS_AT_ONCE = 4
+
 
 def on_day_of(moments) -> Column:
     """Cutoff falls on the day of one of the moments; prunes partitions by cutoff."""
@@ -59,17 +64,19 @@ def fold_sizes(snapshots: DataFrame, cutoffs, min_train: int = 3) -> DataFrame:
 
 
 def fold_scores(snapshots: DataFrame, features: list[str], cutoffs=tuple(DEV_CUTOFFS),
-                min_train: int = 3, models: dict | None = None) -> DataFrame:
+                min_train: int = 3, models: dict | None = None, at_once: int = FITS_AT_ONCE
+                ) -> DataFrame:
     """Validation rows of every fold scored by every model fitted on that fold's past.
 
-    A loop submits the fits; the scores stay distributed and are stacked, keyed by model and
-    fold. Folds without training or validation rows are skipped.
+    Fits are submitted side by side, ``at_once`` at a time, so that the many small jobs of one
+    fill the gaps of another; medians are found once per fold. The scores stay distributed and
+    are stacked, keyed by model and fold. Folds without training or validation rows are skipped.
     """
     models = model_zoo(features) if models is None else models
     cutoffs = cutoffs or DEV_CUTOFFS
     sizes = {(r["fold"], r["role"]): r["n_rows"]
              for r in fold_sizes(snapshots, cutoffs, min_train).collect()}
-    parts = []
+    fits = []
     for fold, (train_cuts, valid_cut) in enumerate(
             expanding_window_folds(parse_cutoffs(cutoffs), min_train), start=1):
         n_train, n_valid = sizes.get((fold, "train"), 0), sizes.get((fold, "valid"), 0)
@@ -77,17 +84,21 @@ def fold_scores(snapshots: DataFrame, features: list[str], cutoffs=tuple(DEV_CUT
             continue
         train = snapshots.filter(on_day_of(train_cuts))
         valid = snapshots.filter(on_day_of([valid_cut]))
-        medians: dict[str, float] = {}
-        for name, model in models.items():
-            parts.append(score(fit(model, train, medians), valid).select(
-                F.lit(name).alias("model"), F.lit(fold).alias("fold"),
-                day_text(timestamp(valid_cut)).alias("valid_cutoff"),
-                F.lit(n_train).cast("bigint").alias("n_train"),
-                F.lit(n_valid).cast("bigint").alias("n_valid"),
-                "customer_id", "cutoff", "label", "score"))
-    if not parts:
+        about = [F.lit(fold).alias("fold"), day_text(timestamp(valid_cut)).alias("valid_cutoff"),
+                 F.lit(n_train).cast("bigint").alias("n_train"),
+                 F.lit(n_valid).cast("bigint").alias("n_valid")]
+        medians = medians_of(models.values(), train)
+        fits += [(name, model, train, valid, medians, about) for name, model in models.items()]
+    if not fits:
         raise ValueError("no fold has both training and validation rows")
-    return union_all(parts)
+
+    def scored(name, model, train, valid, medians, about) -> DataFrame:
+        return score(fit(model, train, medians), valid).select(
+            F.lit(name).alias("model"), *about, "customer_id", "cutoff", "label", "score")
+
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        return union_all([*pool.map(
+            inheritable_thread_target(snapshots.sparkSession)(lambda job: scored(*job)), fits)])
 
 
 def cross_validate(snapshots: DataFrame, features: list[str], cutoffs=tuple(DEV_CUTOFFS),
