@@ -30,9 +30,10 @@ from tidemark.session import materialise
 
 LENGTH, GRAM = 100, 32
 SPAN = LENGTH - GRAM + 1                 # grams in a window
-SHARD_BYTES = 8 << 20
-MEMORY_BYTES = 192 << 20
-
+#: A shard takes anchors until it has so many bytes of distinct strings; sorting them takes some
+#: 130 bytes of memory per byte.
+SHARD_BYTES = 1 << 20
+MEMORY_BYTES = 64 << 20
 
 
 # ---------------------------------------------------------------------------------------------
@@ -281,64 +282,88 @@ def equal_windows(bodies: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray,
         yield owner, at - base[owner], same
 
 
-def shard_removals(bodies: list[bytes], owner: np.ndarray, places: np.ndarray
+def shard_removals(bodies: list[bytes], places: tuple[np.ndarray, np.ndarray, np.ndarray]
                    ) -> pa.RecordBatch:
     """Windows of one shard that are not the earliest of their kind.
 
-    Equal strings come in once: ``places`` (id, th, start) are the rows of all of them, in order,
-    and ``owner`` their string. A row's windows stand where its string's windows stand.
+    ``places`` has id, th and start of the one row that stands for each string. Windows come
+    in suffix order, part by part; of the kind that a part ends in, the earliest window so far
+    is carried on to the next. What is removed is noted by a flag per byte of the shard.
     """
-    by_owner = np.argsort(owner, kind="stable")
-    edges = np.searchsorted(owner[by_owner], np.arange(len(bodies) + 1))
-    strings, offsets, same = (np.concatenate(x) for x in zip(*equal_windows(bodies)))
-    group = np.cumsum(~same)
-    counts = np.diff(edges)[strings]
-    row = by_owner[spread(edges[strings], counts)]         # every row of every window
-    group, offset = np.repeat(group, counts), np.repeat(offsets, counts)
-    ids, ths, start = places[0][row], places[1][row], places[2][row] + offset
-    order = np.lexsort((start, ths, ids, group))
-    group, ids, ths, start = group[order], ids[order], ths[order], start[order]
-    begins = np.r_[True, group[1:] != group[:-1]]
-    head = np.maximum.accumulate(np.where(begins, np.arange(len(group)), 0))
-    later = (ids != ids[head]) | (ths != ths[head]) | (start != start[head])
-    ids, ths, start = ids[later], ths[later], start[later]
-    # Consecutive windows of a text become one run.
-    order = np.lexsort((start, ths, ids))
-    ids, ths, start = ids[order], ths[order], start[order]
-    begins = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (ths[1:] != ths[:-1])
-                                  | (start[1:] > start[:-1] + 1)]) if len(ids) else np.zeros(0, int)
-    ends = np.r_[begins[1:], len(ids)][:len(begins)] - 1
+    ids, ths, starts = places
+    sizes = np.array([len(b) for b in bodies])
+    base = np.cumsum(sizes) - sizes
+    gone = np.zeros(int(sizes.sum()), bool)
+    carried: np.ndarray | None = None          # string and offset
+    for strings, offsets, same in equal_windows(bodies):
+        kind = np.cumsum(~same)
+        if carried is not None and same[0]:
+            strings, offsets = np.r_[carried[0], strings], np.r_[carried[1], offsets]
+            kind = np.r_[0, kind]
+        where = ids[strings], ths[strings], starts[strings] + offsets
+        order = np.lexsort((where[2], where[1], where[0], kind))
+        begins = np.r_[True, kind[order][1:] != kind[order][:-1]]
+        head = order[np.maximum.accumulate(np.where(begins, np.arange(len(order)), 0))]
+        differs = np.zeros(len(order), bool)
+        for values in where:
+            differs |= values[order] != values[head]
+        later = order[differs]
+        gone[base[strings[later]] + offsets[later]] = True
+        carried = np.array([strings[head[-1]], offsets[head[-1]]])
+    at = np.flatnonzero(gone)
+    owner = np.searchsorted(base, at, side="right") - 1
+    # Consecutive windows of a string become one run.
+    breaks = np.flatnonzero((at[1:] > at[:-1] + 1) | (owner[1:] != owner[:-1])) + 1
+    first = np.r_[0, breaks] if len(at) else breaks
+    last = np.r_[breaks, len(at)][:len(first)] - 1
+    of = owner[first]
+    return _runs(ids[of], ths[of], starts[of] + at[first] - base[of],
+                 starts[of] + at[last] - base[of] + LENGTH)
+
+
+def _runs(ids, ths, low, high) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(ids[begins]), pa.array(ths[begins]), pa.array(start[begins].astype(np.int32)),
-         pa.array((start[ends] + LENGTH).astype(np.int32))], ["id", "th", "low", "high"])
+        [pa.array(ids, pa.int64()), pa.array(ths, pa.int64()),
+         pa.array(np.asarray(low, np.int32)), pa.array(np.asarray(high, np.int32))],
+        ["id", "th", "low", "high"])
 
 
-def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Removed byte runs, shard after shard. Rows come sorted by anchor, which no cut divides."""
+def shards(batches: Iterator[pa.RecordBatch], shard_bytes: int = SHARD_BYTES
+           ) -> Iterator[pa.RecordBatch]:
+    """Removed byte runs, shard after shard.
+
+    Rows come sorted by anchor, which no cut divides, then string and place. The first row of a
+    string stands for it. All windows of its other rows are later copies, so those rows are
+    answered at once and never held, however many there are.
+    """
     bodies: list[bytes] = []
-    owner: list[int] = []
     places: list[tuple[int, int, int]] = []
-    known: dict[bytes, int] = {}
     held, key = 0, None
 
     def done() -> pa.RecordBatch:
-        columns = [np.array(c, np.int64) for c in zip(*places)]
-        return shard_removals(bodies, np.array(owner), columns)
+        ids, ths, starts = (np.array(c, np.int64) for c in zip(*places))
+        return shard_removals(bodies, (ids, ths, starts))
 
+    last = None
     for batch in batches:
-        table = zip(*(batch.column(c).to_pylist() for c in ("hash", "id", "th", "start", "body")))
-        for anchor, row_id, th, start, body in table:
+        copies: list[tuple[int, int, int, int]] = []
+        for anchor, row_id, th, start, body in zip(*(
+                batch.column(c).to_pylist() for c in ("hash", "id", "th", "start", "body"))):
             if anchor != key:
-                key, known = anchor, {}
-                if held >= SHARD_BYTES:
+                key, last = anchor, None
+                if held >= shard_bytes:
                     yield done()
-                    bodies, owner, places, held = [], [], [], 0
-            if body not in known:
-                known[body] = len(bodies)
+                    bodies, places, held = [], [], 0
+            if body == last:
+                if (row_id, th, start) != places[-1]:      # a repeated row is no other place
+                    copies.append((row_id, th, start, start + len(body)))
+            else:
+                last = body
                 bodies.append(body)
+                places.append((row_id, th, start))
                 held += len(body)
-            owner.append(known[body])
-            places.append((row_id, th, start))
+        if copies:
+            yield _runs(*zip(*copies))
     if bodies:
         yield done()
 
@@ -406,8 +431,8 @@ def removals(docs: DataFrame) -> DataFrame:
     later = (rows.join(marks, ["id", "th"])
              .select("id", "th", "text", "place")
              .mapInArrow(contexts, "hash bigint, id bigint, th bigint, start int, body binary")
-             .repartition("hash").sortWithinPartitions("hash")
-             .mapInArrow(shards, "id bigint, th bigint, low int, high int")
+             .repartition("hash").sortWithinPartitions("hash", "body", "id", "th", "start")
+             .mapInArrow(lambda it: shards(it), "id bigint, th bigint, low int, high int")
              .groupBy("id", "th").agg(F.collect_list(F.struct("low", "high")).alias("runs")))
     flags = reps.withColumn("first", F.lit(True)).join(later, ["id", "th"], "left")
     twin = Window.partitionBy("id", "th").orderBy("id")
