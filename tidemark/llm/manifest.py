@@ -372,3 +372,74 @@ def postorder_log(docs: DataFrame, run_levels: int = RUN_LEVELS) -> DataFrame:
     parts = [logs.mapInArrow(nodes, "tree string, level int, number bigint, place bigint, "
                                     "digest string") for logs in (*trees, *top)]
     return reduce(DataFrame.unionByName, parts)
+
+
+def _field_sql(name: str) -> str:
+    return (f"(case when {name} is null then '-' else strlen({name}::varchar)::varchar || ':' || "
+            f"{name}::varchar end)")
+
+
+def _leaf_sql(n_chars: str) -> str:
+    fields = ("doc_id", "source", "lang", n_chars, "text")
+    return "sha256(" + " || ".join(map(_field_sql, fields)) + ")"
+
+
+#: The tree level by level, and every leaf's way up it, as recursive queries. The checksum works
+#: through the bytes of an id, eight shifts each.
+ORACLE_SQL = """
+with recursive docs as (
+    select row_number() over () as rid, doc_id, coalesce('=' || lang, '') as tree,
+        {leaf} as leaf, {changed} as changed
+    from documents),
+crc as (
+    select rid, xor(list_reduce(
+        list_prepend(4294967295::bigint, list_transform(string_split(doc_id::varchar, ''),
+                                                        lambda c: ascii(c)::bigint)),
+        lambda acc, byte: list_reduce(
+            list_prepend(xor(acc, byte), [0::bigint, 0, 0, 0, 0, 0, 0, 0]),
+            lambda x, _: case when x % 2 = 1 then xor(x // 2, 3988292384::bigint)
+                         else x // 2 end)), 4294967295::bigint) as crc
+    from docs where doc_id is not null),
+placed as (
+    select d.*, case when crc % 7 = 0 then changed else leaf end as shown,
+        row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as idx,
+        count(*) over (partition by tree) as n
+    from docs d left join crc using (rid)),
+nodes(tree, level, idx, h, n) as (
+    select tree, 0, idx, leaf, n from placed
+    union all
+    select tree, level + 1, idx // 2, sha256(string_agg(h, '' order by idx)), (n + 1) // 2
+    from nodes where n > 1 group by tree, level, idx // 2, n),
+subroots as (
+    select tree, level as height, h as subroot, row_number() over (order by tree) - 1 as place,
+        count(*) over () as trees
+    from nodes where n = 1),
+tops(level, idx, h, n) as (
+    select 0, place, subroot, trees from subroots
+    union all
+    select level + 1, idx // 2, sha256(string_agg(h, '' order by idx)), (n + 1) // 2
+    from tops where n > 1 group by level, idx // 2, n),
+root as (select h as root, level as height from tops where n = 1),
+below(rid, tree, level, idx, d, path) as (
+    select rid, tree, 0, idx, shown, '' from placed
+    union all
+    select f.rid, f.tree, f.level + 1, f.idx // 2,
+        sha256(case when s.h is null then f.d when s.idx < f.idx then s.h || f.d
+               else f.d || s.h end), f.path || coalesce(s.h, '')
+    from below f join subroots t on t.tree = f.tree and f.level < t.height
+        left join nodes s on s.tree = f.tree and s.level = f.level and s.idx = xor(f.idx, 1)),
+above(rid, level, idx, d, path) as (
+    select b.rid, 0, t.place, b.d, b.path
+    from below b join subroots t on t.tree = b.tree and b.level = t.height
+    union all
+    select f.rid, f.level + 1, f.idx // 2,
+        sha256(case when s.h is null then f.d when s.idx < f.idx then s.h || f.d
+               else f.d || s.h end), f.path || coalesce(s.h, '')
+    from above f join root r on f.level < r.height
+        left join tops s on s.level = f.level and s.idx = xor(f.idx, 1))
+select p.doc_id, p.leaf, t.subroot, r.root, sha256(a.path) as proof_sha256,
+    a.d as folded_root, a.d = r.root as verified
+from placed p join subroots t using (tree), root r join above a on a.level = r.height
+where a.rid = p.rid
+""".replace("{leaf}", _leaf_sql("n_chars")).replace(
+    "{changed}", _leaf_sql("(n_chars::hugeint + 1)"))
