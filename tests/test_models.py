@@ -234,3 +234,16 @@ def test_keyed_places_of_very_many_rows(spark):
                        D.F.max("p").alias("b"), D.F.avg("p").alias("m")).first()
         assert row["d"] == ids.count() and row["a"] >= 0 and row["b"] < n
         assert 0.47 * n < row["m"] < 0.53 * n
+
+
+def test_leaf_penalty_moves_scores(spark, snapshots):
+    """A large penalty shrinks all scores towards one half; the trees stay the same."""
+    table = snapshots.withColumn("label", (D.F.col("recency_days") < 40).cast("int"))
+    spread = {}
+    for reg_lambda in (0.0, 1e6):
+        model = T.PenalisedBoosting(M.boosted_trees(FEATURES, SMALL), reg_lambda, 0.3).fit(table)
+        scores = M.score(model, table).toPandas().score
+        spread[reg_lambda] = scores.max() - scores.min()
+        splits = [(r["tree"], r["node"], r["feature"], r["split"]) for r in model.rows]
+        assert spread.setdefault("splits", splits) == splits
+    assert spread[0.0] > 0.2 and spread[1e6] < 1e-3

@@ -12,17 +12,18 @@ from functools import reduce
 from operator import add
 
 import numpy as np
-from pyspark.ml import PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (GBTClassificationModel, LogisticRegressionModel,
                                        RandomForestClassificationModel)
 from pyspark.ml.feature import SQLTransformer, StandardScalerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import scratch_path
+from tidemark.session import materialise, scratch_path
 
-#: ``linear``: a weight per feature, and one row without feature for the constant. ``forest`` and
-#: ``boosting``: inner nodes have a feature, a split and two children, leaves a value.
+#: ``linear``: a weight per feature, and one row without feature for the constant. ``forest``,
+#: ``boosting`` and ``penalised``: inner nodes have a feature, a split and two children, leaves a
+#: value.
 MODEL_SCHEMA = ("kind string, tree int, node int, feature string, fill double, flag boolean, "
                 "split double, left int, right int, value double, tree_weight double")
 #: An expression with more nodes would not compile to code; such ensembles are scored as fitted.
@@ -198,6 +199,63 @@ def features_read(table: DataFrame) -> list[str]:
             .distinct().orderBy("feature").collect()]
 
 
+# ---------------------------------------------------------------------------------------------
+# Leaf values with a penalty
+# ---------------------------------------------------------------------------------------------
+def refit_leaves(rows: list[Row], train: DataFrame, reg_lambda: float, step: float) -> list[Row]:
+    """The trees with new leaf values, ``-step * G / (H + reg_lambda)``, tree after tree.
+
+    G and H are sums of the first and second derivatives of the log loss over the training rows of a
+    leaf, given the trees before. Each tree is one aggregation to its leaves; the margins so
+    far are written now and then, so that expressions stay short.
+    """
+    features = sorted({r["feature"] for r in rows if r["feature"] is not None})
+    state = train.select(*features, "label", F.lit(0.0).alias("_margin"))
+    out: list[Row] = []
+    for done, (tree, nodes) in enumerate(_trees(rows).items(), start=1):
+        leaf = tree_column(nodes, lambda r: F.lit(r["node"]))
+        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("_margin")))
+        sums = state.groupBy(leaf.alias("leaf")).agg(
+            F.sum(p - F.col("label")).alias("g"), F.sum(p * (F.lit(1.0) - p)).alias("h"))
+        values = {r["leaf"]: -step * r["g"] / (r["h"] + reg_lambda)
+                  for r in sums.collect() if r["h"] + reg_lambda > 0}
+        new = {k: Row(**{**r.asDict(), "kind": "penalised", "tree": tree, "tree_weight": 1.0,
+                         "value": values.get(k, 0.0) if r["left"] is None else None})
+               for k, r in nodes.items()}
+        out += new.values()
+        state = state.withColumn("_margin", F.col("_margin") + tree_column(
+            new, lambda r: F.lit(r["value"])))
+        if done % _WRITTEN_EVERY == 0:
+            state = materialise(state)
+    return out
+
+
+_WRITTEN_EVERY = 20
+
+
+class TableModel(Transformer):
+    """Scores with the rows of a model table."""
+
+    def __init__(self, rows: list[Row]):
+        super().__init__()
+        self.rows = rows
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return dataset.withColumn("score", score_column(self.rows))
+
+
+class PenalisedBoosting(Estimator):
+    """Boosted trees whose leaf values are fitted again under an L2 penalty."""
+
+    def __init__(self, boosted: Pipeline, reg_lambda: float, step: float):
+        super().__init__()
+        self.boosted, self.reg_lambda, self.step = boosted, reg_lambda, step
+
+    def _fit(self, dataset: DataFrame) -> Transformer:
+        rows = model_table(dataset.sparkSession, self.boosted.fit(dataset)).collect()
+        return TableModel(refit_leaves(rows, dataset, self.reg_lambda, self.step))
+
+
 # ---------------------------------------------------------------------------------------------
 # Certificate of a logistic fit
 # ---------------------------------------------------------------------------------------------

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import SEED
+from tidemark.operators.model_tables import PenalisedBoosting
 from tidemark.operators.ranking import exact_medians
 
 MISSING_RECENCY = 999.0
@@ -173,14 +174,17 @@ def model_zoo(features: list[str], sizes: ModelSizes = ModelSizes()) -> dict[str
 
 def boosting_candidates(features: list[str], grid=tuple(BOOSTING_GRID),
                         rounds_share: float = 1.0) -> dict[int, Estimator]:
-    """The grid as estimators. ``rounds_share`` scales the number of rounds for trial runs."""
+    """The grid as estimators, each with its leaf penalty: one more aggregation per round.
+    ``rounds_share`` scales the number of rounds for trial runs."""
     def sizes(p: dict) -> ModelSizes:
         return ModelSizes(
             boosting_rounds=max(1, round(p["n_estimators"] * rounds_share)),
             boosting_depth=p["max_depth"], boosting_step=p["learning_rate"],
             boosting_min_rows=5 * p["min_child_weight"], boosting_row_share=p["subsample"],
             boosting_column_share=p["colsample_bytree"])
-    return {i: boosted_trees(features, sizes(p)) for i, p in enumerate(grid)}
+    return {i: Pipeline(stages=[PenalisedBoosting(
+        boosted_trees(features, sizes(p)), p["reg_lambda"], p["learning_rate"])])
+        for i, p in enumerate(grid)}
 
 
 def medians_of(models, train: DataFrame) -> dict[str, float]:

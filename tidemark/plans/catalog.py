@@ -10,7 +10,7 @@ from collections.abc import Callable
 from zlib import crc32
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import SEED, SnapshotSettings, parse_cutoffs
@@ -269,7 +269,24 @@ def boosting_grid(spark, sf_dir):
     return validation.tune(
         snapshots(spark, sf_dir),
         models.boosting_candidates(snap.FEATURES, rounds_share=TRIAL_ROUNDS_SHARE),
-        dict(enumerate(grid)), views.ORDER_DEV, min_train=6)
+        dict(enumerate(grid)), views.ORDER_DEV)
+
+
+def penalised_leaves(spark, sf_dir):
+    """Leaf values of one small tree, and a second one on top of it, under several penalties."""
+    dev, _ = _dev_test(spark, sf_dir)
+    found = []
+    for reg_lambda in oracle.PENALTIES:
+        nodes = [Row(kind="boosting", tree=tree, node=node, feature=feature, fill=0.0, flag=False,
+                     split=split, left=left, right=right, value=None, tree_weight=1.0)
+                 for tree, (name, edge) in enumerate(oracle.STUMPS.items())
+                 for node, feature, split, left, right in (
+                     (0, name, edge, 1, 2), (1, None, None, None, None),
+                     (2, None, None, None, None))]
+        refitted = model_tables.refit_leaves(nodes, dev, reg_lambda, oracle.LEAF_STEP)
+        found += [(reg_lambda, r["tree"], r["node"], r["value"]) for r in refitted if r["node"]]
+    return _rounded(spark.createDataFrame(
+        found, "reg_lambda double, tree int, leaf int, value double"), {"value": 9})
 
 
 def _stored_model(spark, sf_dir):
@@ -380,6 +397,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "zoo_cross_validation": zoo_cross_validation,
     "zoo_importance": zoo_importance,
     "boosting_grid": boosting_grid,
+    "penalised_leaves": penalised_leaves,
     "model_weights": model_weights,
     "stored_model_scores": stored_model_scores,
     "logistic_certificate": logistic_certificate,

@@ -357,6 +357,33 @@ SCALED_DIGITS = {f: 4 if f in ORDER_DIGITS else 6 for f in FEATURES}
 # The features of the small logistic regression that SQL fits as well.
 FITTED = ["recency_days", "mean_gap_days"]
 NEWTON_STEPS = 12
+# Two trees of one split each, the penalties and the step of their leaf values.
+STUMPS = {"recency_days": 60.0, "orders_last_90d": 0.0}
+PENALTIES, LEAF_STEP = (0.0, 5.0, 500.0), 0.3
+
+
+def _leaves(dev: str) -> str:
+    """Leaf values of the two trees, the second given the first."""
+    (a, at_a), (b, at_b) = STUMPS.items()
+    penalties = ", ".join(f"({p!r}e0)" for p in PENALTIES)
+
+    def value(margin: str) -> str:
+        p = f"(1 / (1 + exp(-({margin}))))"
+        return (f"-{LEAF_STEP!r}e0 * sum({p} - label) / (sum({p} * (1 - {p})) + reg_lambda)")
+
+    def side(name: str, split: float) -> str:
+        return f"CASE WHEN coalesce(CAST({name} AS DOUBLE), 0) <= {split!r}e0 THEN 1 ELSE 2 END"
+
+    return f"""{ORDER_SNAP},
+dev AS (SELECT label, reg_lambda, {side(a, at_a)} AS first, {side(b, at_b)} AS second
+  FROM snap, (VALUES {penalties}) AS v(reg_lambda) WHERE cutoff IN ({dev})),
+one AS (SELECT reg_lambda, first AS leaf, {value('0e0')} AS value FROM dev GROUP BY 1, 2),
+two AS (
+  SELECT dev.reg_lambda, second AS leaf, {value('one.value').replace('reg_lambda', 'dev.reg_lambda')} AS value
+  FROM dev JOIN one ON one.reg_lambda = dev.reg_lambda AND one.leaf = first GROUP BY 1, 2)
+SELECT reg_lambda, 0 AS tree, leaf, {rounded('value', 9)} AS value FROM one
+UNION ALL SELECT reg_lambda, 1, leaf, {rounded('value', 9)} FROM two"""
+
 
 
 def _newton(dev: str) -> str:
@@ -698,6 +725,7 @@ FROM filled, weights WHERE cutoff IN ({test})""",
 SELECT '{FITTED[0]}' AS feature, m1 AS fill, {rounded('w1', 6)} AS weight FROM weights
 UNION ALL SELECT '{FITTED[1]}', m2, {rounded('w2', 6)} FROM weights
 UNION ALL SELECT 'constant', NULL, {rounded('w0', 6)} FROM weights""",
+        "penalised_leaves": f"WITH {_leaves(dev)}",
         "logistic_certificate": f"""WITH {ORDER_SNAP}
 SELECT fold, count(*) AS n_train, CAST({len(FEATURES)} AS BIGINT) AS features, TRUE AS at_minimum
 FROM snap JOIN (VALUES {fold_roles}) AS f(fold, role, cutoff) USING (cutoff)
