@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +13,26 @@ NULL_ID = -(1 << 63)
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def return_freed_memory() -> None:
+    """Make this process give freed blocks of a megabyte and more back to the system at once.
+
+    Workers are used again by later stages; what one stage held for its batches would otherwise
+    stay with them. Where the C library has no such switch, nothing changes.
+    """
+    try:
+        library = ctypes.CDLL("libc.so.6")
+        trim_from, map_from = -1, -3               # M_TRIM_THRESHOLD, M_MMAP_THRESHOLD
+        library.mallopt(map_from, 1 << 20)
+        library.mallopt(trim_from, 1 << 20)
+    except (OSError, AttributeError):
+        return
+    pa.set_memory_pool(pa.system_memory_pool())
+
+
+# Operators import this module in every worker.
+return_freed_memory()
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -80,5 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": quality_rules.ORACLE_SQL,
     "op4_source_mixing": mixing.oracle_sql(),
+    "op5_similarity_join": similarity_join.ORACLE_SQL,
     "op9_substring_dedup": substring_dedup.ORACLE_SQL,
+    "op13_merkle_manifest": manifest.ORACLE_SQL,
 }

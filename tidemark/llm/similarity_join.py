@@ -70,23 +70,49 @@ def most_differing(n: int, percent: int) -> int:
     return n * (100 - percent) // percent
 
 
-def spare(n: int, percent: int) -> int:
-    """Empty groups a set may have and still be found by the others."""
-    return 3 + most_differing(n, percent) // 16
+#: Bands double in two steps; in four for sets that may differ by much, to keep groups full.
+_RATIO, _FINE_RATIO, _FINE_BELOW, LEAST_PERCENT = 2 ** 0.5, 2 ** 0.25, 75, 60
 
 
-def groups_sent(n: int, percent: int) -> int:
-    return most_differing(n, percent) + 1 + spare(n, percent)
+def _ratio(percent: int) -> float:
+    return _RATIO if percent >= _FINE_BELOW else _FINE_RATIO
+
+
+@cache
+def empty_share(percent: int) -> float:
+    """Empty groups to expect per shingle in which linked sets may differ.
+
+    A band's groups are as many as its largest set needs, empty ones included; a set at its
+    lower edge leaves ``exp(-n / groups)`` of them empty. The share solves that equation.
+    """
+    if not LEAST_PERCENT <= percent <= 99:
+        raise ValueError(f"percent must be from {LEAST_PERCENT} to 99, not {percent}")
+    share = 0.0
+    for _ in range(200):
+        load = percent / ((100 - percent) * _ratio(percent) * (1 + share))
+        share = 1 / np.expm1(load)
+    return share
+
+
+def spare(differing, percent: int):
+    """Empty groups a set may have and still be found by the others: what is to be expected and
+    three standard deviations."""
+    expected = empty_share(percent) * differing
+    return 3 + np.ceil(expected + 3 * np.sqrt(expected)).astype(np.int64)
+
+
+def groups_sent(n, percent: int):
+    differing = most_differing(n, percent)
+    return differing + 1 + spare(differing, percent)
 
 
 @cache
 def bands(percent: int) -> tuple[int, ...]:
-    """First size of each band: one power of the square root of two after the other."""
+    """First size of each band, each a fixed ratio above the one before."""
     first = next(n for n in range(1, 1000) if most_differing(n, percent) > 0)
-    ratio = max(2 ** 0.5, 100 / percent * 1.01)
     out = [first]
     while out[-1] < 1 << 40:
-        out.append(max(out[-1] + 1, ceil(out[-1] * ratio)))
+        out.append(max(out[-1] + 1, ceil(out[-1] * _ratio(percent))))
     return tuple(out)
 
 
@@ -96,26 +122,31 @@ _STEP = np.uint64(0xD1342543DE82EF95)
 def bucket_keys(shingles: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Keys of the buckets of one set; sets too small to differ have none.
 
-    A set goes by the grouping of its own band and, if a larger partner may be in the next
-    band, by that one too. Empty groups would be shared by everyone and are not sent; a set with
-    so many of them that a partner could be missed goes by another seed as well.
+    Two sets meet by the grouping of the smaller one's band, so a set goes by its own band and
+    by those in which a smaller partner may be. Empty groups would be shared by everyone and
+    are not sent. If either of two linked sets has no more of them than is spare among the
+    groups that the smaller one sends, some group is left on which both agree. A set for which
+    that does not hold, whatever its partner's size, goes by another seed as well.
     """
     n = len(shingles)
     edges = bands(percent)
     if n < edges[0]:
         return np.zeros(0, np.uint64)
+    smallest = max(-(-n * percent // 100), edges[0])
     own = int(np.searchsorted(edges, n, side="right")) - 1
-    top = int(np.searchsorted(edges, n * 100 // percent, side="right")) - 1
-    smallest = -(-n * percent // 100)
+    low = int(np.searchsorted(edges, smallest, side="right")) - 1
     out = []
-    for band in range(own, top + 1):
-        groups = groups_sent(edges[band + 1] - 1, percent)
-        sent = groups_sent(n, percent)
+    for band in range(low, own + 1):
+        top = edges[band + 1] - 1
+        groups = int(groups_sent(top, percent))
+        # Sizes that the smaller of the two may have here, what it sends, and what is spare.
+        sizes = np.arange(max(smallest, edges[band]), min(n, top) + 1, dtype=np.int64)
+        sent = groups_sent(sizes, percent)
+        allowed = spare(most_differing(sizes, percent), percent)
         for seed in range(SEEDS + 1):
+            if seed == SEEDS:
+                raise RuntimeError(f"{SEEDS} groupings of {n} shingles left too many groups empty")
             name = mix(np.array([band * 64 + seed], np.uint64) * _STEP)[0]
-            if seed == SEEDS:                          # not met in practice: all such sets meet
-                out.append(np.array([name]))
-                break
             spun = mix(shingles + name)
             group = (spun >> np.uint64(20)) % np.uint64(groups)
             order = np.argsort(group, kind="stable")
@@ -123,9 +154,10 @@ def bucket_keys(shingles: np.ndarray, percent: int = PERCENT) -> np.ndarray:
             heads = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
             sums = np.add.reduceat(mix(spun ^ _STEP)[order], heads)
             names = ordered[heads]
-            used = names < sent
+            used = names < sent[-1]
             out.append(mix(sums[used] + names[used] * _STEP + name))
-            if sent - int(used.sum()) <= spare(smallest, percent):
+            empty = sent - np.searchsorted(names.astype(np.int64), sent)
+            if (empty <= allowed).all():
                 break
     return np.concatenate(out)
 
@@ -386,6 +418,18 @@ def bound_holds(percent: int) -> Column:
     return (100 + percent) * overlap >= percent * (F.col("n_a") + F.col("n_b"))
 
 
+def _once(near: DataFrame) -> DataFrame:
+    """Of blocks with the same rows one: sets that are alike share many buckets."""
+    def total(seed: int) -> Column:
+        return F.sum(F.xxhash64(F.lit(seed), "role", "id").cast("decimal(38,0)"))
+
+    block = F.struct("key", "block")
+    kept = (near.groupBy("key", "block").agg(F.count("*").alias("n"), total(1).alias("one"),
+                                             total(2).alias("two"))
+            .groupBy("n", "one", "two").agg(F.min(block).alias("kept")).select("kept.*"))
+    return near.join(kept, ["key", "block"], "left_semi")
+
+
 def similarity_components(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT
                           ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
@@ -453,7 +497,7 @@ def similarity_components(docs: DataFrame, width: int = SHINGLE, percent: int =
             .mapInArrow(lambda it: contested(it, percent),
                         "key bigint, block int, role int, id bigint, component bigint")
             .distinct())
-    more = (near.join(texts, "id").repartition("key", "block")
+    more = (_once(materialise(near)).join(texts, "id").repartition("key", "block")
             .sortWithinPartitions("key", "block", "role")
             .mapInArrow(lambda it: joining_links(it, width, percent), "a bigint, b bigint")
             .distinct())
@@ -468,10 +512,85 @@ def similarity_components(docs: DataFrame, width: int = SHINGLE, percent: int =
         F.nullif(F.coalesce("component", "node"), F.lit(NULL_ID)).alias("component_id"))
 
 
+def _named(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows, each as ``row`` with a ``node``, and the nodes: node, id, text hash, copies.
+
+    A node stands for an id with one text. It is the id itself where that has no other text
+    and no copies; the other rows are told apart by a hash of id and text, under a seed for which
+    no two nodes meet.
+    """
+    key = F.coalesce(docs["doc_id"].cast("bigint"), F.lit(NULL_ID))
+    text = F.coalesce(docs["text"], F.lit(""))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), key.alias("id"),
+                       text.alias("text"))
+    texts = materialise(rows.groupBy("id", F.md5("text").alias("hash"))
+                        .agg(F.count("*").alias("copies")))
+    crowded = materialise(texts.groupBy("id").agg(F.sum("copies").alias("rows"))
+                          .where((F.col("rows") > 1) | (F.col("id") == NULL_ID)).select("id"))
+    crowded = crowded.withColumn("crowded", F.lit(True))
+    for seed in range(SEEDS):
+        def node(hashed: Column, seed: int = seed) -> Column:
+            return F.when(F.col("crowded"), F.xxhash64(F.lit(seed), "id", hashed)) \
+                .otherwise(F.col("id"))
+
+        nodes = texts.join(crowded, "id", "left").withColumn("node", node(F.col("hash")))
+        counts = nodes.agg(F.count("*").alias("n"), F.countDistinct("node").alias("d")).first()
+        if counts["n"] == counts["d"]:
+            return (rows.join(crowded, "id", "left").select(
+                "row", "text", node(F.md5("text")).alias("node")),
+                nodes.select("node", "id", "hash", "copies"))
+    raise RuntimeError(f"{SEEDS} seeds gave equal names to different rows")
+
+
 def one_of_each(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The documents, all columns, without those whose component has a smaller id."""
-    found = similarity_components(docs, width, percent)
-    gone = (found.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select("doc_id").distinct())
-    return docs.join(gone.select(F.col("doc_id").alias("_gone")),
-                     docs["doc_id"].eqNullSafe(F.col("_gone")), "left_anti")
+    """The documents, all columns, without those for which another of their group stays.
+
+    Of rows with linked texts that with the smallest id stays, a missing id before all others;
+    of an id's texts the one with the smallest hash, and of equal rows one. An id with several
+    texts is a document for each: one that is linked with nothing stays, whatever becomes of
+    the others. Texts without words are linked with nothing and stay, however often they are there.
+    Columns may have any names; an empty table gives no rows.
+    """
+    rows, nodes = _named(docs)
+    found = similarity_components(rows.select(F.col("node").alias("doc_id"), "text"),
+                                  width, percent).where("n_shingles > 0")
+    members = materialise(found.select(F.col("doc_id").alias("node"), "component_id").distinct()
+                          .join(nodes, "node"))
+    place = F.struct("id", "hash")
+    first = members.groupBy("component_id").agg(F.min(place).alias("first"))
+    # Written first: where they are small, their known size spares the documents a shuffle.
+    gone = materialise(members.join(first, "component_id").where(place != F.col("first"))
+                       .select("node"))
+    copied = materialise(members.where("copies > 1").select("node"))
+    kept = rows.drop("text").join(gone, "node", "left_anti")
+    single = kept.join(copied, "node", "left_anti")
+    several = kept.join(copied, "node", "left_semi").dropDuplicates(["node"])
+    return single.unionByName(several).select("row.*")
+
+
+#: Every pair of documents that share a shingle, counted, and what links reach.
+ORACLE_SQL = f"""
+with recursive w as (
+    select doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x20\\x09-\\x0D]+') as ws from documents),
+s as (
+    select doc_id, case when len(ws) = 0 then [] when len(ws) < {SHINGLE} then
+        [array_to_string(ws, ' ')] else list_distinct(list_transform(
+            range(1, len(ws) - {SHINGLE} + 2),
+            lambda i: array_to_string(ws[i:i + {SHINGLE} - 1], ' '))) end as own from w),
+e as (select doc_id, unnest(own) as shingle from s),
+pairs as (
+    select a.doc_id as u, b.doc_id as v, count(*) as shared
+    from e a join e b on a.shingle = b.shingle and a.doc_id < b.doc_id group by all),
+links as (
+    select u, v from pairs join s a on a.doc_id = u join s b on b.doc_id = v
+    where 100 * shared >= {PERCENT} * (len(a.own) + len(b.own) - shared)),
+ways as (select u, v from links union select v, u from links),
+reach(doc_id, other) as (
+    select doc_id, doc_id from s
+    union
+    select r.doc_id, ways.v from reach r join ways on ways.u = r.other)
+select doc_id, any_value(len(own))::bigint as n_shingles, min(other) as component_id
+from reach join s using (doc_id) group by doc_id
+"""
