@@ -184,16 +184,32 @@ def mix(docs: DataFrame, settings: MixSettings = MixSettings()) -> DataFrame:
     empty table gives no rows.
     """
     table = materialise(sizes(docs))
-    return copies(table, leaf_cuts(table, settings), F.col("digest"), settings).select(
+    # Written, so that its known size decides the join: few leaves go to all tasks, and no leaf
+    # has to fit one.
+    cuts = materialise(leaf_cuts(table, settings))
+    return copies(table, cuts, F.col("digest"), settings).select(
         "doc_id", *LEVELS, "n_tokens", "epoch")
 
 
 def mixed_documents(docs: DataFrame, settings: MixSettings = MixSettings()) -> DataFrame:
-    """All columns of the documents of the mix, with ``domain`` and ``epoch``."""
-    cuts = leaf_cuts(materialise(sizes(docs)), settings)
-    rows = with_leaf(docs.where(F.size(words_of(F.coalesce(F.col("text"), F.lit("")))) > 0))
+    """All columns of the documents of the mix as they are, with ``domain`` and ``epoch``.
+
+    An added column whose name is taken is called ``mix_domain`` or ``mix_epoch`` (and so on).
+    Texts without words are never taken; missing ids, languages and sources stay missing, though
+    they count as the node ``none``. Repeated rows of one id and text are taken together, each as a
+    row. An empty table gives no rows.
+    """
+    def free(name: str) -> str:
+        while name.lower() in {c.lower() for c in docs.columns}:
+            name = f"mix_{name}"
+        return name
+
+    cuts = materialise(leaf_cuts(materialise(sizes(docs)), settings))
+    whole = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    rows = with_leaf(docs.where(F.size(words_of(F.coalesce(F.col("text"), F.lit("")))) > 0)
+                     .select(whole, "doc_id", "text", "lang", "source"))
     return copies(rows, cuts, text_digest(), settings).select(
-        *docs.columns, *([] if "domain" in docs.columns else ["domain"]), "epoch")
+        "row.*", F.col("domain").alias(free("domain")), F.col("epoch").alias(free("epoch")))
 
 
 def _weights_sql(level: str, settings: MixSettings) -> str:
