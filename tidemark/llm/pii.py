@@ -12,9 +12,11 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import cache
 from hashlib import sha256
+from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -136,14 +138,16 @@ _DOT = (r"(?:\s*[\[({<]\s*(?:dot|punkt|punto|point)\s*[\])}>]\s*"
 _PART = rf"{_DIGIT}(?:[ ,-]{{0,2}}{_DIGIT}){{0,2}}"
 _SPELLED_IP = re.compile(rf"({_PART}){_DOT}({_PART}){_DOT}({_PART}){_DOT}({_PART})", re.I)
 _ONE_NAME = re.compile(rf"\b(?:{_NAME}|plus)\b", re.I)
-_SIGN = re.compile(
-    r"\s*[\[({<]\s*(?P<b>at|arroba|chez|dot|punkt|punto|point)\s*[\])}>]\s*"
-    r"|(?<=[A-Za-z0-9])\s+(?P<w>at|arroba|dot|punkt|punto|point)\s+(?=[A-Za-z0-9])", re.I)
+_BRACKETED = re.compile(
+    r"[\[({<]\s*(?P<b>at|arroba|chez|dot|punkt|punto|point)\s*[\])}>]\s*", re.I)
+_BARE = re.compile(
+    r"(?<=[A-Za-z0-9])\s+(?P<w>at|arroba|dot|punkt|punto|point)\s+(?=[A-Za-z0-9])", re.I)
 _ATS = {"at", "arroba", "chez"}
-_AT_THEN_DOT = re.compile(
-    r"[A-Za-z0-9._%+-]+(?:\s+(?:dot|punkt|punto|point)\s+[A-Za-z0-9_%+-]+)*"
-    r"(?:@|\s+(?:at|arroba)\s+)[A-Za-z0-9-]+"
-    r"(?:(?:\.|\s+(?:dot|punkt|punto|point)\s+)[A-Za-z0-9-]+)+", re.I)
+_DOTS = {"dot", "punkt", "punto", "point"}
+#: Runs of the characters of an address before its at sign, and what has to follow the sign.
+_SAID_RUN = re.compile(r"[A-Za-z0-9._%+-]+", re.I)
+_SAID_DOMAIN = re.compile(
+    r"[A-Za-z0-9-]+(?:(?:\.|\s+(?:dot|punkt|punto|point)\s+)[A-Za-z0-9-]+)+", re.I)
 _BARE_IP = re.compile(r"(?<![0-9])[0-9]+(?:(?:\.|\s+(?:dot|punkt|punto|point)\s+)[0-9]+){3}", re.I)
 _HINT = re.compile(
     rf"[{re.escape(''.join(_LOOKALIKES))}{_INVISIBLE}！-～\U0001d400-\U0001d7ff]"
@@ -179,23 +183,6 @@ def _plain_letter(letter: str) -> str:
     return letter
 
 
-def fold_lookalikes(given: Mapped) -> Mapped:
-    out = Mapped("", [], [], [])
-    letters = []
-    for at, letter in enumerate(given.text):
-        folded = letter if letter < "\x80" else _plain_letter(letter)
-        for piece in folded:
-            letters.append(piece)
-            out.starts.append(given.starts[at])
-            out.ends.append(given.ends[at])
-            out.changed.append(given.changed[at] or folded != letter)
-    # An invisible character inside a word marks its neighbours as changed.
-    for at in range(1, len(letters)):
-        if out.starts[at] > out.ends[at - 1]:
-            out.changed[at] = out.changed[at - 1] = True
-    return out._replace(text="".join(letters))
-
-
 def _rewrite(given: Mapped, edits: list[tuple[int, int, str]]) -> Mapped:
     """Replace ranges of the text; what is put in stands for the whole range it replaces."""
     if not edits:
@@ -215,6 +202,23 @@ def _rewrite(given: Mapped, edits: list[tuple[int, int, str]]) -> Mapped:
     return Mapped("".join(letters), starts, ends, changed)
 
 
+_NOT_ASCII = re.compile(r"[^\x00-\x7f]")
+
+
+def fold_lookalikes(given: Mapped) -> Mapped:
+    edits = [(m.start(), m.end(), plain) for m in _NOT_ASCII.finditer(given.text)
+             if (plain := _plain_letter(m[0])) != m[0]]
+    out = _rewrite(given, edits)
+    # An invisible character inside a word marks its neighbours as changed.
+    longer = 0
+    for start, end, new in edits:
+        at = start + longer
+        longer += len(new) - (end - start)
+        if not new and 0 < at < len(out.text):
+            out.changed[at] = out.changed[at - 1] = True
+    return out
+
+
 def _digit_edits(text: str, begin: int, end: int) -> Iterator[tuple[int, int, str]]:
     """Edits that turn the digit names of one run into digits that stand together."""
     run = text[begin:end]
@@ -240,15 +244,68 @@ def _sign(word: str) -> str:
     return "@" if word.lower() in _ATS else "."
 
 
+def _bracketed_signs(text: str) -> Iterator[tuple[int, int, str]]:
+    """Signs in brackets with the blanks around them."""
+    before = 0
+    for sign in _BRACKETED.finditer(text):
+        start = before + len(text[before:sign.start()].rstrip())
+        yield start, sign.end(), _sign(sign["b"])
+        before = sign.end()
+
+
+def _spoken_addresses(text: str) -> list[tuple[int, int]]:
+    """Addresses whose at sign, or dots, may be bare words.
+
+    Read from each at sign: to the right a domain has to follow, and to the left the words that
+    dots join to the last one belong to it. Every run of characters is looked at a few times,
+    however long it is.
+    """
+    runs = [m.span() for m in _SAID_RUN.finditer(text)]
+
+    def blank(first: int) -> bool:
+        """Whether only blanks are between a run and the next one."""
+        return text[runs[first][1]:runs[first + 1][0]].isspace()
+
+    def signs() -> Iterator[tuple[int, int]]:
+        """The run before an at sign, and where the domain has to start."""
+        for k, (start, end) in enumerate(runs):
+            if text.startswith("@", end):
+                yield k, end + 1
+            if (0 < k < len(runs) - 1 and end - start <= 6 and text[start:end].lower() in _SAID_AT
+                    and blank(k - 1) and blank(k)):
+                yield k - 1, runs[k + 1][0]
+
+    found: list[tuple[int, int]] = []
+    for last, after in sorted(signs(), key=lambda sign: sign[1]):
+        first, free = last, found[-1][1] if found else 0
+        domain = _SAID_DOMAIN.match(text, after) if runs[last][1] > free else None
+        if domain is None:
+            continue
+        # A word behind a dot has no further dot in it; the first one may.
+        while (first >= 2 and runs[first][0] >= free and runs[first - 2][1] > free
+               and "." not in text[slice(*runs[first])]
+               and text[slice(*runs[first - 1])].lower() in _DOTS
+               and blank(first - 2) and blank(first - 1)):
+            first -= 2
+        found.append((max(runs[first][0], free), domain.end()))
+    return found
+
+
+_SAID_AT = {"at", "arroba"}
+
+
 def at_and_dot(given: Mapped) -> Mapped:
     """Bracketed signs always; bare words only where they then make up a whole address."""
-    given = _rewrite(given, [(*sign.span(), _sign(sign["b"]))
-                             for sign in _SIGN.finditer(given.text) if sign["b"]])
-    whole = [m.span() for pattern in (_AT_THEN_DOT, _BARE_IP)
-             for m in pattern.finditer(given.text)]
-    return _rewrite(given, [
-        (*sign.span(), _sign(sign["w"])) for sign in _SIGN.finditer(given.text)
-        if any(low <= sign.start() and sign.end() <= high for low, high in whole)])
+    given = _rewrite(given, [*_bracketed_signs(given.text)])
+    whole = [_spoken_addresses(given.text), [m.span() for m in _BARE_IP.finditer(given.text)]]
+    starts = [[low for low, _ in spans] for spans in whole]
+
+    def inside(start: int, end: int) -> bool:
+        return any((k := bisect_right(lows, start)) and end <= spans[k - 1][1]
+                   for lows, spans in zip(starts, whole))
+
+    return _rewrite(given, [(*sign.span(), _sign(sign["w"]))
+                            for sign in _BARE.finditer(given.text) if inside(*sign.span())])
 
 
 def disguised_spans(text: str, plain: list[Span]) -> list[Span]:
@@ -257,14 +314,18 @@ def disguised_spans(text: str, plain: list[Span]) -> list[Span]:
         return []
     mapped = at_and_dot(spelled_digits(fold_lookalikes(_source(text))))
     taken = sorted((s.start, s.end) for s in plain)
+    starts = [start for start, _ in taken]
+    ends = [0, *accumulate((end for _, end in taken), max)]       # of the spans so far
     found: list[Span] = []
+    last = 0
     for kind, low, high in plain_spans(mapped.text):
         if not any(mapped.changed[low:high]):
             continue
         start, end = min(mapped.starts[low:high]), max(mapped.ends[low:high])
-        if not any(start < b and a < end for a, b in taken):
+        # Matches come by their start, so of those found before only the furthest end counts.
+        if ends[bisect_left(starts, end)] <= start and last <= start:
             found.append(Span(kind, start, end))
-            taken.append((start, end))
+            last = end
     return found
 
 
