@@ -2,7 +2,8 @@
 
 For every cutoff and every way of changing what comes after it there is a copy of the lines. All
 copies are moved in time so that their cutoffs fall on one day, which changes no feature, and go
-through a single plan; their features are then compared with those of the unchanged lines.
+through a single plan; their features are then compared with those of the unchanged lines. Lines
+are brought together by customer first and copied there, so that no copy is ever shuffled.
 """
 
 from __future__ import annotations
@@ -15,8 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import SnapshotSettings, parse_cutoffs
-from tidemark.functions.scalars import timestamp
-from tidemark.operators.snapshots import FEATURES, build_snapshots, snapshot
+from tidemark.functions.scalars import count_reached, timestamp
+from tidemark.operators.ranking import union_all
+from tidemark.operators.snapshots import FEATURES, build_snapshots, placed, snapshot
 
 CHANGES = ("deleted", "inflated")
 _AMOUNTS = ("quantity", "unit_price", "line_revenue")
@@ -59,21 +61,36 @@ def leakage_audit(transactions: DataFrame, settings: SnapshotSettings, changes=C
     moments = settings.ordered_cutoffs()
     if original is None:
         original = build_snapshots(transactions, settings)
-    lines = changed_futures(transactions, moments, changes)
-    moved = lines.select(
-        F.struct("cutoff", "change", "customer_id").alias("customer_id"),
-        (F.col("invoice_date") + (timestamp(moments[0]) - F.col("cutoff"))).alias("invoice_date"),
-        *[c for c in transactions.columns if c not in ("customer_id", "invoice_date")])
-    changed = snapshot(moved, moments[0], settings.horizon_days, settings.min_history_days,
-                       settings.home_market, require_history=False)
-    changed = changed.select("customer_id.*", *FEATURES, "label").alias("b")
-    before = original.filter(F.col("cutoff").isin([timestamp(m) for m in moments])).withColumn(
-        "change", F.explode(F.array(*[F.lit(c) for c in changes]))).alias("a")
-    keys = ["cutoff", "change", "customer_id"]
-    pairs = before.join(changed, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys], "full")
+    changes = list(changes)
+    names = F.array(*[F.lit(c) for c in changes])
+    number = (count_reached("cutoff", moments) - 1) * len(changes)
+    copy = (number + F.array_position(names, F.col("change")).cast("int") - 1).alias("copy")
+
+    def of_copies(lines: DataFrame, spread: bool) -> DataFrame:
+        moved = changed_futures(lines, moments, changes).select(
+            copy, (F.col("invoice_date") + (timestamp(moments[0]) - F.col("cutoff")))
+            .alias("invoice_date"), *[c for c in lines.columns if c != "invoice_date"])
+        return snapshot(moved, moments[0], settings.horizon_days, settings.min_history_days,
+                        settings.home_market, require_history=False, spread=spread,
+                        keys=("customer_id", "copy")).select(
+                            "customer_id", "copy", *FEATURES, "label")
+
+    changed = union_all([of_copies(lines, spread) for lines, spread in
+                         placed(transactions, len(moments) * len(changes))]).alias("b")
+    before = (original.filter(F.col("cutoff").isin([timestamp(m) for m in moments]))
+              .withColumn("change", F.explode(names))
+              .select("customer_id", copy, *FEATURES, "label").alias("a"))
+    # Joined by customer alone, so that the copies stay where they are: a customer has one row
+    # per copy on either side. An equality of copies would become a key and move them.
+    pairs = before.join(changed, (F.col("a.customer_id") == F.col("b.customer_id"))
+                        & (F.abs(F.col("a.copy") - F.col("b.copy")) < 1), "full")
     matched = F.col("a.customer_id").isNotNull() & F.col("b.customer_id").isNotNull()
     equal = reduce(and_, [_same(name, tolerance) for name in FEATURES], matched)
-    return pairs.groupBy(*[F.coalesce(f"a.{k}", f"b.{k}").alias(k) for k in keys[:2]]).agg(
+    found = pairs.groupBy(F.coalesce("a.copy", "b.copy").alias("copy")).agg(
         F.count(F.lit(1)).alias("rows_compared"), F.count_if(~equal).alias("rows_moved"),
         F.sum(F.col("a.label").cast("bigint")).alias("labels_before"),
         F.sum(F.col("b.label").cast("bigint")).alias("labels_after"))
+    audited = F.array(*[F.struct(timestamp(m).alias("cutoff"), F.lit(c).alias("change"))
+                        for m in moments for c in changes])
+    return found.select(F.get(audited, F.col("copy")).alias("audited"), *found.columns[1:]).select(
+        "audited.*", *found.columns[1:])
