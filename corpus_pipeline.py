@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import decontamination, mixing, pii, quality_classifier, similarity_join
-from tidemark.llm.common import read_documents, read_table
+from tidemark.llm.common import read_documents, read_table, small_batches
 from tidemark.session import materialise
 
 
@@ -35,13 +37,22 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(docs)
 
 
-STAGES = [
+def _in_small_batches(stage):
+    """A stage that hands texts to Python workers a few megabytes at a time."""
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return stage(spark, docs, sf_dir)
+    return run_stage
+
+
+STAGES = [(name, _in_small_batches(stage)) for name, stage in (
     ("quality", keep_quality),
     ("near_duplicates", one_of_each_group),
     ("decontamination", drop_benchmark),
     ("personal_data", mask_personal_data),
     ("mixing", mix_sources),
-]
+)]
 
 #: Trained and approximate stages have no SQL form.
 ORACLE_SQL = None

@@ -2,8 +2,10 @@
 
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
+import corpus_pipeline
 from tidemark.llm import (decontamination, pii, quality_classifier, quality_rules, token_counts,
                           toxicity)
 from tidemark.llm.common import read_documents, read_table
@@ -57,3 +59,26 @@ def test_repeated_ids_and_labels(spark, operator, column):
     twice = operator.train(docs.unionByName(docs.limit(20)), labels.unionByName(labels))
     scores = operator.score(docs, twice).collect()
     assert len(scores) == docs.count() and all(0 <= r.score <= 1 for r in scores)
+
+
+def test_stages_hand_texts_to_workers_in_small_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["size"])
+
+    docs = spark.range(0, 12, 1, 1).selectExpr(
+        "id as doc_id", "repeat('x', 1 << 20) as text", "'s' as source", "'en' as lang",
+        "cast(1 << 20 as bigint) as n_chars")
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for _, stage in corpus_pipeline.STAGES[3:]:
+            spark.conf.set(name, "64m")
+            stage(spark, docs, "")
+            found = [r["size"] for r in docs.mapInArrow(sizes, "size bigint").collect()]
+            assert sum(found) > 12 << 20 and max(found) < 6 << 20
+        spark.conf.set(name, "1m")                     # a session's smaller bound stays
+        corpus_pipeline.STAGES[3][1](spark, docs, "")
+        assert spark.conf.get(name) == "1m"
+    finally:
+        spark.conf.set(name, before)
