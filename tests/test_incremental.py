@@ -194,3 +194,31 @@ def test_tables_are_rebuilt_where_they_differ(spark, tmp_path):
     assert refreshed(changed.filter("month is not null and month <> '2011-03'")) \
         == ["2011-03", "none"]
     assert refreshed(df.limit(0)) == ["2011-01", "2011-02"]
+
+
+def test_ledger_keeps_lines_of_a_customer_side_by_side(spark, tmp_path):
+    frame = random_lines(12, 40, 900, 0.3)
+    store = SnapshotStore(spark, str(tmp_path / "s"), SETTINGS)
+    store.refresh(table(spark, frame))
+    places = {}
+    for path in Path(store.path, "ledger").rglob("*.parquet"):
+        found = pd.read_parquet(path, columns=["customer_id", "invoice_no"], partitioning=None)
+        customers = list(found.customer_id)
+        assert customers == sorted(customers)
+        for customer in set(customers):
+            places.setdefault((path.parent, customer), set()).add(path.name)
+    assert places and all(len(names) == 1 for names in places.values())
+    same(store, table(spark, frame))
+
+
+def test_ledger_of_customers_with_very_many_lines(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(S, "CELL_LINES", 40)
+    frame = random_lines(13, 8, 400, 0.3)
+    store = SnapshotStore(spark, str(tmp_path / "s"), SETTINGS)
+    late = frame.invoice_date >= day("2011-05-20")
+    store.refresh(table(spark, frame[~late]))
+    store.append(table(spark, frame[late]))
+    same(store, table(spark, frame))
+    grain = ["piece", "batch", *[c for c in S.GRAIN if c != "epoch"]]
+    ledger = spark.read.parquet(f"{store.path}/ledger")
+    assert ledger.count() == ledger.select(*grain).distinct().count()

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from tidemark.config import SnapshotSettings
 from tidemark.functions.scalars import count_reached, timestamp
 from tidemark.operators import snapshots as snap
+from tidemark.operators.ranking import union_all
 from tidemark.sources import digests
 from tidemark.sources.digests import Digest
 from tidemark.sources.tables import TRANSACTION_COLUMNS
@@ -120,11 +121,18 @@ class SnapshotStore:
                            .withColumn("piece", self._piece("order_date")), batch)
 
     def _write_ledger(self, grains: DataFrame, batch: str) -> None:
-        key = [c for c in snap.GRAIN if c != "epoch"]
-        merged = grains.groupBy("piece", *key).agg(
-            *[combine(name).alias(name) for name, combine in snap.MEASURES.items()
-              if name != "first_open"])
-        (merged.withColumn("batch", F.lit(batch)).write.mode("overwrite")
+        key = ["piece", *[c for c in snap.GRAIN if c != "epoch"]]
+        measures = [combine(name).alias(name) for name, combine in snap.MEASURES.items()
+                    if name != "first_open"]
+        # A customer's lines travel and are stored side by side: what they have in common then
+        # packs well, here and whenever the ledger is read and placed again.
+        merged = union_all([
+            lines.groupBy(*key, *(["cell"] if spread else [])).agg(*measures)
+            .select(*key, *[name for name in snap.MEASURES if name != "first_open"],
+                    F.lit(batch).alias("batch"))
+            .sortWithinPartitions("piece", "batch", "customer_id", "invoice_no")
+            for lines, spread in snap.placed(grains)])
+        (merged.write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("piece", "batch")
          .parquet(f"{self.path}/ledger"))
 
