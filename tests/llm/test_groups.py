@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import plain_text as brute
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import mixing, similarity_join
@@ -57,6 +58,51 @@ def test_keys_per_set_are_bounded(percent):
         similarity_join.bucket_keys(np.arange(50, dtype=np.uint64), 50)
 
 
+def let(pairs, percent):
+    """Whether the points let each pair of sets be linked."""
+    sides = [[np.unique(pair[k]) for pair in pairs] for k in (0, 1)]
+    batch = pa.RecordBatch.from_pydict(
+        {"a": list(range(len(pairs))), "b": list(range(len(pairs)))}
+        | {f"n_{k}": [len(s) for s in side] for k, side in zip("ab", sides)}
+        | {f"point_{k}": [similarity_join.packed(similarity_join.point_of(s)) for s in side]
+           for k, side in zip("ab", sides)})
+    kept = {k for out in similarity_join.possible([batch], percent)
+            for k in out.column("a").to_pylist()}
+    return [k in kept for k in range(len(pairs))]
+
+
+@pytest.mark.parametrize("percent", [60, 80, 85, 90])
+def test_points_keep_linked_pairs_and_drop_far_ones(percent):
+    rng = np.random.default_rng(percent)
+    linked = [pair for size in (7, 25, 113, 600, 1500) for pair in pairs_at(percent, size, rng)]
+    assert all(let(linked, percent))
+    assert all(let([pair[::-1] for pair in linked], percent))
+    far = [rng.integers(0, 1 << 63, (2, 2000)).astype(np.uint64) * np.uint64(2) for _ in range(5)]
+    assert not any(let(far, percent))
+
+
+def test_packed_points_are_small_and_exact():
+    rng = np.random.default_rng(3)
+    point = similarity_join.point_of(rng.integers(0, 1 << 63, 600).astype(np.uint64) * np.uint64(2))
+    assert len(similarity_join.packed(point)) <= len(point)
+    for counts in (point, np.array([0, 1, 255, 256, 65535, 300, 7, 0])):
+        assert similarity_join.read_point(similarity_join.packed(counts)).tolist() == counts.tolist()
+
+
+def test_comparisons_leave_texts_where_they_lie(spark, monkeypatch):
+    seen, verified = [], similarity_join.verified
+
+    def watched(pairs, texts, *rest):
+        joined = pairs.hint("merge").join(texts.withColumnRenamed("id", "a"), "a")
+        seen.append(joined._jdf.queryExecution().executedPlan().toString())
+        return verified(pairs, texts, *rest)
+
+    monkeypatch.setattr(similarity_join, "verified", watched)
+    similarity_join.similarity_components(spark.createDataFrame(group_rows(), "doc_id bigint, text string"))
+    assert len(seen) == 1 and seen[0].count("Exchange hashpartitioning(a#") == 1   # of the pairs
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("tidemark_")]
+
+
 def words(*parts):
     return " ".join(f"{name}{k}" for name, count in parts for k in range(count))
 

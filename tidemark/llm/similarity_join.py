@@ -10,7 +10,8 @@ some group. So sets are dealt out by (group, hash of the group's shingles), and
 agree on a whole group share a bucket.
 
 1. Equal sets become one class. Buckets with several classes are kept.
-2. Every class is compared with the first one of its buckets, exactly. Components follow.
+2. Every class is compared with the first one of its buckets, exactly, if their points let them
+   be linked. Components follow.
 3. In buckets that still hold several components, the R-tree finds the sets that may be linked
    with one of another component. Only their texts go to the bucket, which compares them exactly
    and gives out links that join two components there: at most as many as it has sets, however
@@ -21,6 +22,7 @@ No link is lost: a pair in a shared bucket is either in one component already or
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import cache
 from math import ceil
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import NULL_ID
 from tidemark.llm.components import components
 from tidemark.llm.textbytes import LOWER, grouped, mix, running, span_hash, word_hashes, words
-from tidemark.session import materialise
+from tidemark.session import materialise, materialise_by
 
 SHINGLE, PERCENT = 4, 85
 #: The tree works on 2 ** 5 groups; what it leaves is bounded again on about n / 2 groups.
@@ -173,8 +175,14 @@ def folded(point: np.ndarray, groups: int) -> np.ndarray:
     return point.reshape(groups, -1).sum(axis=1)
 
 
+def packed(point: np.ndarray) -> bytes:
+    """The counts' low bytes, then the high ones, which are mostly zero, deflated."""
+    return zlib.compress(point.astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes(), 1)
+
+
 def read_point(body: bytes) -> np.ndarray:
-    return np.frombuffer(body, "<u2").astype(np.int64)
+    low, high = np.frombuffer(zlib.decompress(body), np.uint8).astype(np.int64).reshape(2, -1)
+    return low + (high << 8)
 
 
 def sketches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -186,7 +194,7 @@ def sketches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Recor
             one.append(int(mix(shingles).sum(dtype=np.uint64).view(np.int64)))
             two.append(int(mix(shingles ^ _STEP).sum(dtype=np.uint64).view(np.int64)))
             point = point_of(shingles)
-            points.append(point.astype("<u2").tobytes())
+            points.append(packed(point))
             coarse.append(folded(point, 1 << TREE_BITS).astype(np.int32))
         yield pa.RecordBatch.from_arrays(
             [batch.column("id"), pa.array(size, pa.int64()), pa.array(one, pa.int64()),
@@ -337,6 +345,30 @@ def contested(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
 # ---------------------------------------------------------------------------------------------
 # Exact comparison
 # ---------------------------------------------------------------------------------------------
+def possible(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The pairs that their points, over the groups of the smaller one, let be linked."""
+    for batch in batches:
+        keep = np.zeros(batch.num_rows, bool)
+        table = [batch.column(k).to_pylist() for k in ("n_a", "n_b", "point_a", "point_b")]
+        for k, (n_a, n_b, *bodies) in enumerate(zip(*table)):
+            points = [read_point(body) for body in bodies]
+            groups = min(map(len, points))
+            overlap = np.minimum(*(folded(point, groups) for point in points)).sum()
+            keep[k] = (100 + percent) * overlap >= percent * (n_a + n_b)
+        yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+
+def let_by_points(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs of ids of which some texts may be linked; a point is a tenth of its text."""
+    def named(side: str) -> DataFrame:
+        return nodes.where("n > 0").select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"),
+                                           F.col("point").alias(f"point_{side}"))
+
+    return (pairs.join(named("a"), "a").join(named("b"), "b")
+            .select("a", "b", "n_a", "n_b", "point_a", "point_b")
+            .mapInArrow(lambda it: possible(it, percent), "a bigint, b bigint").distinct())
+
+
 def linked(batches: Iterator[pa.RecordBatch], width: int, percent: int
            ) -> Iterator[pa.RecordBatch]:
     """The pairs whose texts are linked."""
@@ -458,7 +490,7 @@ def similarity_components(docs: DataFrame, width: int = SHINGLE, percent: int =
 
     # Classes in shared buckets, and the texts that comparisons need.
     met = members.select("s1").distinct()
-    texts = materialise(rows.join(short.join(met, "s1").select("id").distinct(), "id"))
+    texts = materialise_by(rows.join(short.join(met, "s1").select("id").distinct(), "id"), "id")
 
     def named(side: str, key: str) -> DataFrame:
         return short.select(F.col("s1").alias(key), F.col("id").alias(side),
@@ -468,6 +500,7 @@ def similarity_components(docs: DataFrame, width: int = SHINGLE, percent: int =
         members.where("s1 <> pivot").select("pivot", "s1").distinct()
         .join(named("a", "pivot"), "pivot").join(named("b", "s1"), "s1")
         .where("a <> b").where(bound_holds(percent)).select(*pair_of("a", "b")).distinct())
+    tried = materialise(let_by_points(tried, nodes, percent))
     links = materialise(verified(tried, texts, width, percent))
     comps = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
