@@ -52,3 +52,19 @@ def test_matches_sql(spark, duck, name):
 
 def test_fitted_models_give_rows(spark):
     assert entry_points.queries()["zoo_holdout"](spark, SF_DIR).count() > 0
+
+
+def sizes_of(zoo) -> dict:
+    forest, boosted = zoo["random_forest"].getStages()[-1], zoo["gbt"].getStages()[-1]
+    return {"iterations": zoo["logistic_regression"].getStages()[-1].max_iter,
+            "trees": (forest.getNumTrees(), forest.getMaxDepth()),
+            "rounds": (boosted.getMaxIter(), boosted.getMaxDepth())}
+
+
+FULL_SIZES = {"iterations": 2000, "trees": (400, 12), "rounds": (300, 3)}
+
+
+def test_zoo_holdout_fits_full_sizes(spark, monkeypatch):
+    monkeypatch.setattr(catalog, "_dev_test", lambda *_: (None, None))
+    monkeypatch.setattr(catalog.diagnostics, "evaluate_holdout", lambda zoo, *_: sizes_of(zoo))
+    assert catalog.zoo_holdout(spark, "") == FULL_SIZES
