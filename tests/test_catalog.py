@@ -68,3 +68,10 @@ def test_zoo_holdout_fits_full_sizes(spark, monkeypatch):
     monkeypatch.setattr(catalog, "_dev_test", lambda *_: (None, None))
     monkeypatch.setattr(catalog.diagnostics, "evaluate_holdout", lambda zoo, *_: sizes_of(zoo))
     assert catalog.zoo_holdout(spark, "") == FULL_SIZES
+
+
+def test_zoo_cross_validation_fits_full_sizes(spark, monkeypatch):
+    monkeypatch.setattr(catalog, "snapshots", lambda *_: None)
+    monkeypatch.setattr(catalog.validation, "cross_validate",
+                        lambda *_, models: sizes_of(models))
+    assert catalog.zoo_cross_validation(spark, "") == FULL_SIZES
