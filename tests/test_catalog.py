@@ -75,3 +75,11 @@ def test_zoo_cross_validation_fits_full_sizes(spark, monkeypatch):
     monkeypatch.setattr(catalog.validation, "cross_validate",
                         lambda *_, models: sizes_of(models))
     assert catalog.zoo_cross_validation(spark, "") == FULL_SIZES
+
+
+def test_boosting_grid_fits_all_rounds(spark, monkeypatch):
+    monkeypatch.setattr(catalog, "snapshots", lambda *_: None)
+    monkeypatch.setattr(catalog.validation, "tune", lambda _, found, *rest: found)
+    rounds = [c.getStages()[0].boosted.getStages()[-1].getMaxIter()
+              for c in catalog.boosting_grid(spark, "").values()]
+    assert rounds == [p["n_estimators"] for p in catalog.models.BOOSTING_GRID]

@@ -247,3 +247,17 @@ def test_leaf_penalty_moves_scores(spark, snapshots):
         splits = [(r["tree"], r["node"], r["feature"], r["split"]) for r in model.rows]
         assert spread.setdefault("splits", splits) == splits
     assert spread[0.0] > 0.2 and spread[1e6] < 1e-3
+
+
+def test_ensembles_of_any_size_are_scored(spark, snapshots, monkeypatch):
+    """The grid's deepest configuration has more nodes than one expression may hold."""
+    table = snapshots.withColumn("label", (D.F.col("recency_days") < 40).cast("int"))
+    model = T.PenalisedBoosting(M.boosted_trees(FEATURES, SMALL), 1.0, 0.3).fit(table)
+    keys = ["customer_id", "cutoff"]
+    want = M.score(model, table).select(*keys, "score").toPandas().sort_values(keys)
+    monkeypatch.setattr(T, "MOST_NODES", len(model.rows) - 1)
+    monkeypatch.setattr(T, "PIECE_NODES", max(1, len(model.rows) // 2), raising=False)
+    got = M.score(model, table)
+    assert got.columns == [*table.columns, "score"]
+    got = got.select(*keys, "score").toPandas().sort_values(keys)
+    assert list(got.score) == list(want.score) and got.score.nunique() > 1
