@@ -3,7 +3,7 @@
 from datetime import datetime
 
 from tidemark.config import SnapshotSettings
-from tidemark.operators import audit, models, ranking
+from tidemark.operators import audit, diagnostics, metrics, models, ranking
 from tidemark.operators import snapshots as S
 
 
@@ -38,3 +38,26 @@ def test_medians_are_found_for_boosting_candidates_too(monkeypatch):
                         lambda self, train: seen.append(self.features) or {"a": 1.0})
     found = models.medians_of(models.boosting_candidates(["a"]).values(), None)
     assert found == {"a": 1.0} and seen == [["a"]]
+
+
+def test_scores_of_permuted_copies_travel_once(spark):
+    """Straight to their bin, not by score first, and the same for both uses of the curve."""
+    rows = spark.createDataFrame(
+        [(k, datetime(2011, 1, 1), float(k % 7), k % 2) for k in range(40)],
+        "customer_id bigint, cutoff timestamp_ntz, recency_days double, label int")
+    fitted = models.fit(models.recency_rule(), rows)
+    table = diagnostics.permutation_table(fitted, rows, ["recency_days"], 2)
+    assert table.count() == 1
+    keys = [line.split("hashpartitioning(")[1] for line in plan_of(table).splitlines()
+            if "Exchange hashpartitioning(" in line]
+    assert keys and not [k for k in keys if "score" in k or "feature" in k and "repeat" in k]
+
+
+def test_curve_of_rows_that_travel_once_is_the_same(spark):
+    scored = spark.createDataFrame(
+        [(k % 3, None if k % 11 == 5 else float("nan") if k % 13 == 4 else (k * 7 % 17) / 4 - 2,
+          k % 2) for k in range(200)], "copy int, score double, label int")
+    once, combined = [ranking.score_curve(scored, ["copy"], combined=c) for c in (False, True)]
+    assert sorted(map(str, once.collect())) == sorted(map(str, combined.collect()))
+    assert sorted(metrics.average_precision(once, ["copy"]).collect()) == \
+        sorted(metrics.average_precision(combined, ["copy"]).collect())
