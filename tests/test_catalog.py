@@ -1,5 +1,6 @@
 """Every registered query at the smallest scale, against its SQL in DuckDB where it has one."""
 
+from datetime import datetime
 from pathlib import Path
 
 import pandas as pd
@@ -83,3 +84,26 @@ def test_boosting_grid_fits_all_rounds(spark, monkeypatch):
     rounds = [c.getStages()[0].boosted.getStages()[-1].getMaxIter()
               for c in catalog.boosting_grid(spark, "").values()]
     assert rounds == [p["n_estimators"] for p in catalog.models.BOOSTING_GRID]
+
+
+def test_importance_is_scored_by_an_expression(spark, monkeypatch):
+    """And the medians of its fit come from one count, not from a sketch of every value."""
+    rows = spark.createDataFrame(
+        [(k, datetime(2011, 1, 1), *[float(k * j % 7) for j in range(1, 34)], k % 2)
+         for k in range(60)], "customer_id bigint, cutoff timestamp_ntz, "
+        + ", ".join(f"{f} double" for f in catalog.snap.FEATURES) + ", label int")
+    seen = []
+
+    def importances(scorer, test, features, **_):
+        seen.append(scorer)
+        return test.select(*[catalog.F.lit(0.0).alias("pr_auc_drop"),
+                             catalog.F.lit("a").alias("feature")]).limit(1)
+
+    def sketched(*_):
+        raise AssertionError("medians by a sketch")
+
+    monkeypatch.setattr(catalog, "_dev_test", lambda *_: (rows, rows))
+    monkeypatch.setattr(catalog.diagnostics, "permutation_table", importances)
+    monkeypatch.setattr(catalog.ranking, "brackets_of", sketched)
+    assert catalog.zoo_importance(spark, "").count() == 1
+    assert isinstance(seen[0], catalog.model_tables.TableModel)
